@@ -90,13 +90,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], colu
     return df.groupBy(*keys).agg(lead).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in columns])
 
 
-def _multiplier(seed: int, span: int) -> int:
-    """A factor without common divisor with ``span``, small enough for BIGINT products."""
+def permutation(seed: int, span: int) -> tuple[int, int]:
+    """Factor and shift of an affine permutation of ``range(span)`` whose products fit a BIGINT."""
     limit = max(2, min(span, (1 << 62) // max(span, 1)))
     factor = max(1, (seed * 2_654_435_761 + 1_013_904_223) % limit)
     while gcd(factor, span) != 1:
         factor = factor + 1 if factor + 1 < limit else 1
-    return factor
+    return factor, (seed * 40_503 + 12_345) % span
 
 
 def surrogate_key(idx: Column, low: int, high: int, seed: int) -> Column:
@@ -105,8 +105,7 @@ def surrogate_key(idx: Column, low: int, high: int, seed: int) -> Column:
     Fails on an index that the range cannot hold.
     """
     span = high - low
-    factor = _multiplier(seed, span)
-    shift = (seed * 40_503 + 12_345) % span
+    factor, shift = permutation(seed, span)
     key = F.lit(low) + F.pmod(F.lit(factor).cast("bigint") * idx + F.lit(shift), F.lit(span))
     return F.when(idx < span, key).otherwise(F.raise_error(F.lit(f"more than {span} keys are needed")).cast("bigint"))
 

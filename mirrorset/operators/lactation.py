@@ -38,7 +38,7 @@ def parity_profile(
     return profile(joined, "nb_lact", by, F.col("_n"), limits)
 
 
-def _month_profile(
+def month_counts(
     rows: DataFrame, months: Column, by: Sequence[str], name: str, default: int | None, limits: Limits
 ) -> DataFrame:
     """Staged ``(by…, name, n)`` in which a NULL month count takes the group's mean, then the default."""
@@ -85,7 +85,7 @@ def gap_profile(
     """Months from birth to first calving, then between calvings, by ``by`` and ordinal."""
     rows = gap_rows(lactations, animals, key, ordinal, start, end, birth, by)
     keys = [*by, ordinal]
-    months = _month_profile(rows, F.col("gap"), keys, "gap", DEFAULT_MONTHS, limits)
+    months = month_counts(rows, F.col("gap"), keys, "gap", DEFAULT_MONTHS, limits)
     return profile(months, "gap", keys, F.col("n"), limits)
 
 
@@ -105,4 +105,4 @@ def duration_profile(
     joined = finished.join(owners, F.col(key) == F.col("_animal"))
     keys = [*by, ordinal]
     months = months_between_trunc(F.col(end), F.col(start))
-    return profile(_month_profile(joined, months, keys, "duration", None, limits), "duration", keys, F.col("n"), limits)
+    return profile(month_counts(joined, months, keys, "duration", None, limits), "duration", keys, F.col("n"), limits)

@@ -72,7 +72,8 @@ def make_animals(src: Mapping[str, DataFrame], farms: DataFrame, s: Settings) ->
         ),
         "assigned",
     )
-    members = src["IDENTANV"].select("NOAN", "DTNAISANINV", "NOINTSANIT", "ACTIEL")
+    kept = src["IDENTANV"].where(F.col("NOINTSANIT") != cohort.EXIT_FARM)
+    members = kept.select("NOAN", "DTNAISANINV", "NOINTSANIT", "ACTIEL")
     clones = cohort.clone_members(assigned, members, "NOINTEXPL", "NOAN", "NOINTSANIT", s.limits)
     total = assigned.agg(F.sum("n_members").alias("n")).scalar()
     new = cohort.pedigree(

@@ -6,48 +6,61 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 
-def declared(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+LONG, INT, TEXT, DATE, TIME = LongType(), IntegerType(), StringType(), DateType(), TimestampType()
+PERCENT, KILOS, INDEX, DEGREE = DecimalType(5, 2), DecimalType(8, 0), DecimalType(4, 0), DecimalType(4, 1)
+
+
+def declared(*groups: tuple[str, DataType]) -> StructType:
+    """Schema from groups of column names that share a type."""
+    return StructType([StructField(name, kind) for names, kind in groups for name in names.split()])
 
 
 # Table and column names and declared types of the data model.
 SCHEMAS: dict[str, StructType] = {
     "AIDACTIEL": declared(
-        "ACTIEL string, ACTIELINT string, ABREV_INTERBULL string, ACTIELTYPE string, DMG int, "
-        "LAIT_MIN int, LAIT_MAX int, PC_MG_MIN decimal(5,2), PC_MG_MAX decimal(5,2), "
-        "PC_PROT_MIN decimal(5,2), PC_PROT_MAX decimal(5,2)"
+        ("ACTIEL ACTIELINT ABREV_INTERBULL ACTIELTYPE", TEXT),
+        ("DMG LAIT_MIN LAIT_MAX", INT),
+        ("PC_MG_MIN PC_MG_MAX PC_PROT_MIN PC_PROT_MAX", PERCENT),
     ),
-    "CL_AIDE_ETAPE_CTRL": declared("CD_ETAPE_CTRL int"),
-    "CL_AIDE_TYPE_CTRL": declared("CD_TYPE_CTRL int"),
-    "EXPLOITATION": declared("NOINTEXPL bigint, CODPOST int"),
+    "CL_AIDE_ETAPE_CTRL": declared(("CD_ETAPE_CTRL", INT)),
+    "CL_AIDE_TYPE_CTRL": declared(("CD_TYPE_CTRL", INT)),
+    "EXPLOITATION": declared(("NOINTEXPL", LONG), ("CODPOST", INT)),
     "IDENTANV": declared(
-        "NOAN bigint, SEXEAN string, DTNAISANINV int, NOINTSANIT bigint, ACTIEL string, "
-        "NOANPERE bigint, NOANMERE bigint"
+        ("NOAN", LONG), ("SEXEAN", TEXT), ("DTNAISANINV", INT), ("NOINTSANIT", LONG), ("ACTIEL", TEXT),
+        ("NOANPERE NOANMERE", LONG),
     ),
     "CL_LAITEXPL": declared(
-        "ID_LAITEXPL bigint, NOINTEXPL bigint, DATE_CTRL date, TRAIT1 string, CD_TYPE_CTRL int, "
-        "DATE_RECEPT_ANALYSE date, CD_ETAPE_CTRL int"
+        ("ID_LAITEXPL NOINTEXPL", LONG), ("DATE_CTRL", DATE), ("TRAIT1", TEXT), ("CD_TYPE_CTRL", INT),
+        ("DATE_RECEPT_ANALYSE", DATE), ("CD_ETAPE_CTRL", INT),
     ),
     "CL_LAITLACT": declared(
-        "ID_LAITLACT bigint, NOAN bigint, NOLACT int, DATE_VEL date, DATE_TAR date, "
-        "LAIT decimal(8,0), MG decimal(8,0), PROT decimal(8,0), "
-        "LAIT305 decimal(8,0), MG305 decimal(8,0), PROT305 decimal(8,0), "
-        "LAIT365 decimal(8,0), MG365 decimal(8,0), PROT365 decimal(8,0), "
-        "PIC decimal(4,0), PERSISTANCE decimal(4,1)"
+        ("ID_LAITLACT NOAN", LONG), ("NOLACT", INT), ("DATE_VEL DATE_TAR", DATE),
+        ("LAIT MG PROT LAIT305 MG305 PROT305 LAIT365 MG365 PROT365", KILOS),
+        ("PIC", INDEX), ("PERSISTANCE", DEGREE),
     ),
     "CL_LAITCTRL": declared(
-        "ID_LAITCTRL bigint, ID_LAITEXPL bigint, ID_LAITLACT bigint, "
-        "HEURE_PREC2_DEB timestamp, HEURE_PREC2_FIN timestamp, HEURE_PREC_DEB timestamp, "
-        "HEURE_PREC_FIN timestamp, HEURE_TRAIT1_DEB timestamp, HEURE_TRAIT1_FIN timestamp, "
-        "LAIT_TRAIT1 int, LAIT_TRAIT2 int, LAIT_24_OBS int, POURC_PROT_24_OBS decimal(5,2), "
-        "POURC_MG_24_OBS decimal(5,2), CELL_24_OBS int, UREE_24_OBS int, LAIT_24_VAL int, "
-        "POURC_PROT_24_VAL decimal(5,2), POURC_MG_24_VAL decimal(5,2), CELL_24_VAL int, "
-        "UREE_24_VAL int, LAIT_24_PREVU int"
+        ("ID_LAITCTRL ID_LAITEXPL ID_LAITLACT", LONG),
+        ("HEURE_PREC2_DEB HEURE_PREC2_FIN HEURE_PREC_DEB HEURE_PREC_FIN HEURE_TRAIT1_DEB HEURE_TRAIT1_FIN", TIME),
+        ("LAIT_TRAIT1 LAIT_TRAIT2 LAIT_24_OBS", INT),
+        ("POURC_PROT_24_OBS POURC_MG_24_OBS", PERCENT),
+        ("CELL_24_OBS UREE_24_OBS LAIT_24_VAL", INT),
+        ("POURC_PROT_24_VAL POURC_MG_24_VAL", PERCENT),
+        ("CELL_24_VAL UREE_24_VAL LAIT_24_PREVU", INT),
     ),
-}
+}
 
 # The declared keys.
 PRIMARY_KEYS = {
