@@ -26,8 +26,9 @@ from mirrorset.catalog.roles import (
 from mirrorset.catalog.sampling import sample_sql
 from mirrorset.operators import calendar as cal
 from mirrorset.operators import cohort, keys, lactation, sequence
-from mirrorset.operators.profile import profile
+from mirrorset.operators.profile import Profile, profile
 from mirrorset.operators.sample import sample_by_tiers
+from mirrorset.sources.staging import stage
 
 # Farms: as many as there are suppliers, drawn from the areas of the real ones.
 _PLACES = f"{FARMS}, places AS (SELECT farm, CAST((postcode // 100) * 100 AS INTEGER) AS area FROM farms WHERE postcode >= 100)"
@@ -222,10 +223,8 @@ _PARITY = """parity AS (SELECT area, breed, value, count(*) AS n FROM (SELECT no
   JOIN animals a ON l.noan = a.noan GROUP BY ALL)"""
 
 
-def _parity(spark: SparkSession, sf: str, per_row: bool = False):
-    return lactation.parity_profile(
-        lactations(spark, sf), animals(spark, sf), "noan", "nolact", ["area", "breed"], per_row
-    )
+def _parity(spark: SparkSession, sf: str, source: DataFrame, per_row: bool = False) -> Profile:
+    return lactation.parity_profile(source, animals(spark, sf), "noan", "nolact", ["area", "breed"], per_row)
 
 
 @query(
@@ -233,7 +232,7 @@ def _parity(spark: SparkSession, sf: str, per_row: bool = False):
     f"{_SHARES.format(keys='area, breed')} FROM parity"
 )
 def parity_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return _parity(spark, sf).shares()
+    return _parity(spark, sf, lactations(spark, sf)).shares()
 
 
 @query(
@@ -241,7 +240,7 @@ def parity_profile(spark: SparkSession, sf: str) -> DataFrame:
     f"JOIN animals a ON l.noan = a.noan GROUP BY ALL) SELECT area, breed, nb_lact, {_SHARES.format(keys='area, breed')} FROM p"
 )
 def parity_profile_per_row(spark: SparkSession, sf: str) -> DataFrame:
-    return _parity(spark, sf, True).shares()
+    return _parity(spark, sf, lactations(spark, sf), True).shares()
 
 
 _GAPS = f"""spans AS (SELECT breed, area, nolact, CASE WHEN nolact = 1 THEN {months_sql('vel', 'birth')} ELSE
@@ -254,16 +253,14 @@ gaps AS (SELECT breed, area, nolact, value, CAST(sum(n) AS BIGINT) AS n FROM (SE
 durations AS (SELECT breed, area, nolact, d AS value, count(*) AS n FROM spans GROUP BY ALL)"""
 
 
-def _gaps(spark: SparkSession, sf: str):
+def _gaps(spark: SparkSession, sf: str, source: DataFrame) -> Profile:
     return lactation.gap_profile(
-        lactations(spark, sf), animals(spark, sf), "noan", "nolact", "vel", "tar", "birth", ["breed", "area"]
+        source, animals(spark, sf), "noan", "nolact", "vel", "tar", "birth", ["breed", "area"]
     )
 
 
-def _durations(spark: SparkSession, sf: str):
-    return lactation.duration_profile(
-        lactations(spark, sf), animals(spark, sf), "noan", "nolact", "vel", "tar", ["breed", "area"]
-    )
+def _durations(spark: SparkSession, sf: str, source: DataFrame) -> Profile:
+    return lactation.duration_profile(source, animals(spark, sf), "noan", "nolact", "vel", "tar", ["breed", "area"])
 
 
 _CELL = "breed, area, nolact"
@@ -271,12 +268,12 @@ _CELL = "breed, area, nolact"
 
 @query(f"WITH {LACTATIONS}, {ANIMALS}, {_GAPS} SELECT {_CELL}, value AS gap, {_SHARES.format(keys=_CELL)} FROM gaps")
 def gap_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return _gaps(spark, sf).shares()
+    return _gaps(spark, sf, lactations(spark, sf)).shares()
 
 
 @query(f"WITH {LACTATIONS}, {ANIMALS}, {_GAPS} SELECT {_CELL}, value AS duration, {_SHARES.format(keys=_CELL)} FROM durations")
 def duration_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return _durations(spark, sf).shares()
+    return _durations(spark, sf, lactations(spark, sf)).shares()
 
 
 # Generated lactations of the animals: count, expansion, calving and dry-off dates.
@@ -309,50 +306,54 @@ _ENDED = (
 )
 
 
-def _counted(spark: SparkSession, sf: str) -> DataFrame:
+def _counted(spark: SparkSession, sf: str, parity: Profile) -> DataFrame:
     rows = animals(spark, sf).select("noan", "breed", "area", "birth")
-    return sample_by_tiers(
-        rows, _parity(spark, sf), _PARITY_TIERS, _OWN, ["noan"], "nb_lact", SEED, "parity", 1
-    )
+    return sample_by_tiers(rows, parity, _PARITY_TIERS, _OWN, ["noan"], "nb_lact", SEED, "parity", 1)
 
 
-def _expanded(spark: SparkSession, sf: str) -> DataFrame:
-    return sequence.explode_counter(_counted(spark, sf), "noan", "nb_lact")
+def _expanded(spark: SparkSession, sf: str, parity: Profile) -> DataFrame:
+    return sequence.explode_counter(_counted(spark, sf, parity), "noan", "nb_lact")
 
 
-def _started(spark: SparkSession, sf: str) -> DataFrame:
+def _started(spark: SparkSession, sf: str, source: DataFrame) -> tuple[DataFrame, bool]:
+    parity = _parity(spark, sf, source)
+    short = parity.limits.short(lactation.longest(parity))
     spaced = sample_by_tiers(
-        _expanded(spark, sf), _gaps(spark, sf), _DATE_TIERS, _OWN, ["noan", "nolact"], "gap", SEED, "gap", 10
-    )
-    return sequence.cumulative_dates(spaced, "noan", "nolact", "gap", "birth", "date_vel")
+        _expanded(spark, sf, parity), _gaps(spark, sf, source), _DATE_TIERS, _OWN, ["noan", "nolact"], "gap", SEED,
+        "gap", 10,
+    )
+    return sequence.cumulative_dates(spaced, "noan", "nolact", "gap", "birth", "date_vel", short=short), short
 
 
-def _ended(spark: SparkSession, sf: str) -> DataFrame:
+def _ended(spark: SparkSession, sf: str) -> tuple[DataFrame, bool]:
+    source = stage(lactations(spark, sf), "lactations")
+    started, short = _started(spark, sf, source)
     lasting = sample_by_tiers(
-        _started(spark, sf), _durations(spark, sf), _DATE_TIERS, _OWN, ["noan", "nolact"], "duration", SEED,
+        started, _durations(spark, sf, source), _DATE_TIERS, _OWN, ["noan", "nolact"], "duration", SEED,
         "duration", 10, floor=2,
     )
-    return sequence.end_dates(lasting, "noan", "nolact", "date_vel", "duration", "date_tar")
+    return sequence.end_dates(lasting, "noan", "nolact", "date_vel", "duration", "date_tar"), short
 
 
 @query(f"WITH {_COUNTED} SELECT noan, nb_lact FROM counted")
 def lactation_count(spark: SparkSession, sf: str) -> DataFrame:
-    return _counted(spark, sf).select("noan", "nb_lact")
+    return _counted(spark, sf, _parity(spark, sf, lactations(spark, sf))).select("noan", "nb_lact")
 
 
 @query(f"WITH {_EXPANDED} SELECT id_laitlact, noan, nolact FROM expanded")
 def explode_counter(spark: SparkSession, sf: str) -> DataFrame:
-    return _expanded(spark, sf).select("id_laitlact", "noan", "nolact")
+    return _expanded(spark, sf, _parity(spark, sf, lactations(spark, sf))).select("id_laitlact", "noan", "nolact")
 
 
 @query(f"WITH {_STARTED} SELECT id_laitlact, gap, gap_total, date_vel FROM started")
 def start_dates(spark: SparkSession, sf: str) -> DataFrame:
-    return _started(spark, sf).select("id_laitlact", "gap", "gap_total", "date_vel")
+    started, _ = _started(spark, sf, stage(lactations(spark, sf), "lactations"))
+    return started.select("id_laitlact", "gap", "gap_total", "date_vel")
 
 
 @query(f"WITH {_ENDED} SELECT id_laitlact, date_vel, date_tar FROM ended")
 def end_dates(spark: SparkSession, sf: str) -> DataFrame:
-    return _ended(spark, sf).select("id_laitlact", "date_vel", "date_tar")
+    return _ended(spark, sf)[0].select("id_laitlact", "date_vel", "date_tar")
 
 
 @query(
@@ -364,9 +365,8 @@ FROM fixed WHERE date_vel < DATE '{AS_OF}'"""
 )
 def dated_lactations(spark: SparkSession, sf: str) -> DataFrame:
     """Generated lactations after overlap repair, removal of future rows and censoring."""
-    repaired = sequence.repair_overlap(
-        _ended(spark, sf), "noan", "nolact", "date_vel", "date_tar", generated=True
-    )
+    ended, short = _ended(spark, sf)
+    repaired = sequence.repair_overlap(ended, "noan", "nolact", "date_vel", "date_tar", short=short)
     kept = sequence.censor_as_of(sequence.drop_future(repaired, "date_vel", AS_OF), "date_tar", AS_OF)
     return kept.select("id_laitlact", "noan", "nolact", "date_vel", "date_tar")
 

@@ -136,14 +136,14 @@ def first_per_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"WITH {LACTATIONS}, {ANIMALS}, g AS (SELECT breed, nolact, {months_sql('tar', 'vel')} AS m, count(*) AS n "
-    "FROM lact l JOIN animals a ON l.noan = a.noan GROUP BY ALL) SELECT breed, nolact, n, "
-    "coalesce(m, CAST(trunc(avg(m) OVER (PARTITION BY breed, nolact)) AS INTEGER), 10) AS months FROM g"
+    "FROM lact l JOIN animals a ON l.noan = a.noan GROUP BY ALL), f AS (SELECT breed, nolact, n, "
+    "coalesce(m, CAST(trunc(avg(m) OVER (PARTITION BY breed, nolact)) AS INTEGER), 10) AS months FROM g) "
+    "SELECT breed, nolact, months, CAST(sum(n) AS BIGINT) AS n FROM f GROUP BY ALL"
 )
 def group_mean_fill(spark: SparkSession, sf: str) -> DataFrame:
     rows = lactations(spark, sf).join(animals(spark, sf).select("noan", "breed"), "noan")
-    return lactation.month_counts(
-        rows, months_between_trunc(F.col("tar"), F.col("vel")), ["breed", "nolact"], "months", 10
-    )
+    months = months_between_trunc(F.col("tar"), F.col("vel"))
+    return lactation.month_counts(rows, months, ["breed", "nolact"], "months", 10).cells
 
 
 @query(

@@ -10,11 +10,15 @@ class Limits:
     """A table of at most ``small_rows`` counted rows may be broadcast, and one of
     its groups may be held by one task. Larger tables are joined by shuffle, with
     the lookup side repeated ``salts`` times so that a hot key spreads over as
-    many tasks."""
+    many tasks. ``group_rows`` is the longest sequence that a window may hold."""
 
     small_rows: int = 200_000
+    group_rows: int = 100_000
     salts: int = 32
 
+    def short(self, length: int) -> bool:
+        return length <= self.group_rows
+
     def small(self, rows: int) -> bool:
         return rows <= self.small_rows
 

@@ -47,6 +47,27 @@ def dense_index(df: DataFrame, order: Sequence[str], start: int = 0, name: str =
     )
 
 
+def _carried(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per part ``_p`` the sum ``_off`` of its first group over all earlier parts.
+
+    Only the first and the last group of a part can be shared with another part, so
+    two rows per part are enough, however many groups there are.
+    """
+    group = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.lit(0).alias("k"))
+    grouped = placed.withColumn("_group", group)
+    ends = grouped.groupBy(F.col("_part").alias("_p")).agg(
+        F.min_by("_group", "_pos").alias("_first"), F.max_by("_group", "_pos").alias("_last")
+    )
+    at_end = (F.col("_part") == F.col("_p")) & F.col("_group").eqNullSafe(F.col("_last"))
+    tails = grouped.join(F.broadcast(ends), at_end).groupBy("_p", "_last").agg(F.sum("_w").alias("_s"))
+    both = tails.select("_p", F.col("_last").alias("_g"), "_s", F.lit(1).alias("_tail")).unionByName(
+        ends.select("_p", F.col("_first").alias("_g"), F.lit(0).cast("bigint").alias("_s"), F.lit(0).alias("_tail"))
+    )
+    before = Window.partitionBy("_g").orderBy("_p", "_tail").rowsBetween(Window.unboundedPreceding, -1)
+    carried = both.withColumn("_off", F.sum("_s").over(before)).where(F.col("_tail") == 0)
+    return carried.select("_p", "_g", "_off")
+
+
 def running_total(
     df: DataFrame,
     order: Sequence[str],
@@ -54,28 +75,21 @@ def running_total(
     name: str,
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Sum of ``weight`` from the first row of the key group up to this row.
+    """Sum of the integer ``weight`` from the first row of the key group up to this row.
 
-    A group of any size is summed part by part. Since the parts are ranges of
-    (keys, order), at most one group per part goes on from the part before, so the
-    table of carried sums has no more rows than there are parts.
+    A group of any size is summed part by part, and the sums of earlier parts are
+    added to its later ones.
     """
-    placed = _in_order(df.withColumn("_w", weight), [*keys, *order])
-    names = {k: f"_k{i}" for i, k in enumerate(keys)}
-    before = Window.partitionBy(*names.values()).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        placed.groupBy(*[F.col(k).alias(a) for k, a in names.items()], F.col("_part").alias("_p"))
-        .agg(F.sum("_w").alias("_s"))
-        .withColumn("_off", F.sum("_s").over(before))
-        .where(F.col("_off").isNotNull())
-        .drop("_s")
+    placed = _in_order(df.withColumn("_w", weight.cast("bigint")), [*keys, *order])
+    offsets = _carried(placed, keys)
+    on = all_of(
+        [F.col("_part") == F.col("_p"), *[F.col(k).eqNullSafe(F.col(f"_g.k{i}")) for i, k in enumerate(keys)]]
     )
-    on = all_of([F.col("_part") == F.col("_p"), *[F.col(k).eqNullSafe(F.col(a)) for k, a in names.items()]])
     here = Window.partitionBy(*keys, "_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        placed.join(F.broadcast(carried), on, "left")
+        placed.join(F.broadcast(offsets), on, "left")
         .withColumn(name, F.coalesce("_off", F.lit(0)) + F.sum("_w").over(here))
-        .drop("_w", "_place", "_part", "_pos", "_p", "_off", *names.values())
+        .drop("_w", "_place", "_part", "_pos", "_p", "_g", "_off")
     )
 
 

@@ -39,17 +39,31 @@ def parity_profile(
 
 
 def month_counts(
-    rows: DataFrame, months: Column, by: Sequence[str], name: str, default: int | None, limits: Limits
-) -> DataFrame:
-    """Staged ``(by…, name, n)`` in which a NULL month count takes the group's mean, then the default."""
+    rows: DataFrame,
+    months: Column,
+    by: Sequence[str],
+    name: str,
+    default: int | None,
+    limits: Limits = DEFAULT_LIMITS,
+) -> Profile:
+    """Profile of month counts in which a NULL count takes the group's mean, then the default.
+
+    The mean is taken over the distinct counts of a group, each with the same weight.
+    """
     counts = rows.withColumn("_m", months).groupBy(*by, "_m").agg(F.count(F.lit(1)).alias("n"))
     cells = stage(counts, "months")
-    small = limits.small(cells.count())
-    grouped = with_group_values(cells, by, {"_mean": F.avg("_m")}, small, limits)
+    rows_staged = cells.count()
+    grouped = with_group_values(cells, by, {"_mean": F.avg("_m")}, limits.small(rows_staged), limits)
     filled = [F.col("_m"), F.col("_mean").cast("int")]
     if default is not None:
         filled.append(F.lit(default))
-    return grouped.select(*by, F.coalesce(*filled).alias(name), "n")
+    merged = grouped.groupBy(*by, F.coalesce(*filled).alias(name)).agg(F.sum("n").alias("n"))
+    return Profile(merged.where(F.col(name).isNotNull()), tuple(by), name, rows_staged, limits)
+
+
+def longest(parity: Profile) -> int:
+    """The largest lactation count of the profile: no generated sequence is longer."""
+    return parity.cells.agg(F.max(parity.value)).first()[0] or 1
 
 
 def gap_rows(
@@ -85,8 +99,7 @@ def gap_profile(
     """Months from birth to first calving, then between calvings, by ``by`` and ordinal."""
     rows = gap_rows(lactations, animals, key, ordinal, start, end, birth, by)
     keys = [*by, ordinal]
-    months = month_counts(rows, F.col("gap"), keys, "gap", DEFAULT_MONTHS, limits)
-    return profile(months, "gap", keys, F.col("n"), limits)
+    return month_counts(rows, F.col("gap"), keys, "gap", DEFAULT_MONTHS, limits)
 
 
 def duration_profile(
@@ -105,4 +118,4 @@ def duration_profile(
     joined = finished.join(owners, F.col(key) == F.col("_animal"))
     keys = [*by, ordinal]
     months = months_between_trunc(F.col(end), F.col(start))
-    return profile(month_counts(joined, months, keys, "duration", None, limits), "duration", keys, F.col("n"), limits)
+    return month_counts(joined, months, keys, "duration", None, limits)

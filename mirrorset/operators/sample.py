@@ -32,9 +32,6 @@ class TieredDistribution:
     small: bool
     limits: Limits
 
-    def key_columns(self) -> list[str]:
-        return [f"d_{i}" for i in range(len(self.keys))]
-
 
 def tiered_distribution(
     prof: Profile, tiers: Sequence[Sequence[str]], pool: str = "cells"
@@ -85,12 +82,8 @@ def tiered_distribution(
     return TieredDistribution(intervals, prof.keys, tuple(tuple(t) for t in tiers), small, prof.limits)
 
 
-def tiered_lookup(rows: DataFrame, dist: TieredDistribution, columns: Mapping[str, str]) -> DataFrame:
-    """Tag each row with the first tier whose key group exists: ``tier``, ``tot``, ``k``.
-
-    ``columns`` maps the profile's keys to the columns of ``rows``. Rows that no
-    tier covers, also by a NULL key, get NULL.
-    """
+def _tagged(rows: DataFrame, dist: TieredDistribution, columns: Mapping[str, str]) -> DataFrame:
+    """Add ``_tier``, ``_tot`` and ``_k`` of the first tier whose key group exists."""
     heads = dist.intervals.where(F.col("lo") == 0)
     out = rows
     for number, used in enumerate(dist.tiers, start=1):
@@ -107,33 +100,38 @@ def tiered_lookup(rows: DataFrame, dist: TieredDistribution, columns: Mapping[st
             for c in (f"_tot{number}", f"_k{number}"):
                 out = out.withColumn(c, head.select(c).scalar())
     tags = range(1, len(dist.tiers) + 1)
-    tier = F.coalesce(*[F.when(F.col(f"_tot{t}").isNotNull(), F.lit(t)) for t in tags])
-    keep = [F.col(c) for c in rows.columns]
     return out.select(
-        *keep,
-        tier.alias("tier"),
-        F.coalesce(*[F.col(f"_tot{t}") for t in tags]).alias("tot"),
-        F.coalesce(*[F.col(f"_k{t}") for t in tags]).alias("k"),
+        *rows.columns,
+        F.coalesce(*[F.when(F.col(f"_tot{t}").isNotNull(), F.lit(t)) for t in tags]).alias("_tier"),
+        F.coalesce(*[F.col(f"_tot{t}") for t in tags]).alias("_tot"),
+        F.coalesce(*[F.col(f"_k{t}") for t in tags]).alias("_k"),
     )
 
 
-def _slots(dist: TieredDistribution) -> DataFrame:
-    """Intervals repeated for the slots they may touch; a group has as many slots as values.
+def tiered_lookup(rows: DataFrame, dist: TieredDistribution, columns: Mapping[str, str]) -> DataFrame:
+    """Tag each row with the number ``tier`` of the first tier whose key group exists.
+
+    ``columns`` maps the profile's keys to the columns of ``rows``. Rows that no
+    tier covers, also by a NULL key, get NULL.
+    """
+    return _tagged(rows, dist, columns).withColumnRenamed("_tier", "tier").drop("_tot", "_k")
+
+
+def _slots(dist: TieredDistribution, finer: int) -> DataFrame:
+    """Intervals repeated for the slots they may touch; a group has ``finer`` slots per value.
 
     A draw's slot narrows its group to about two intervals. The bounds lean
-    outwards, the exact interval test follows in the join. Tables too large to
-    broadcast get more slots, which also spreads hot groups.
+    outwards, the exact interval test follows in the join.
     """
-    finer = 1 if dist.small else dist.limits.salts
     width = F.col("k") * F.lit(finer) / F.col("tot")
     first = F.greatest(F.lit(0), F.floor(F.col("lo") * width - 1e-6))
     last = F.least(F.col("k") * finer - 1, F.floor(F.col("hi") * width + 1e-6))
     return dist.intervals.select(
-        F.col("tier").alias("_tier"),
-        *dist.key_columns(),
+        F.col("tier").alias("_in_tier"),
+        *[F.col(f"d_{i}").alias(f"_d{i}") for i in range(len(dist.keys))],
         F.col("value").alias("_value"),
-        "lo",
-        "hi",
+        F.col("lo").alias("_lo"),
+        F.col("hi").alias("_hi"),
         F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))).alias("_slot"),
     )
 
@@ -145,32 +143,34 @@ def sample_conditional(
     draw: Column,
     name: str,
     default: Column | None = None,
-    with_tier: bool = False,
 ) -> DataFrame:
     """Draw a value per row from the first tier that knows its keys, else ``default``.
 
     ``draw`` is a 32-bit number (see ``hash_u32``) and is mapped to the interval
-    that holds ``floor(draw * tot / 2^32)``.
+    that holds ``floor(draw * tot / 2^32)``. Distributions too large to broadcast
+    get more slots, which also spreads the rows of a hot group.
     """
     finer = 1 if dist.small else dist.limits.salts
-    tagged = tiered_lookup(rows.withColumn("_u", draw), dist, columns)
-    point = tagged.withColumn("_x", scale_u32(F.col("_u"), F.col("tot"))).withColumn(
-        "_s", scale_u32(F.col("_u"), F.col("k") * finer)
-    )
-    on = [F.col("tier") == F.col("_tier"), F.col("_s") == F.col("_slot")]
-    for i, key in enumerate(dist.keys):
-        tiers_with = [t for t, used in enumerate(dist.tiers, start=1) if key in used]
-        if tiers_with:
-            mine = F.when(F.col("tier").isin(tiers_with), F.col(columns[key]))
-            point = point.withColumn(f"_m{i}", mine)
-            on.append(F.col(f"_m{i}").eqNullSafe(F.col(f"d_{i}")))
-    on.append((F.col("_x") >= F.col("lo")) & (F.col("_x") < F.col("hi")))
-    slots = _slots(dist)
-    lookup = F.broadcast(slots) if dist.small else slots
-    joined = point.join(lookup, all_of(on), "left")
+    tagged = _tagged(rows.withColumn("_u", draw), dist, columns)
+    point = tagged.select(
+        *rows.columns,
+        "_tier",
+        scale_u32(F.col("_u"), F.col("_tot")).alias("_x"),
+        scale_u32(F.col("_u"), F.col("_k") * finer).alias("_s"),
+        *[
+            F.when(F.col("_tier").isin([t for t, used in enumerate(dist.tiers, start=1) if key in used]),
+                   F.col(columns[key])).alias(f"_m{i}")
+            for i, key in enumerate(dist.keys)
+            if key in columns
+        ],
+    )
+    on = [F.col("_tier") == F.col("_in_tier"), F.col("_s") == F.col("_slot")]
+    on += [F.col(f"_m{i}").eqNullSafe(F.col(f"_d{i}")) for i, key in enumerate(dist.keys) if key in columns]
+    on.append((F.col("_x") >= F.col("_lo")) & (F.col("_x") < F.col("_hi")))
+    slots = _slots(dist, finer)
+    joined = point.join(F.broadcast(slots) if dist.small else slots, all_of(on), "left")
     value = F.col("_value") if default is None else F.coalesce(F.col("_value"), default)
-    extra = ["tier"] if with_tier else []
-    return joined.select(*rows.columns, *extra, value.alias(name))
+    return joined.select(*rows.columns, value.alias(name))
 
 
 def sample_from(

@@ -17,6 +17,7 @@ UNIT_DAYS = 30
 DEFAULT_MONTHS = 10
 SHORTEST_MONTHS = 2
 DRY_MONTHS = 2
+BLOCK = 1_000
 
 
 def explode_counter(
@@ -29,15 +30,19 @@ def explode_counter(
 ) -> DataFrame:
     """``count`` rows per key with ordinals from 1 and consecutive ids in key order.
 
-    The running sum is taken over keys, so the expanded rows are not shuffled.
+    The running sum is taken over keys, so the expanded rows are not shuffled. Long
+    counts are expanded block by block, so that no array gets long.
     """
-    summed = running_total(df, [key], F.col(count).cast("bigint"), "_end")
-    rows = summed.where(F.col(count) >= 1).withColumn(ordinal, F.explode(F.sequence(F.lit(1), F.col(count).cast("int"))))
-    return rows.withColumn(id_column, F.lit(start) + F.col("_end") - F.col(count) + F.col(ordinal) - 1).drop("_end")
+    summed = running_total(df, [key], F.col(count), "_end").where(F.col(count) >= 1)
+    number = F.col(count).cast("int")
+    blocks = summed.withColumn("_from", F.explode(F.sequence(F.lit(0), number - 1, F.lit(BLOCK))))
+    upto = F.least(number, F.col("_from") + BLOCK)
+    rows = blocks.withColumn(ordinal, F.explode(F.sequence(F.col("_from") + 1, upto)))
+    ids = F.lit(start) + F.col("_end") - F.col(count) + F.col(ordinal) - 1
+    return rows.withColumn(id_column, ids).drop("_end", "_from")
 
 
 def _per_key(key: str, ordinal: str) -> Window:
-    # Generated sequences only: a key has as many rows as the count drawn for it.
     return Window.partitionBy(key).orderBy(ordinal)
 
 
@@ -50,10 +55,17 @@ def cumulative_dates(
     name: str,
     unit_days: int = UNIT_DAYS,
     cumulated: str = "gap_total",
+    short: bool = False,
 ) -> DataFrame:
-    """Base date plus the running sum of gaps (months of ``unit_days``) along a generated sequence."""
-    upto = _per_key(key, ordinal).rowsBetween(Window.unboundedPreceding, 0)
-    total = df.withColumn(cumulated, F.sum(gap).over(upto))
+    """Base date plus the running sum of gaps (months of ``unit_days``) along the ordinals.
+
+    ``short`` states that no key has more rows than a window may hold.
+    """
+    if short:
+        upto = _per_key(key, ordinal).rowsBetween(Window.unboundedPreceding, 0)
+        total = df.withColumn(cumulated, F.sum(gap).over(upto))
+    else:
+        total = running_total(df, [ordinal], F.col(gap), cumulated, [key])
     return total.withColumn(name, add_days(F.col(base), F.col(cumulated) * unit_days))
 
 
@@ -66,10 +78,11 @@ def end_dates(
     name: str,
     unit_days: int = UNIT_DAYS,
     cumulative: bool = False,
+    short: bool = False,
 ) -> DataFrame:
     """Start date plus the row's own duration; ``cumulative`` adds the running sum instead."""
     if cumulative:
-        return cumulative_dates(df, key, ordinal, duration, start, name, unit_days, "_total").drop("_total")
+        return cumulative_dates(df, key, ordinal, duration, start, name, unit_days, "_total", short).drop("_total")
     return df.withColumn(name, add_days(F.col(start), F.col(duration) * unit_days))
 
 
@@ -88,15 +101,16 @@ def repair_overlap(
     months: int = DRY_MONTHS,
     overflow: bool = False,
     strict: bool = False,
-    generated: bool = False,
+    short: bool = False,
 ) -> DataFrame:
     """End ``months`` before the next start, where a row runs into the next ordinal.
 
-    ``strict`` also widens gaps shorter than ``months``. ``generated`` states that
-    keys are short by construction; the next row is then read by a window that
-    shares the partitioning of the running dates instead of by a join.
+    ``strict`` also widens gaps shorter than ``months``. ``short`` states that no key
+    has more rows than a window may hold and that ordinals are unique; the next row
+    is then read by a window, which shares the partitioning of the running dates,
+    instead of by a join.
     """
-    if generated:
+    if short:
         window = _per_key(key, ordinal)
         follows = F.lead(ordinal).over(window) == F.col(ordinal) + 1
         nxt = df.withColumn("_next", F.when(follows, F.lead(start).over(window)))

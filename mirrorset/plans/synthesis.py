@@ -132,6 +132,7 @@ def make_lactations(
     durations = lactation.duration_profile(
         source, known, "NOAN", "NOLACT", "DATE_VEL", "DATE_TAR", ["ACTIEL", "area"], s.limits
     )
+    short = s.limits.short(lactation.longest(parity))
     own = {"ACTIEL": "ACTIEL", "area": "area", "NOLACT": "NOLACT"}
     places = farms.select("NOINTEXPL", F.col("CODPOST").alias("area"))
     cows = animals.join(places, F.col("NOINTSANIT") == F.col("NOINTEXPL")).select(
@@ -145,17 +146,17 @@ def make_lactations(
     spaced = sample_by_tiers(
         rows, gaps, GAP_TIERS, own, row_key, "gap", s.seed, "gap", sequence.DEFAULT_MONTHS, s.pool
     )
-    started = sequence.cumulative_dates(spaced, "NOAN", "NOLACT", "gap", "birth", "DATE_VEL", s.unit_days)
+    started = sequence.cumulative_dates(spaced, "NOAN", "NOLACT", "gap", "birth", "DATE_VEL", s.unit_days, short=short)
     lasting = sample_by_tiers(
         started, durations, GAP_TIERS, own, row_key, "duration", s.seed, "duration",
         sequence.DEFAULT_MONTHS, s.pool, sequence.SHORTEST_MONTHS,
     )
     ended = sequence.end_dates(
-        lasting, "NOAN", "NOLACT", "DATE_VEL", "duration", "DATE_TAR", s.unit_days, s.cumulative_durations
+        lasting, "NOAN", "NOLACT", "DATE_VEL", "duration", "DATE_TAR", s.unit_days, s.cumulative_durations, short
     )
     repaired = sequence.repair_overlap(
         ended, "NOAN", "NOLACT", "DATE_VEL", "DATE_TAR",
-        overflow=s.overflow_months, strict=s.strict_gap, generated=True,
+        overflow=s.overflow_months, strict=s.strict_gap, short=short,
     )
     kept = sequence.drop_future(sequence.normalise_dates(repaired, "DATE_VEL", "DATE_TAR"), "DATE_VEL", s.as_of)
     return sequence.censor_as_of(kept, "DATE_TAR", s.as_of).select(
