@@ -121,7 +121,8 @@ def surrogate_key(idx: Column, low: int, high: int, seed: int) -> Column:
     span = high - low
     factor, shift = permutation(seed, span)
     key = F.lit(low) + F.pmod(F.lit(factor).cast("bigint") * idx + F.lit(shift), F.lit(span))
-    return F.when(idx < span, key).otherwise(F.raise_error(F.lit(f"more than {span} keys are needed")).cast("bigint"))
+    refused = F.raise_error(F.lit(f"more than {span} keys are needed")).cast("bigint")
+    return F.when(idx >= span, refused).otherwise(key)
 
 
 def pick_existing(
