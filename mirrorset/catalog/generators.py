@@ -43,8 +43,12 @@ def _places(spark: SparkSession, sf: str) -> DataFrame:
     return cohort.with_area(farms(spark, sf), "postcode").select("farm", "area")
 
 
+def _n_farms(spark: SparkSession, sf: str) -> int:
+    return table(spark, sf, "supplier").count()
+
+
 def _new_farms(spark: SparkSession, sf: str) -> DataFrame:
-    n = table(spark, sf, "supplier").count()
+    n = _n_farms(spark, sf)
     return cohort.generate_entities(spark, n, profile(_places(spark, sf), "area"), SEED, "new_farm", "area")
 
 
@@ -68,7 +72,7 @@ def _herds(spark: SparkSession, sf: str) -> DataFrame:
     "row_number() OVER (PARTITION BY area ORDER BY herd) AS slot FROM herds"
 )
 def herd_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return cohort.herd_slots(_herds(spark, sf))
+    return cohort.herd_slots(_herds(spark, sf), _n_farms(spark, sf))
 
 
 # Herds of the first areas only, so that some farms must take one from the pool of all herds.
@@ -85,7 +89,7 @@ assigned AS (SELECT s.new_farm, s.area, h.herd, h.n_members FROM sized s JOIN lo
 
 def _assigned(spark: SparkSession, sf: str) -> DataFrame:
     have = _herds(spark, sf).where(F.col("area") <= 1500)
-    return cohort.assign_cohorts(_new_farms(spark, sf), have, "new_farm", "area", SEED)
+    return cohort.assign_cohorts(_new_farms(spark, sf), have, "new_farm", "area", SEED, _n_farms(spark, sf))
 
 
 @query(f"WITH {_ASSIGNED} SELECT new_farm, area, herd, n_members FROM assigned")
@@ -101,7 +105,7 @@ clones AS (SELECT noan, breed, birth, new_farm, first + r AS idx FROM members JO
 
 def _clones(spark: SparkSession, sf: str, assigned: DataFrame) -> DataFrame:
     members = animals(spark, sf).select("noan", "breed", "birth", "farm")
-    return cohort.clone_members(assigned, members, "new_farm", "noan", "farm")
+    return cohort.clone_members(assigned, members, "new_farm", "noan", "farm", _n_farms(spark, sf))
 
 
 @query(f"WITH {_CLONES} SELECT noan, breed, birth, new_farm, idx FROM clones")
@@ -127,7 +131,7 @@ _DAM = f"(idx + 1 + {scale_sql(hash_sql('dam', 'idx'), f'({_N_CLONES} - 1)')}) %
     f"CASE WHEN {hash_sql('dam known', 'idx')} < 3435973836 THEN {_surrogate(_DAM)} END AS noanmere FROM clones"
 )
 def pedigree(spark: SparkSession, sf: str) -> DataFrame:
-    assigned = _assigned(spark, sf)
+    assigned = stage(_assigned(spark, sf), "assigned")
     total = assigned.agg(F.sum("n_members").alias("n")).scalar()
     clones = _clones(spark, sf, assigned).drop("noan", "farm")
     new = cohort.pedigree(clones, total, SEED, low=1_000_000, high=1_000_000 + _SPAN, no_self=True)
@@ -180,7 +184,7 @@ def visit_calendar(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_CALENDAR} SELECT farm, visit_date, 700000 + row_number() OVER (ORDER BY farm, visit_date) - 1 AS visit_id FROM cal")
 def visit_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return cal.visit_ids(_plan(spark, sf), "farm").select("farm", "visit_date", "visit_id")
+    return cal.visit_ids(_plan(spark, sf), "farm", n_farms=_n_farms(spark, sf)).select("farm", "visit_date", "visit_id")
 
 
 @query(

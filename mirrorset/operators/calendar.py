@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mirrorset.config import DEFAULT_LIMITS, Limits
 from mirrorset.functions.dates import add_days, subtract_years
 from mirrorset.functions.draws import coin, hash_u32, scale_u32
 from mirrorset.operators.keys import first_per_key, running_total
@@ -73,13 +74,18 @@ def visit_calendar(plan: DataFrame, date_column: str = "visit_date") -> DataFram
 
 
 def visit_ids(
-    plan: DataFrame, farm_id: str, start: int = VISIT_START, name: str = "visit_id"
+    plan: DataFrame,
+    farm_id: str,
+    start: int = VISIT_START,
+    name: str = "visit_id",
+    n_farms: int | None = None,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Calendar with consecutive ids in the order (farm, date).
 
     The running sum is taken over farms, before the visits are laid out.
     """
-    summed = running_total(plan, [farm_id], F.col("n_visits").cast("bigint"), "_end")
+    summed = running_total(plan, [farm_id], F.col("n_visits"), "_end", (), n_farms, limits)
     visits = visit_calendar(summed.withColumn("_start", F.col("_end") - F.col("n_visits")))
     return visits.withColumn(name, F.lit(start) + F.col("_start") + F.col("pos")).drop("_start", "_end")
 

@@ -65,9 +65,9 @@ def herds(
     return counted.join(places, F.col("herd") == F.col("_farm")).select("area", "herd", "n_members")
 
 
-def herd_slots(herds_: DataFrame) -> DataFrame:
-    """Number the herds of each area from 1, in the order of their ids."""
-    return group_rank(herds_, ["area"], ["herd"], "slot")
+def herd_slots(herds_: DataFrame, most: int | None = None, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """Number the herds of each area from 1, in the order of their ids; ``most`` bounds their number."""
+    return group_rank(herds_, ["area"], ["herd"], "slot", most, limits)
 
 
 def assign_cohorts(
@@ -76,37 +76,35 @@ def assign_cohorts(
     target_id: str,
     area: str,
     seed: int,
+    n_targets: int | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Give each target a herd of its own area, or any herd where the area has none.
 
     Herds and targets are shuffled by hash inside the area and matched by position;
     when targets outnumber herds the herds go round again. Returns
-    ``(target_id, area, herd, n_members)``.
+    ``(target_id, area, herd, n_members)``. ``n_targets`` is the number of targets,
+    if known.
     """
-    mixed_herds = herds_.withColumn("_u", hash_u32(seed, "herd", F.col("herd")))
-    local = group_rank(mixed_herds.where(F.col("area").isNotNull()), ["area"], ["_u", "herd"], "_r")
-    everywhere = dense_index(
-        mixed_herds.select(F.lit(None).cast(herds_.schema["area"].dataType).alias("area"), "herd", "n_members", "_u"),
-        ["_u", "herd"],
-        1,
-        "_r",
-    )
-    slots = stage(local.unionByName(everywhere).drop("_u"), "herds")
-    small = limits.small(slots.count())
-    sizes = slots.groupBy(F.col("area").alias("_a")).agg(F.max("_r").alias("_n"))
+    mixed_herds = stage(herds_.withColumn("_u", hash_u32(seed, "herd", F.col("herd"))), "herds")
+    n_herds = mixed_herds.count()
+    small = limits.small(n_herds)
+    placed_herds = mixed_herds.where(F.col("area").isNotNull())
+    local = group_rank(placed_herds, ["area"], ["_u", "herd"], "_r", n_herds, limits)
+    no_area = mixed_herds.withColumn("area", F.lit(None).cast(herds_.schema["area"].dataType))
+    everywhere = dense_index(no_area, ["_u", "herd"], 1, "_r", n_herds, limits)
+    slots = local.unionByName(everywhere).drop("_u")
+    sizes = placed_herds.groupBy(F.col("area").alias("_a")).agg(F.count(F.lit(1)).alias("_n"))
 
     mixed = targets.withColumn("_u", hash_u32(seed, "target", F.col(target_id)))
-    ranked = group_rank(mixed, [area], ["_u", target_id], "_rank").drop("_u")
-    known = lookup_join(ranked, sizes.where(F.col("_a").isNotNull()), F.col(area) == F.col("_a"), "left", small, limits)
-    total = sizes.where(F.col("_a").isNull()).select("_n").scalar()
-    turned = scale_u32(hash_u32(seed, "pool", F.col(area)), total)  # areas without herds start anywhere
+    ranked = group_rank(mixed, [area], ["_u", target_id], "_rank", n_targets, limits).drop("_u")
+    known = lookup_join(ranked, sizes, F.col(area) == F.col("_a"), "left", small, limits)
+    turned = scale_u32(hash_u32(seed, "pool", F.col(area)), n_herds)  # areas without herds start anywhere
+    in_pool = (F.col("_rank") - 1 + turned) % max(n_herds, 1)
     placed = known.select(
         *[F.col(c) for c in targets.columns],
         F.when(F.col("_n").isNotNull(), F.col(area)).alias("_area"),
-        F.when(F.col("_n").isNotNull(), (F.col("_rank") - 1) % F.col("_n"))
-        .otherwise((F.col("_rank") - 1 + turned) % total)
-        .alias("_slot"),
+        F.when(F.col("_n").isNotNull(), (F.col("_rank") - 1) % F.col("_n")).otherwise(in_pool).alias("_slot"),
     )
     chosen = slots.select(
         F.col("area").alias("_herd_area"), "herd", "n_members", (F.col("_r") - 1).alias("_herd_slot")
@@ -121,18 +119,25 @@ def clone_members(
     target_id: str,
     member_id: str,
     member_farm: str,
+    n_targets: int | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Every member of a target's herd, copied to the target, with a dense index from 0.
 
     The index is the target's offset plus the member's rank in its herd, so the
     clones, the largest table here, are not sorted. Adds ``target_id`` and ``idx``
-    to the columns of ``members``.
+    to the columns of ``members``. Without ``n_targets``, a bound on their number,
+    ``assigned`` is staged and counted.
     """
-    offsets = stage(running_total(assigned, [target_id], F.col("n_members"), "_end"), "targets").select(
-        F.col(target_id), F.col("herd").alias("_herd"), (F.col("_end") - F.col("n_members")).alias("_start")
+    assigned = assigned.select(target_id, "herd", "n_members")
+    if n_targets is None:
+        assigned = stage(assigned, "targets")
+        n_targets = assigned.count()
+    small = limits.small(n_targets)
+    summed = running_total(assigned, [target_id], F.col("n_members"), "_end", (), n_targets, limits)
+    offsets = summed.select(
+        target_id, F.col("herd").alias("_herd"), (F.col("_end") - F.col("n_members")).alias("_start")
     )
-    small = limits.small(offsets.count())
     ranked = group_rank(members, [member_farm], [member_id], "_rank")
     joined = lookup_join(ranked, offsets, F.col(member_farm) == F.col("_herd"), "inner", small, limits)
     return joined.select(

@@ -8,6 +8,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mirrorset.config import DEFAULT_LIMITS, Limits
 from mirrorset.functions.draws import hash_u32, scale_u32
 from mirrorset.operators.joins import all_of
 from mirrorset.sources.staging import stage
@@ -28,11 +29,25 @@ def _in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
-def dense_index(df: DataFrame, order: Sequence[str], start: int = 0, name: str = "idx") -> DataFrame:
+def _fits(rows: int | None, limits: Limits) -> bool:
+    return rows is not None and limits.small(rows)
+
+
+def dense_index(
+    df: DataFrame,
+    order: Sequence[str],
+    start: int = 0,
+    name: str = "idx",
+    rows: int | None = None,
+    limits: Limits = DEFAULT_LIMITS,
+) -> DataFrame:
     """Contiguous ids from ``start`` in the total order of the columns ``order``.
 
-    Only the row counts of the parts, one number each, pass through one task.
+    Only the row counts of the parts, one number each, pass through one task. Where
+    the number of ``rows`` is known to be small, a plain window does it.
     """
+    if _fits(rows, limits):
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint") + (start - 1))
     placed = _in_order(df, order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -48,24 +63,22 @@ def dense_index(df: DataFrame, order: Sequence[str], start: int = 0, name: str =
 
 
 def _carried(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per part ``_p`` the sum ``_off`` of its first group over all earlier parts.
+    """Per part ``_p`` the sum ``_off`` of its first group ``_g0``… over all earlier parts.
 
     Only the first and the last group of a part can be shared with another part, so
     two rows per part are enough, however many groups there are.
     """
-    group = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.lit(0).alias("k"))
-    grouped = placed.withColumn("_group", group)
-    ends = grouped.groupBy(F.col("_part").alias("_p")).agg(
-        F.min_by("_group", "_pos").alias("_first"), F.max_by("_group", "_pos").alias("_last")
-    )
-    at_end = (F.col("_part") == F.col("_p")) & F.col("_group").eqNullSafe(F.col("_last"))
-    tails = grouped.join(F.broadcast(ends), at_end).groupBy("_p", "_last").agg(F.sum("_w").alias("_s"))
-    both = tails.select("_p", F.col("_last").alias("_g"), "_s", F.lit(1).alias("_tail")).unionByName(
-        ends.select("_p", F.col("_first").alias("_g"), F.lit(0).cast("bigint").alias("_s"), F.lit(0).alias("_tail"))
-    )
-    before = Window.partitionBy("_g").orderBy("_p", "_tail").rowsBetween(Window.unboundedPreceding, -1)
-    carried = both.withColumn("_off", F.sum("_s").over(before)).where(F.col("_tail") == 0)
-    return carried.select("_p", "_g", "_off")
+    group = [f"_g{i}" for i in range(len(keys))]
+    named = placed.select(F.col("_part").alias("_p"), "_pos", "_w", *[F.col(k).alias(g) for k, g in zip(keys, group)])
+    lasts = named.groupBy(F.col("_p").alias("_lp")).agg(F.max("_pos").alias("_end"))
+    ends = named.join(F.broadcast(lasts), (F.col("_p") == F.col("_lp")) & (F.col("_pos") == F.col("_end")))
+    last_groups = ends.select("_lp", *[F.col(g).alias(f"_l{g}") for g in group])
+    in_last = all_of([F.col("_p") == F.col("_lp"), *[F.col(g).eqNullSafe(F.col(f"_l{g}")) for g in group]])
+    tails = named.join(F.broadcast(last_groups), in_last).groupBy("_p", *group).agg(F.sum("_w").alias("_s"))
+    heads = named.where(F.col("_pos") == 0).select("_p", *group, F.lit(0).cast("bigint").alias("_s"))
+    both = tails.withColumn("_tail", F.lit(1)).unionByName(heads.withColumn("_tail", F.lit(0)))
+    before = Window.partitionBy(*group).orderBy("_p", "_tail").rowsBetween(Window.unboundedPreceding, -1)
+    return both.withColumn("_off", F.sum("_s").over(before)).where(F.col("_tail") == 0).select("_p", *group, "_off")
 
 
 def running_total(
@@ -74,28 +87,41 @@ def running_total(
     weight: Column,
     name: str,
     keys: Sequence[str] = (),
+    rows: int | None = None,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Sum of the integer ``weight`` from the first row of the key group up to this row.
 
     A group of any size is summed part by part, and the sums of earlier parts are
-    added to its later ones.
+    added to its later ones. Where the number of ``rows`` is known to be small, a
+    plain window does it.
     """
+    if _fits(rows, limits):
+        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(name, F.sum(weight.cast("bigint")).over(upto))
     placed = _in_order(df.withColumn("_w", weight.cast("bigint")), [*keys, *order])
     offsets = _carried(placed, keys)
     on = all_of(
-        [F.col("_part") == F.col("_p"), *[F.col(k).eqNullSafe(F.col(f"_g.k{i}")) for i, k in enumerate(keys)]]
+        [F.col("_part") == F.col("_p"), *[F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)]]
     )
     here = Window.partitionBy(*keys, "_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     return (
         placed.join(F.broadcast(offsets), on, "left")
         .withColumn(name, F.coalesce("_off", F.lit(0)) + F.sum("_w").over(here))
-        .drop("_w", "_place", "_part", "_pos", "_p", "_g", "_off")
+        .drop("_w", "_place", "_part", "_pos", "_p", "_off", *[f"_g{i}" for i in range(len(keys))])
     )
 
 
-def group_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rank") -> DataFrame:
+def group_rank(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str = "rank",
+    rows: int | None = None,
+    limits: Limits = DEFAULT_LIMITS,
+) -> DataFrame:
     """Row number from 1 inside each key group."""
-    return running_total(df, order, F.lit(1).cast("bigint"), name, keys)
+    return running_total(df, order, F.lit(1).cast("bigint"), name, keys, rows, limits)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:

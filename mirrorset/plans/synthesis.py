@@ -65,16 +65,15 @@ def make_farms(spark: SparkSession, src: Mapping[str, DataFrame], s: Settings) -
 
 def make_animals(src: Mapping[str, DataFrame], farms: DataFrame, s: Settings) -> DataFrame:
     places = cohort.with_area(src["EXPLOITATION"], "CODPOST")
-    source_herds = stage(cohort.herds(src["IDENTANV"], places, "NOINTSANIT", "NOINTEXPL", "area"), "source-herds")
+    source_herds = cohort.herds(src["IDENTANV"], places, "NOINTSANIT", "NOINTEXPL", "area")
+    addressed = farms.where(F.col("CODPOST") != 0)
     assigned = stage(
-        cohort.assign_cohorts(
-            farms.where(F.col("CODPOST") != 0), source_herds, "NOINTEXPL", "CODPOST", s.seed, s.limits
-        ),
+        cohort.assign_cohorts(addressed, source_herds, "NOINTEXPL", "CODPOST", s.seed, s.n_farms, s.limits),
         "assigned",
     )
     kept = src["IDENTANV"].where(F.col("NOINTSANIT") != cohort.EXIT_FARM)
     members = kept.select("NOAN", "DTNAISANINV", "NOINTSANIT", "ACTIEL")
-    clones = cohort.clone_members(assigned, members, "NOINTEXPL", "NOAN", "NOINTSANIT", s.limits)
+    clones = cohort.clone_members(assigned, members, "NOINTEXPL", "NOAN", "NOINTSANIT", s.n_farms, s.limits)
     total = assigned.agg(F.sum("n_members").alias("n")).scalar()
     new = cohort.pedigree(
         clones.drop("NOAN", "NOINTSANIT"),
@@ -98,7 +97,8 @@ def make_visits(src: Mapping[str, DataFrame], farms: DataFrame, s: Settings) ->
         ["DATE_CTRL", "ID_LAITEXPL"], s.seed, filter_first=s.type_filter_first, name="CD_TYPE_CTRL",
     )
     plan = cal.visit_plan(typed, "NOINTEXPL", s.as_of, cal.step_days(F.col("CD_TYPE_CTRL")), s.seed)
-    visits = cal.visit_ids(plan, "NOINTEXPL", name="ID_LAITEXPL").withColumnRenamed("visit_date", "DATE_CTRL")
+    numbered = cal.visit_ids(plan, "NOINTEXPL", name="ID_LAITEXPL", n_farms=s.n_farms, limits=s.limits)
+    visits = numbered.withColumnRenamed("visit_date", "DATE_CTRL")
     stepped = cal.control_steps(visits, source, "CD_ETAPE_CTRL", ["NOINTEXPL", "pos"], s.seed, "CD_ETAPE_CTRL")
     dated = cal.lab_dates(
         stepped, "DATE_CTRL", cal.mean_lag(source, "DATE_CTRL", "DATE_RECEPT_ANALYSE"), "DATE_RECEPT_ANALYSE"

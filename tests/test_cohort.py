@@ -55,7 +55,7 @@ def targets(spark):
 
 
 def test_assignment_uses_the_own_area_and_goes_round(targets, source_herds, limits):
-    got = cohort.assign_cohorts(targets, source_herds, "farm", "place", 4, limits).collect()
+    got = cohort.assign_cohorts(targets, source_herds, "farm", "place", 4, 16, limits).collect()
     assert len(got) == 16
     by_area = {a: Counter(r.herd for r in got if r.place == a) for a in (1300, 1400, 1500, 1600)}
     assert sorted(by_area[1300].values()) == [2, 2, 3] and set(by_area[1300]) == {1, 2, 3}
@@ -70,16 +70,16 @@ def test_assignment_without_any_herd(targets, source_herds):
 
 def test_assignment_does_not_depend_on_partitioning(targets, source_herds, limits):
     def run(n):
-        out = cohort.assign_cohorts(targets.repartition(n), source_herds.repartition(n), "farm", "place", 4, limits)
+        out = cohort.assign_cohorts(targets.repartition(n), source_herds.repartition(n), "farm", "place", 4, 16, limits)
         return sorted(tuple(r) for r in out.collect())
 
     assert run(1) == run(17)
 
 
 def test_clones_and_pedigree(targets, source_herds, source_animals, limits):
-    assigned = cohort.assign_cohorts(targets, source_herds, "farm", "place", 4, limits)
+    assigned = cohort.assign_cohorts(targets, source_herds, "farm", "place", 4, 16, limits)
     members = source_animals.withColumnRenamed("farm", "home")
-    clones = cohort.clone_members(assigned, members, "farm", "noan", "home", limits)
+    clones = cohort.clone_members(assigned, members, "farm", "noan", "home", limits=limits)
     rows = clones.collect()
     total = sum(r.n_members for r in assigned.collect())
     assert sorted(r.idx for r in rows) == list(range(total))

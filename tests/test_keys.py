@@ -7,6 +7,19 @@ from pyspark.sql import functions as F
 from mirrorset.operators import joins, keys
 
 
+@pytest.fixture(autouse=True, params=["true", "false"], ids=["one part", "many parts"])
+def parts_per_table(spark, request):
+    """Small tables end up in one part unless Spark is told to keep all of them."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_tables_are_really_cut_into_parts(hot, parts_per_table):
+    parts = {r[0] for r in keys._in_order(hot, ["g", "v", "id"]).select("_part").distinct().collect()}
+    assert (len(parts) > 4) == (parts_per_table == "false")
+
+
 def test_dense_index_is_contiguous_in_order(spark, hot):
     got = keys.dense_index(hot, ["v", "id"], 100).orderBy("v", "id").collect()
     assert [r.idx for r in got] == list(range(100, 2100))
@@ -29,6 +42,15 @@ def test_running_total_and_rank_match_brute_force(spark, hot, parts):
             assert (r.total, ranks[r.id]) == (total, position)
 
 
+def test_counted_tables_give_the_same_numbers(spark, hot):
+    for large, small in (
+        (keys.group_rank(hot, ["g"], ["v", "id"]), keys.group_rank(hot, ["g"], ["v", "id"], rows=2000)),
+        (keys.dense_index(hot, ["v", "id"], 5), keys.dense_index(hot, ["v", "id"], 5, rows=2000)),
+        (keys.running_total(hot, ["id"], F.col("v"), "t"), keys.running_total(hot, ["id"], F.col("v"), "t", rows=2000)),
+    ):
+        assert large.dtypes == small.dtypes and large.exceptAll(small).count() == 0
+
+
 def test_running_total_without_keys(spark, hot):
     got = keys.running_total(hot, ["id"], F.lit(2), "total").orderBy("id").collect()
     assert [r.total for r in got] == list(range(2, 4002, 2))

@@ -75,10 +75,15 @@ def test_small_and_large_plans_give_the_same_tables(spark, source):
         return [farms, animals, make_visits(src, farms, settings), make_lactations(src, farms, animals, settings)]
 
     small = tables(SETTINGS)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
     large = tables(replace(SETTINGS, limits=Limits(small_rows=0, group_rows=0, salts=3)))
     for a, b in zip(small, large):
+        assert a.dtypes == b.dtypes
         mine, theirs = (sorted(map(repr, df.collect())) for df in (a, b))
         assert mine == theirs and mine
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
 def test_jitter_moves_birth_dates(spark, source):
