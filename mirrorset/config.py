@@ -7,14 +7,18 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Limits:
-    """A table of at most ``small_rows`` counted rows may be broadcast, and one of
-    its groups may be held by one task. Larger tables are joined by shuffle, with
-    the lookup side repeated ``salts`` times so that a hot key spreads over as
-    many tasks. ``group_rows`` is the longest sequence that a window may hold."""
+    """Bounds below which data may be held whole by a task or broadcast.
+
+    A table of at most ``small_rows`` counted rows may be broadcast, and its groups
+    may be held by one task each. Larger lookup tables are joined by shuffle; a key
+    that holds a share of more than one in ``salts`` rows is then spread over as many
+    tasks as its share asks for. ``group_rows`` is the longest sequence that a window
+    by key may hold.
+    """
 
     small_rows: int = 200_000
     group_rows: int = 100_000
-    salts: int = 32
+    salts: int = 1_000
 
     def short(self, length: int) -> bool:
         return length <= self.group_rows

@@ -98,7 +98,7 @@ def assign_cohorts(
 
     mixed = targets.withColumn("_u", hash_u32(seed, "target", F.col(target_id)))
     ranked = group_rank(mixed, [area], ["_u", target_id], "_rank", n_targets, limits).drop("_u")
-    known = lookup_join(ranked, sizes, F.col(area) == F.col("_a"), "left", small, limits)
+    known = lookup_join(ranked, sizes, {area: "_a"}, "left", small, "_n", limits)
     turned = scale_u32(hash_u32(seed, "pool", F.col(area)), n_herds)  # areas without herds start anywhere
     in_pool = (F.col("_rank") - 1 + turned) % max(n_herds, 1)
     placed = known.select(
@@ -109,8 +109,16 @@ def assign_cohorts(
     chosen = slots.select(
         F.col("area").alias("_herd_area"), "herd", "n_members", (F.col("_r") - 1).alias("_herd_slot")
     )
-    on = F.col("_area").eqNullSafe(F.col("_herd_area")) & (F.col("_slot") == F.col("_herd_slot"))
-    return lookup_join(placed, chosen, on, "inner", small, limits).select(*targets.columns, "herd", "n_members")
+    if small:
+        on = F.col("_area").eqNullSafe(F.col("_herd_area")) & (F.col("_slot") == F.col("_herd_slot"))
+        joined = placed.join(F.broadcast(chosen), on)
+    else:
+        wanted = placed.groupBy(F.col("_area").alias("_wa"), F.col("_slot").alias("_ws")).agg(F.count(F.lit(1)).alias("_wanted"))
+        on = F.col("_herd_area").eqNullSafe(F.col("_wa")) & (F.col("_herd_slot") == F.col("_ws"))
+        counted = chosen.join(wanted, on).drop("_wa", "_ws")
+        keys = {"_area": "_herd_area", "_slot": "_herd_slot"}
+        joined = lookup_join(placed, counted, keys, "inner", False, "_wanted", limits, null_safe=True)
+    return joined.select(*targets.columns, "herd", "n_members")
 
 
 def clone_members(
@@ -136,10 +144,10 @@ def clone_members(
     small = limits.small(n_targets)
     summed = running_total(assigned, [target_id], F.col("n_members"), "_end", (), n_targets, limits)
     offsets = summed.select(
-        target_id, F.col("herd").alias("_herd"), (F.col("_end") - F.col("n_members")).alias("_start")
+        target_id, F.col("herd").alias("_herd"), "n_members", (F.col("_end") - F.col("n_members")).alias("_start")
     )
     ranked = group_rank(members, [member_farm], [member_id], "_rank")
-    joined = lookup_join(ranked, offsets, F.col(member_farm) == F.col("_herd"), "inner", small, limits)
+    joined = lookup_join(ranked, offsets, {member_farm: "_herd"}, "inner", small, "n_members", limits)
     return joined.select(
         *members.columns, target_id, (F.col("_start") + F.col("_rank") - 1).alias("idx")
     )

@@ -11,31 +11,50 @@ from pyspark.sql import functions as F
 from mirrorset.config import DEFAULT_LIMITS, Limits
 
 
+def all_of(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
-    on: Column,
+    on: Mapping[str, str],
     how: str,
     small: bool,
+    weight: str,
     limits: Limits = DEFAULT_LIMITS,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Join many rows to a lookup table whose column names differ from theirs.
+    """Join many rows to a lookup table; ``on`` maps columns of ``rows`` to those of ``lookup``.
 
     ``small`` states that the lookup was counted and fits ``limits``: it is then
-    broadcast. Otherwise each lookup row is repeated per salt and each row takes
-    one salt, so that rows with the same key go to ``limits.salts`` tasks.
+    broadcast. Otherwise ``weight``, the lookup's column with the number of rows
+    expected per key, tells the hot keys. There are fewer than ``limits.salts`` of
+    them; they are broadcast to give their rows a salt, and their lookup rows are
+    repeated per salt. All other keys are joined as they are.
     """
-    if small:
-        return rows.join(F.broadcast(lookup), on, how)
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(limits.salts)).cast("int"))
-    salts = F.sequence(F.lit(0), F.lit(limits.salts - 1))
-    salted_lookup = lookup.withColumn("_lookup_salt", F.explode(salts))
-    joined = salted_rows.join(salted_lookup, on & (F.col("_salt") == F.col("_lookup_salt")), how)
-    return joined.drop("_salt", "_lookup_salt")
 
+    def matching(columns: Mapping[str, str]) -> list[Column]:
+        pairs = [(F.col(mine), F.col(theirs)) for mine, theirs in columns.items()]
+        return [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
 
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+    if small:
+        return rows.join(F.broadcast(lookup), all_of(matching(on)), how)
+    total = lookup.agg(F.sum(weight).alias("t")).scalar()
+    salted = lookup.withColumn("_spread", F.greatest(F.lit(1), F.ceil(F.col(weight) * F.lit(limits.salts) / total)))
+    hot_names = {mine: f"_hot{i}" for i, mine in enumerate(on)}
+    hot = (
+        salted.where(F.col("_spread") > 1)
+        .groupBy(*[F.col(theirs).alias(hot_names[mine]) for mine, theirs in on.items()])
+        .agg(F.max("_spread").alias("_salts"))
+    )
+    spread = rows.join(F.broadcast(hot), all_of(matching(hot_names)), "left").select(
+        *rows.columns,
+        F.pmod(F.xxhash64(*rows.columns), F.coalesce("_salts", F.lit(1))).alias("_salt"),
+    )
+    repeated = salted.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_spread") - 1)))
+    same = all_of([*matching(on), F.col("_salt") == F.col("_lookup_salt")])
+    return spread.join(repeated.drop("_spread"), same, how).drop("_salt", "_lookup_salt")
 
 
 def replace_column(df: DataFrame, updates: DataFrame, on: str, column: str, keep_old: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mirrorset.config import DEFAULT_LIMITS, Limits
-from mirrorset.operators.joins import all_of, lookup_join
+from mirrorset.operators.joins import lookup_join
 from mirrorset.sources.staging import stage
 
 
@@ -68,10 +68,11 @@ def with_group_values(
     if small:
         group = Window.partitionBy(*keys)
         return cells.select("*", *[agg.over(group).alias(name) for name, agg in values.items()])
-    aggregates = [agg.alias(name) for name, agg in values.items()]
-    names = [f"_g{i}" for i in range(len(keys))]
-    groups = cells.groupBy(*[F.col(k).alias(a) for k, a in zip(keys, names)]).agg(*aggregates)
+    names = {k: f"_g{i}" for i, k in enumerate(keys)}
+    groups = cells.groupBy(*[F.col(k).alias(a) for k, a in names.items()]).agg(
+        *[agg.alias(name) for name, agg in values.items()], F.count(F.lit(1)).alias("_size")
+    )
     if not keys:
         return cells.select("*", *[groups.select(name).scalar().alias(name) for name in values])
-    on = all_of([F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, names)])
-    return lookup_join(cells, groups, on, "inner", False, limits).drop(*names)
+    joined = lookup_join(cells, groups, names, "inner", False, "_size", limits, null_safe=True)
+    return joined.drop("_size", *names.values())

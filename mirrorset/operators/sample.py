@@ -23,15 +23,22 @@ class TieredDistribution:
     """Staged intervals ``[lo, hi)`` of ``[0, tot)`` per tier and key group.
 
     Key ``i`` of the profile is column ``d_i``, NULL in tiers that do not use it.
-    ``k`` is the number of values of the group.
+    ``k`` is the number of values of the group and ``slots`` the number of equal
+    sections of ``[0, tot)`` by which its intervals are found. ``groups`` counts the
+    groups of each tier.
     """
 
     intervals: DataFrame
     keys: tuple[str, ...]
     tiers: tuple[tuple[str, ...], ...]
-    small: bool
+    rows: int
+    groups: tuple[int, ...]
     limits: Limits
 
+    @property
+    def small(self) -> bool:
+        return self.limits.small(self.rows)
+
 
 def tiered_distribution(
     prof: Profile, tiers: Sequence[Sequence[str]], pool: str = "cells"
@@ -78,12 +85,26 @@ def tiered_distribution(
     sized = with_group_values(
         summed, names, {"tot": F.sum("w"), "k": F.count(F.lit(1))}, small, prof.limits
     )
-    intervals = stage(sized.withColumn("lo", F.col("hi") - F.col("w")).drop("w"), "distribution")
-    return TieredDistribution(intervals, prof.keys, tuple(tuple(t) for t in tiers), small, prof.limits)
+    slots = F.col("k")
+    if not small:  # a hot group gets more slots, in all at most ``salts`` per tier
+        by_tier = weights.groupBy("tier").agg(F.sum("w").alias("w")).sort("tier").collect()
+        total = F.coalesce(*[F.when(F.col("tier") == r.tier, F.lit(r.w)) for r in by_tier], F.lit(1))
+        slots = slots + F.floor(F.col("tot") * F.lit(prof.limits.salts) / total)
+    intervals = stage(sized.select("*", (F.col("hi") - F.col("w")).alias("lo"), slots.alias("slots")).drop("w"), "distribution")
+    counted = intervals.groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("lo") == 0).alias("g"))
+    found = {r.tier: (r.n, r.g) for r in counted.collect()}  # one row per tier
+    return TieredDistribution(
+        intervals,
+        prof.keys,
+        tuple(tuple(t) for t in tiers),
+        sum(n for n, _ in found.values()),
+        tuple(found.get(t, (0, 0))[1] for t in range(1, len(tiers) + 1)),
+        prof.limits,
+    )
 
 
 def _tagged(rows: DataFrame, dist: TieredDistribution, columns: Mapping[str, str]) -> DataFrame:
-    """Add ``_tier``, ``_tot`` and ``_k`` of the first tier whose key group exists."""
+    """Add ``_tier``, ``_tot`` and ``_slots`` of the first tier whose key group exists."""
     heads = dist.intervals.where(F.col("lo") == 0)
     out = rows
     for number, used in enumerate(dist.tiers, start=1):
@@ -91,20 +112,21 @@ def _tagged(rows: DataFrame, dist: TieredDistribution, columns: Mapping[str, str
         head = heads.where(F.col("tier") == number).select(
             *[F.col(f"d_{i}").alias(f"_h{number}_{i}") for i in at.values()],
             F.col("tot").alias(f"_tot{number}"),
-            F.col("k").alias(f"_k{number}"),
+            F.col("slots").alias(f"_slots{number}"),
         )
         if used:
-            on = all_of([F.col(columns[k]) == F.col(f"_h{number}_{i}") for k, i in at.items()])
-            out = lookup_join(out, head, on, "left", dist.small, dist.limits)
+            on = {columns[k]: f"_h{number}_{i}" for k, i in at.items()}
+            few = dist.limits.small(dist.groups[number - 1])
+            out = lookup_join(out, head, on, "left", few, f"_tot{number}", dist.limits)
         else:  # one group, so one row: two scalar subqueries
-            for c in (f"_tot{number}", f"_k{number}"):
+            for c in (f"_tot{number}", f"_slots{number}"):
                 out = out.withColumn(c, head.select(c).scalar())
     tags = range(1, len(dist.tiers) + 1)
     return out.select(
         *rows.columns,
         F.coalesce(*[F.when(F.col(f"_tot{t}").isNotNull(), F.lit(t)) for t in tags]).alias("_tier"),
         F.coalesce(*[F.col(f"_tot{t}") for t in tags]).alias("_tot"),
-        F.coalesce(*[F.col(f"_k{t}") for t in tags]).alias("_k"),
+        F.coalesce(*[F.col(f"_slots{t}") for t in tags]).alias("_slots"),
     )
 
 
@@ -114,18 +136,18 @@ def tiered_lookup(rows: DataFrame, dist: TieredDistribution, columns: Mapping[st
     ``columns`` maps the profile's keys to the columns of ``rows``. Rows that no
     tier covers, also by a NULL key, get NULL.
     """
-    return _tagged(rows, dist, columns).withColumnRenamed("_tier", "tier").drop("_tot", "_k")
+    return _tagged(rows, dist, columns).withColumnRenamed("_tier", "tier").drop("_tot", "_slots")
 
 
-def _slots(dist: TieredDistribution, finer: int) -> DataFrame:
-    """Intervals repeated for the slots they may touch; a group has ``finer`` slots per value.
+def _slots(dist: TieredDistribution) -> DataFrame:
+    """Intervals repeated for the slots they may touch.
 
     A draw's slot narrows its group to about two intervals. The bounds lean
     outwards, the exact interval test follows in the join.
     """
-    width = F.col("k") * F.lit(finer) / F.col("tot")
+    width = F.col("slots") / F.col("tot")
     first = F.greatest(F.lit(0), F.floor(F.col("lo") * width - 1e-6))
-    last = F.least(F.col("k") * finer - 1, F.floor(F.col("hi") * width + 1e-6))
+    last = F.least(F.col("slots") - 1, F.floor(F.col("hi") * width + 1e-6))
     return dist.intervals.select(
         F.col("tier").alias("_in_tier"),
         *[F.col(f"d_{i}").alias(f"_d{i}") for i in range(len(dist.keys))],
@@ -147,16 +169,15 @@ def sample_conditional(
     """Draw a value per row from the first tier that knows its keys, else ``default``.
 
     ``draw`` is a 32-bit number (see ``hash_u32``) and is mapped to the interval
-    that holds ``floor(draw * tot / 2^32)``. Distributions too large to broadcast
-    get more slots, which also spreads the rows of a hot group.
+    that holds ``floor(draw * tot / 2^32)``. A distribution too large to broadcast is
+    joined by shuffle; the slots of a hot group then spread its rows.
     """
-    finer = 1 if dist.small else dist.limits.salts
     tagged = _tagged(rows.withColumn("_u", draw), dist, columns)
     point = tagged.select(
         *rows.columns,
         "_tier",
         scale_u32(F.col("_u"), F.col("_tot")).alias("_x"),
-        scale_u32(F.col("_u"), F.col("_k") * finer).alias("_s"),
+        scale_u32(F.col("_u"), F.col("_slots")).alias("_s"),
         *[
             F.when(F.col("_tier").isin([t for t, used in enumerate(dist.tiers, start=1) if key in used]),
                    F.col(columns[key])).alias(f"_m{i}")
@@ -167,7 +188,7 @@ def sample_conditional(
     on = [F.col("_tier") == F.col("_in_tier"), F.col("_s") == F.col("_slot")]
     on += [F.col(f"_m{i}").eqNullSafe(F.col(f"_d{i}")) for i, key in enumerate(dist.keys) if key in columns]
     on.append((F.col("_x") >= F.col("_lo")) & (F.col("_x") < F.col("_hi")))
-    slots = _slots(dist, finer)
+    slots = _slots(dist)
     joined = point.join(F.broadcast(slots) if dist.small else slots, all_of(on), "left")
     value = F.col("_value") if default is None else F.coalesce(F.col("_value"), default)
     return joined.select(*rows.columns, value.alias(name))

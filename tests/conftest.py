@@ -29,7 +29,7 @@ def sf():
     return "/root/testdata/sf0.001"
 
 
-@pytest.fixture(params=[Limits(), Limits(small_rows=0, group_rows=0, salts=3)], ids=["small", "large"])
+@pytest.fixture(params=[Limits(), Limits(small_rows=0, group_rows=0, salts=20)], ids=["small", "large"])
 def limits(request):
     """Both ways of planning: counted tables that fit, and tables that do not."""
     return request.param

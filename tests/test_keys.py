@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from mirrorset.config import Limits
 from mirrorset.operators import joins, keys
 
 
@@ -109,12 +110,15 @@ def test_neighbours_by_ordinal_stop_at_gaps(spark):
     assert following == {(1, 1): 20, (1, 2): None, (1, 4): None, (2, 1): None, (3, None): None}
 
 
-def test_lookup_join_is_the_same_when_salted(spark, hot):
-    lookup = hot.select("g").distinct().select(F.col("g").alias("lg"), F.length("g").alias("size"))
-    on = F.col("g").eqNullSafe(F.col("lg"))
-    small = joins.lookup_join(hot, lookup, on, "left", True).select("id", "size")
-    salted = joins.lookup_join(hot, lookup, on, "left", False).select("id", "size")
-    assert small.exceptAll(salted).count() == 0 and salted.count() == 2000
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_lookup_join_is_the_same_when_salted(spark, hot, how, null_safe):
+    lookup = hot.where("g is null or g <> 'g7'").groupBy(F.col("g").alias("lg")).agg(F.count("*").alias("n"))
+    plain = joins.lookup_join(hot, lookup, {"g": "lg"}, how, True, "n", null_safe=null_safe)
+    for salts in (1, 10, 5000):
+        salted = joins.lookup_join(hot, lookup, {"g": "lg"}, how, False, "n", Limits(salts=salts), null_safe)
+        assert salted.columns == plain.columns
+        assert plain.exceptAll(salted).count() == 0 and salted.count() == plain.count()
 
 
 def test_replace_column_and_pool(spark):

@@ -84,7 +84,7 @@ def test_row_pool(source, targets, limits):
 
 def test_both_plans_and_any_partitioning_agree(source, targets):
     want = {(r.key, r.out) for r in drawn(source, targets, Limits(), "cells").collect()}
-    large = drawn(source.repartition(5), targets.repartition(17), Limits(small_rows=0, salts=3), "cells")
+    large = drawn(source.repartition(5), targets.repartition(17), Limits(small_rows=0, salts=20), "cells")
     assert {(r.key, r.out) for r in large.collect()} == want
     assert len(want) == 48000
 
