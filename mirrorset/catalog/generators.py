@@ -272,7 +272,7 @@ _CELL = "breed, area, nolact"
 
 @query(f"WITH {LACTATIONS}, {ANIMALS}, {_GAPS} SELECT {_CELL}, value AS gap, {_SHARES.format(keys=_CELL)} FROM gaps")
 def gap_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return _gaps(spark, sf, lactations(spark, sf)).shares()
+    return _gaps(spark, sf, stage(lactations(spark, sf), "lactations")).shares()
 
 
 @query(f"WITH {LACTATIONS}, {ANIMALS}, {_GAPS} SELECT {_CELL}, value AS duration, {_SHARES.format(keys=_CELL)} FROM durations")

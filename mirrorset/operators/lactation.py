@@ -58,7 +58,10 @@ def month_counts(
     if default is not None:
         filled.append(F.lit(default))
     merged = grouped.groupBy(*by, F.coalesce(*filled).alias(name)).agg(F.sum("n").alias("n"))
-    return Profile(merged.where(F.col(name).isNotNull()), tuple(by), name, rows_staged, limits)
+    filled_cells = merged.where(F.col(name).isNotNull())
+    if not limits.small(rows_staged):
+        filled_cells = stage(filled_cells, "months")
+    return Profile(filled_cells, tuple(by), name, rows_staged, limits)
 
 
 def longest(parity: Profile) -> int:

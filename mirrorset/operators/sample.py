@@ -77,20 +77,21 @@ def tiered_distribution(
     ).select("value", "t.*")
     weights = per_tier.where("_usable").groupBy(*names, "value").agg(F.sum("w").alias("w"))
     small = prof.limits.small(prof.rows * len(tiers))
+    if not small:
+        weights = stage(weights, "weights")
+    sized = with_group_values(weights, names, {"tot": F.sum("w"), "k": F.count(F.lit(1))}, small, prof.limits)
     if small:
-        ordered = Window.partitionBy(*names).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-        summed = weights.withColumn("hi", F.sum("w").over(ordered))
+        upto = Window.partitionBy(*names).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        summed = sized.withColumn("hi", F.sum("w").over(upto))
     else:
-        summed = running_total(weights, ["value"], F.col("w"), "hi", names)
-    sized = with_group_values(
-        summed, names, {"tot": F.sum("w"), "k": F.count(F.lit(1))}, small, prof.limits
-    )
+        summed = running_total(sized, ["value"], F.col("w"), "hi", names)
     slots = F.col("k")
     if not small:  # a hot group gets more slots, in all at most ``salts`` per tier
         by_tier = weights.groupBy("tier").agg(F.sum("w").alias("w")).sort("tier").collect()
         total = F.coalesce(*[F.when(F.col("tier") == r.tier, F.lit(r.w)) for r in by_tier], F.lit(1))
         slots = slots + F.floor(F.col("tot") * F.lit(prof.limits.salts) / total)
-    intervals = stage(sized.select("*", (F.col("hi") - F.col("w")).alias("lo"), slots.alias("slots")).drop("w"), "distribution")
+    placed = summed.select("*", (F.col("hi") - F.col("w")).alias("lo"), slots.alias("slots")).drop("w")
+    intervals = stage(placed, "distribution")
     counted = intervals.groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("lo") == 0).alias("g"))
     found = {r.tier: (r.n, r.g) for r in counted.collect()}  # one row per tier
     return TieredDistribution(
