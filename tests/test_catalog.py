@@ -27,7 +27,7 @@ def test_only_models_lack_sql():
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, sf, con, name):
     mine = entry.queries()[name](spark, sf).toArrow()
-    theirs = con.execute(entry.oracle_sql()[name]).to_arrow_table()
+    theirs = con.sql(entry.oracle_sql()[name]).to_arrow_table()
     assert sorted(mine.column_names) == sorted(theirs.column_names)
     assert list(map(repr, rows(mine))) == list(map(repr, rows(theirs)))
 
