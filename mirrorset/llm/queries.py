@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorset.llm import bpe, packing, quality
+from mirrorset.llm import bpe, packing, quality, topk, urls
 from mirrorset.llm.catalog import query
 from mirrorset.llm.common import table
 
@@ -27,3 +27,53 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, with their places in the packed sequences."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+#: Rules of the URL query: host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+_URL_SQL = """
+WITH rules(rhost, rpath, rverdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), rest AS (
+  SELECT page_id, CASE WHEN url IS NULL OR position('://' IN url) = 0 THEN ''
+    ELSE substr(url, position('://' IN url) + 3) END AS r FROM pages
+), parsed AS (
+  SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+), fits AS (
+  SELECT page_id, host, path, rhost || rpath AS rule, rverdict,
+    row_number() OVER (PARTITION BY page_id ORDER BY length(rhost) + length(rpath) DESC NULLS LAST, length(rhost) DESC) AS n
+  FROM parsed LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+)
+SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM fits WHERE n = 1
+"""
+
+
+@query(_URL_SQL)
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url under nested rules."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+_TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query(_TOPK_SQL)
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best inner products for every fiftieth vector against all others."""
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, rows.where("vec_id % 50 = 0"))
