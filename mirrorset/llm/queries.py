@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorset.llm import bpe, packing, quality, topk, urls
+from mirrorset.llm import bpe, html, merkle, packing, quality, topk, urls
 from mirrorset.llm.catalog import query
 from mirrorset.llm.common import table
 
@@ -59,8 +59,8 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
   SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
   FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
@@ -77,3 +77,15 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five best inner products for every fiftieth vector against all others."""
     rows = table(spark, sf_dir, "embeddings")
     return topk.top_k(rows, rows.where("vec_id % 50 = 0"))
+
+
+@query()
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of every document and of an edit of it, and how alike they are."""
+    return merkle.compare_with_edit(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
