@@ -90,7 +90,7 @@ class SpanHash:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(mix64(values.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * powers[:n], out=self.sums[1:])
         self.n = n
-        self.powers = powers
+        self.powers = powers * np.uint64(pow(_BASE, -n, 1 << 64))  # power i is the base to the power of i - n
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         spans = (self.sums[ends] - self.sums[starts]) * self.powers[self.n - starts]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorset.llm import bpe, html, merkle, packing, quality, topk, urls
+from mirrorset.llm import bpe, html, merkle, minhash, packing, quality, suffix_dedup, topk, urls
 from mirrorset.llm.catalog import query
 from mirrorset.llm.common import table
 
@@ -89,3 +89,15 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document, and whether it stays."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its 200-byte strings that occur more than once."""
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
