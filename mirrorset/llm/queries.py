@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorset.llm import bpe, html, merkle, minhash, packing, quality, suffix_dedup, topk, urls
+from mirrorset.llm import bpe, html, licenses, merkle, minhash, packing, quality, suffix_dedup, topk, urls
 from mirrorset.llm.catalog import query
 from mirrorset.llm.common import table
 
@@ -101,3 +101,9 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its 200-byte strings that occur more than once."""
     return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence wordings in every document, with coverage and spans."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
