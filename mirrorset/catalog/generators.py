@@ -24,6 +24,7 @@ from mirrorset.catalog.roles import (
     visits,
 )
 from mirrorset.catalog.sampling import sample_sql
+from mirrorset.functions.draws import TWO60
 from mirrorset.operators import calendar as cal
 from mirrorset.operators import cohort, keys, lactation, sequence
 from mirrorset.operators.profile import Profile, profile
@@ -75,12 +76,14 @@ def herd_profile(spark: SparkSession, sf: str) -> DataFrame:
     return cohort.herd_slots(_herds(spark, sf), _n_farms(spark, sf))
 
 
-# Herds of the first areas only, so that some farms must take one from the pool of all herds.
-_HAVE, _ALL_HERDS = "herds WHERE area <= 1500", "(SELECT count(*) FROM herds WHERE area <= 1500)"
+# Beside the new farms, one per nation in an area without herds, which must take one from the pool of all herds.
+_HAVE, _ALL_HERDS = "herds", "(SELECT count(*) FROM herds)"
 _ASSIGNED = f"""{_NEW_FARMS}, {_HERDS},
+targets AS (SELECT new_farm, area FROM new_farms UNION ALL
+  SELECT 900000000 + n_nationkey, CAST(900000000 + 100 * n_nationkey AS INTEGER) FROM nation),
 local_herds AS (SELECT *, row_number() OVER (PARTITION BY area ORDER BY {hash_sql('herd', 'herd')}, herd) - 1 AS slot FROM {_HAVE}),
 pool_herds AS (SELECT *, row_number() OVER (ORDER BY {hash_sql('herd', 'herd')}, herd) - 1 AS slot FROM {_HAVE}),
-ranked AS (SELECT new_farm, area, row_number() OVER (PARTITION BY area ORDER BY {hash_sql('target', 'new_farm')}, new_farm) - 1 AS r FROM new_farms),
+ranked AS (SELECT new_farm, area, row_number() OVER (PARTITION BY area ORDER BY {hash_sql('target', 'new_farm')}, new_farm) - 1 AS r FROM targets),
 sized AS (SELECT r.*, s.n FROM ranked r LEFT JOIN (SELECT area, count(*) AS n FROM local_herds GROUP BY area) s ON r.area = s.area),
 assigned AS (SELECT s.new_farm, s.area, h.herd, h.n_members FROM sized s JOIN local_herds h ON s.area = h.area AND s.r % s.n = h.slot
   UNION ALL SELECT s.new_farm, s.area, h.herd, h.n_members FROM sized s JOIN pool_herds h ON s.n IS NULL
@@ -88,8 +91,16 @@ assigned AS (SELECT s.new_farm, s.area, h.herd, h.n_members FROM sized s JOIN lo
 
 
 def _assigned(spark: SparkSession, sf: str) -> DataFrame:
-    have = _herds(spark, sf).where(F.col("area") <= 1500)
-    return cohort.assign_cohorts(_new_farms(spark, sf), have, "new_farm", "area", SEED, _n_farms(spark, sf))
+    far = table(spark, sf, "nation").select(
+        (F.col("n_nationkey") + 900_000_000).cast("bigint").alias("new_farm"),
+        (F.col("n_nationkey") * 100 + 900_000_000).cast("int").alias("area"),
+    )
+    targets = _new_farms(spark, sf).unionByName(far)
+    return cohort.assign_cohorts(targets, _herds(spark, sf), "new_farm", "area", SEED, _n_targets(spark, sf))
+
+
+def _n_targets(spark: SparkSession, sf: str) -> int:
+    return _n_farms(spark, sf) + table(spark, sf, "nation").count()
 
 
 @query(f"WITH {_ASSIGNED} SELECT new_farm, area, herd, n_members FROM assigned")
@@ -105,7 +116,7 @@ clones AS (SELECT noan, breed, birth, new_farm, first + r AS idx FROM members JO
 
 def _clones(spark: SparkSession, sf: str, assigned: DataFrame) -> DataFrame:
     members = animals(spark, sf).select("noan", "breed", "birth", "farm")
-    return cohort.clone_members(assigned, members, "new_farm", "noan", "farm", _n_farms(spark, sf))
+    return cohort.clone_members(assigned, members, "new_farm", "noan", "farm", _n_targets(spark, sf))
 
 
 @query(f"WITH {_CLONES} SELECT noan, breed, birth, new_farm, idx FROM clones")
@@ -125,19 +136,33 @@ _N_CLONES = "(SELECT count(*) FROM clones)"
 _DAM = f"(idx + 1 + {scale_sql(hash_sql('dam', 'idx'), f'({_N_CLONES} - 1)')}) % {_N_CLONES}"
 
 
-@query(
-    f"WITH {_CLONES} SELECT {_surrogate('idx')} AS noan, new_farm, breed, birth, "
-    f"99000000 + {scale_sql(hash_sql('sire', 'idx'), '1000000')} AS noanpere, "
-    f"CASE WHEN {hash_sql('dam known', 'idx')} < 3435973836 THEN {_surrogate(_DAM)} END AS noanmere FROM clones"
-)
-def pedigree(spark: SparkSession, sf: str) -> DataFrame:
+def _pedigree_sql(dam: str) -> str:
+    return (
+        f"WITH {_CLONES} SELECT {_surrogate('idx')} AS noan, new_farm, breed, birth, "
+        f"99000000 + {scale_sql(hash_sql('sire', 'idx'), '1000000')} AS noanpere, "
+        f"CASE WHEN {hash_sql('dam known', 'idx')} < {int(0.8 * TWO60)} THEN {_surrogate(dam)} END AS noanmere FROM clones"
+    )
+
+
+def _pedigree(spark: SparkSession, sf: str, no_self: bool) -> DataFrame:
     assigned = stage(_assigned(spark, sf), "assigned")
     total = assigned.agg(F.sum("n_members").alias("n")).scalar()
     clones = _clones(spark, sf, assigned).drop("noan", "farm")
-    new = cohort.pedigree(clones, total, SEED, low=1_000_000, high=1_000_000 + _SPAN, no_self=True)
+    new = cohort.pedigree(clones, total, SEED, low=1_000_000, high=1_000_000 + _SPAN, no_self=no_self)
     return new.drop("idx")
 
 
+@query(_pedigree_sql(_DAM))
+def pedigree(spark: SparkSession, sf: str) -> DataFrame:
+    return _pedigree(spark, sf, True)
+
+
+@query(_pedigree_sql(scale_sql(hash_sql("dam", "idx"), _N_CLONES)))
+def pedigree_any_dam(spark: SparkSession, sf: str) -> DataFrame:
+    """An animal may be drawn as its own dam."""
+    return _pedigree(spark, sf, False)
+
+
 # Visits.
 _TYPED = (
     f"{VISITS}, supplier_ids AS (SELECT s_suppkey AS farm FROM supplier), "
@@ -155,6 +180,19 @@ def _typed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_UNFILTERED = _TYPED.replace(
+    "FROM visits WHERE control_type IN (1, 2, 9, 10)) WHERE r = 1", "FROM visits) WHERE r = 1 AND control_type IN (1, 2, 9, 10)"
+)
+
+
+@query(f"WITH {_UNFILTERED} SELECT farm, control_type FROM typed")
+def control_type_unfiltered(spark: SparkSession, sf: str) -> DataFrame:
+    """Types taken from the first visit of all, before the other types are left out."""
+    ids = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("farm"))
+    order = ["visit_date", "visit_id"]
+    return cal.control_types(ids, visits(spark, sf), "farm", "farm", "control_type", order, SEED, filter_first=False)
+
+
 @query(f"WITH {_TYPED} SELECT farm, control_type FROM typed")
 def control_type(spark: SparkSession, sf: str) -> DataFrame:
     return _typed(spark, sf)
@@ -329,13 +367,18 @@ def _started(spark: SparkSession, sf: str, source: DataFrame) -> tuple[DataFrame
     return sequence.cumulative_dates(spaced, "noan", "nolact", "gap", "birth", "date_vel", short=short), short
 
 
-def _ended(spark: SparkSession, sf: str) -> tuple[DataFrame, bool]:
+def _lasting(spark: SparkSession, sf: str) -> tuple[DataFrame, bool]:
     source = stage(lactations(spark, sf), "lactations")
     started, short = _started(spark, sf, source)
     lasting = sample_by_tiers(
         started, _durations(spark, sf, source), _DATE_TIERS, _OWN, ["noan", "nolact"], "duration", SEED,
         "duration", 10, floor=2,
     )
+    return lasting, short
+
+
+def _ended(spark: SparkSession, sf: str) -> tuple[DataFrame, bool]:
+    lasting, short = _lasting(spark, sf)
     return sequence.end_dates(lasting, "noan", "nolact", "date_vel", "duration", "date_tar"), short
 
 
@@ -360,6 +403,17 @@ def end_dates(spark: SparkSession, sf: str) -> DataFrame:
     return _ended(spark, sf)[0].select("id_laitlact", "date_vel", "date_tar")
 
 
+@query(
+    f"WITH {_ENDED} SELECT id_laitlact, date_vel + 30 * CAST(sum(greatest(drawn, 2)) OVER (PARTITION BY noan ORDER BY nolact) "
+    "AS INTEGER) AS date_tar FROM lasting"
+)
+def end_dates_cumulative(spark: SparkSession, sf: str) -> DataFrame:
+    """Each end lies all durations so far behind the row's start."""
+    lasting, short = _lasting(spark, sf)
+    rows = sequence.end_dates(lasting, "noan", "nolact", "date_vel", "duration", "date_tar", cumulative=True, short=short)
+    return rows.select("id_laitlact", "date_tar")
+
+
 @query(
     f"""WITH {_ENDED}, fixed AS (SELECT id_laitlact, noan, nolact, date_vel, CASE WHEN date_tar >= following
   THEN CAST(following - INTERVAL 2 MONTH AS DATE) ELSE date_tar END AS date_tar FROM (SELECT *, lead(date_vel) OVER
@@ -382,7 +436,8 @@ _NEXT = f"WITH {LACTATIONS}, n AS (SELECT *, lead(vel) OVER (PARTITION BY noan O
     _NEXT + "SELECT id, CASE WHEN tar >= following THEN CAST(following - INTERVAL 2 MONTH AS DATE) ELSE tar END AS tar FROM n"
 )
 def repair_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    return sequence.repair_overlap(lactations(spark, sf), "noan", "nolact", "vel", "tar").select("id", "tar")
+    source = stage(lactations(spark, sf), "lactations")
+    return sequence.repair_overlap(source, "noan", "nolact", "vel", "tar").select("id", "tar")
 
 
 @query(
@@ -390,5 +445,38 @@ def repair_overlap(spark: SparkSession, sf: str) -> DataFrame:
     "+ CAST(day(following) - 1 AS INTEGER) ELSE tar END AS tar FROM n"
 )
 def repair_overlap_overflow(spark: SparkSession, sf: str) -> DataFrame:
-    rows = sequence.repair_overlap(lactations(spark, sf), "noan", "nolact", "vel", "tar", overflow=True)
+    source = stage(lactations(spark, sf), "lactations")
+    rows = sequence.repair_overlap(source, "noan", "nolact", "vel", "tar", overflow=True)
     return rows.select("id", "tar")
+
+
+@query(
+    _NEXT + "SELECT id, CASE WHEN tar > CAST(following - INTERVAL 2 MONTH AS DATE) THEN CAST(following - INTERVAL 2 MONTH AS DATE) "
+    "ELSE tar END AS tar FROM n"
+)
+def repair_overlap_strict(spark: SparkSession, sf: str) -> DataFrame:
+    """Gaps shorter than two months are widened as well."""
+    rows = sequence.repair_overlap(stage(lactations(spark, sf), "lactations"), "noan", "nolact", "vel", "tar", strict=True)
+    return rows.select("id", "tar")
+
+
+_LOOSE = (
+    f"{LACTATIONS}, loose AS (SELECT id, CASE WHEN id % 5 > 0 THEN noan END AS noan, (nolact + 1) // 2 AS nolact, vel, tar FROM lact), "
+    "firsts AS (SELECT noan, nolact, min(vel) AS vel FROM loose WHERE noan IS NOT NULL GROUP BY ALL)"
+)
+
+
+@query(
+    f"WITH {_LOOSE} SELECT id, CASE WHEN l.tar >= f.vel THEN CAST(f.vel - INTERVAL 2 MONTH AS DATE) ELSE l.tar END AS tar "
+    "FROM loose l LEFT JOIN firsts f ON l.noan = f.noan AND f.nolact = l.nolact + 1"
+)
+def repair_overlap_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Repair where some animals are unknown and ordinals occur twice."""
+    rows = stage(lactations(spark, sf), "lactations").select(
+        "id",
+        F.when(F.col("id") % 5 > 0, F.col("noan")).alias("noan"),
+        F.expr("cast((nolact + 1) div 2 as int)").alias("nolact"),
+        "vel",
+        "tar",
+    )
+    return sequence.repair_overlap(rows, "noan", "nolact", "vel", "tar").select("id", "tar")

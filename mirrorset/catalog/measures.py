@@ -61,20 +61,19 @@ def hash_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "SELECT c_custkey, d.code, CAST(c_mktsegment = d.code AS DOUBLE) AS hot FROM customer, "
-    "(SELECT DISTINCT c_mktsegment AS code FROM customer) d"
+    "SELECT c_custkey, c_mktsegment AS code, dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS hot, 1.0::DOUBLE AS total FROM customer"
 )
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
-    """The one-hot vector of each customer's segment, one row per position."""
+    """The one-hot vector of each customer's segment: its hot place, and the sum of all places."""
     customers = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("code"))
-    labels = model.dictionary_labels(customers, "code")
+    codes = model.code_index(customers, "code")
     target = model.Target("none", (), True)
-    encoded = Pipeline(stages=model.feature_stages(target, labels)).fit(customers).transform(customers)
-    named = F.explode(F.arrays_zip(F.array(*[F.lit(x) for x in labels]).alias("code"), F.col("v").alias("hot")))
-    known = F.slice(vector_to_array("_features"), 1, len(labels))  # the last place is for unknown codes
-    return encoded.select("c_custkey", known.alias("v")).select("c_custkey", named.alias("z")).select(
-        "c_custkey", F.col("z.code").alias("code"), F.col("z.hot").alias("hot")
-    )
+    numbered = model.with_codes(customers, codes)
+    encoded = Pipeline(stages=model.feature_stages(target, codes)).fit(numbered).transform(numbered)
+    places = vector_to_array("_features")
+    total = F.aggregate(places, F.lit(0.0), lambda a, x: a + x)
+    hot = (F.array_position(places, F.lit(1.0)) - 1).cast("bigint")
+    return encoded.select("c_custkey", "code", hot.alias("hot"), total.alias("total"))
 
 
 @query(
@@ -83,28 +82,51 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
 )
 def scaled_feature(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    stages = model.feature_stages(model.Target("none", ("o_totalprice",), False), [], scale=True)
+    stages = model.feature_stages(model.Target("none", ("o_totalprice",), False), None, scale=True)
     scaled = Pipeline(stages=stages).fit(orders).transform(orders)
     return scaled.select("o_orderkey", F.round(vector_to_array("_features")[0], 4).alias("scaled"))
 
 
-def _chain(spark: SparkSession, sf: str) -> tuple[model.Chain, list[str]]:
-    labels = model.dictionary_labels(table(spark, sf, "customer"), "c_mktsegment")
-    return model.fit_chain(stage(_train(spark, sf), "training"), labels, _SMALL), labels
+def _chain(spark: SparkSession, sf: str) -> model.Chain:
+    codes = model.code_index(table(spark, sf, "customer"), "c_mktsegment")
+    return model.fit_chain(stage(_train(spark, sf), "training"), codes, _SMALL)
 
 
 @query()
 def gbt_chain(spark: SparkSession, sf: str) -> DataFrame:
     """Measures of every lactation, predicted in order by five small models."""
-    chain, _ = _chain(spark, sf)
+    chain = _chain(spark, sf)
     rows = lactations(spark, sf).select("id", "noan", "vel", "tar")
     scored = model.score_chain(scoring_set(spark, sf), chain)
     return model.attach_predictions(rows, scored, "id", [t.name for t, _ in chain.models])
 
 
+@query(
+    "SELECT o_orderkey AS id, o_orderdate, CAST(o_custkey % 100 AS DOUBLE) AS o_totalprice FROM orders"
+)
+def attach_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """A given column takes the place of the measure, put into its row by id."""
+    orders = table(spark, sf, "orders")
+    scored = orders.select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 100).cast("double").alias("o_totalprice"))
+    rows = orders.select(F.col("o_orderkey").alias("id"), "o_orderdate", "o_totalprice")
+    return model.attach_predictions(rows, scored, "id", ["o_totalprice"])
+
+
+@query(
+    "SELECT 'price' AS target, round(1 - sum((y - p) * (y - p)) / sum((y - m) * (y - m)), 6) AS r2 FROM "
+    "(SELECT l_extendedprice AS y, l_quantity * 1500.0::DOUBLE AS p, avg(l_extendedprice) OVER () AS m FROM lineitem)"
+)
+def r2_of_prediction(spark: SparkSession, sf: str) -> DataFrame:
+    """R² of a given column as the prediction."""
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_extendedprice").cast("double").alias("_actual"), (F.col("l_quantity") * 1500.0).alias("_out")
+    )
+    return spark.createDataFrame([("price", round(model.r_squared(rows), 6))], "target string, r2 double")
+
+
 @query()
 def hold_out_r2(spark: SparkSession, sf: str) -> DataFrame:
-    return _chain(spark, sf)[0].metrics
+    return _chain(spark, sf).metrics
 
 
 _FINISHED, _RUNNING = "orders WHERE o_orderstatus <> 'O'", "orders WHERE o_orderstatus = 'O'"
@@ -173,12 +195,14 @@ def milk_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 # Milk of a control day: order price over the day of the lactation, per customer segment.
 _CONTROLS = """controls AS (SELECT o_orderkey AS id, c_mktsegment AS breed, 1 + o_orderkey % 300 AS day,
-  o_totalprice * exp(-0.004 * (o_orderkey % 300)) AS milk FROM orders JOIN customer ON o_custkey = c_custkey)"""
+  o_totalprice * exp(-0.004 * (o_orderkey % 300)) AS milk,
+  CAST(o_custkey % 3 + 1 AS INTEGER) AS parity, CAST(quarter(CAST(o_orderdate AS DATE)) AS INTEGER) AS season,
+  CAST(o_orderkey % 2 AS INTEGER) AS duration_class FROM orders JOIN customer ON o_custkey = c_custkey)"""
 _FIT = f"""{_CONTROLS}, s AS (SELECT breed, count(*) AS n, avg(ln(day)) AS m1, avg(CAST(day AS DOUBLE)) AS m2, avg(ln(milk)) AS my,
   var_pop(ln(day)) AS s11, var_pop(CAST(day AS DOUBLE)) AS s22, covar_pop(ln(day), day) AS s12,
   covar_pop(ln(day), ln(milk)) AS s1y, covar_pop(day, ln(milk)) AS s2y FROM controls WHERE day > 0 AND milk > 0 GROUP BY breed),
-f AS (SELECT breed, n, m1, m2, my, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b,
-  -(s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS c FROM s),
+f AS (SELECT breed, n, m1, m2, my, (s1y * s22 - s2y * s12) / det AS b, -(s2y * s11 - s1y * s12) / det AS c FROM
+  (SELECT *, CASE WHEN s11 * s22 - s12 * s12 > 1e-9 * s11 * s22 THEN s11 * s22 - s12 * s12 END AS det FROM s)),
 fit AS (SELECT breed, n, exp(my - b * m1 + c * m2) AS a, b, c FROM f)"""
 
 
@@ -190,6 +214,9 @@ def _controls(spark: SparkSession, sf: str) -> DataFrame:
         "breed",
         (day + 1).alias("day"),
         (F.col("o_totalprice") * F.exp(day * -0.004)).alias("milk"),
+        (F.col("o_custkey") % 3 + 1).cast("int").alias("parity"),
+        F.quarter(F.to_date("o_orderdate")).alias("season"),
+        (F.col("o_orderkey") % 2).cast("int").alias("duration_class"),
     )
 
 
@@ -210,6 +237,31 @@ def wood_curve(spark: SparkSession, sf: str) -> DataFrame:
     return curve.select("id", F.round(F.ln("predicted"), 6).alias("ln_milk"))
 
 
+# The stated cohort: breed, parity, calving season and class of duration.
+_COHORT = ["breed", "parity", "season", "duration_class"]
+_COHORT_FIT = (
+    _FIT.replace("breed, count(*)", f"{', '.join(_COHORT)}, count(*)")
+    .replace("GROUP BY breed", f"GROUP BY {', '.join(_COHORT)}")
+    .replace("SELECT breed, n,", f"SELECT {', '.join(_COHORT)}, n,")
+)
+
+
+@query(f"WITH {_COHORT_FIT} SELECT {', '.join(_COHORT)}, n, round(ln(a), 4) AS ln_a, round(b, 4) AS b, round(c, 4) AS c FROM fit")
+def wood_fit_cohort(spark: SparkSession, sf: str) -> DataFrame:
+    fitted = wood.wood_fit(_controls(spark, sf), "day", "milk", _COHORT)
+    return fitted.select(*_COHORT, "n", F.round(F.ln("a"), 4).alias("ln_a"), F.round("b", 4).alias("b"), F.round("c", 4).alias("c"))
+
+
+@query(
+    f"WITH {_COHORT_FIT} SELECT id, round(ln(a * pow(day, b) * exp(-c * day)), 4) AS ln_milk "
+    f"FROM controls LEFT JOIN fit USING ({', '.join(_COHORT)})"
+)
+def wood_curve_cohort(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _controls(spark, sf)
+    curve = wood.wood_curve(rows, wood.wood_fit(rows, "day", "milk", _COHORT), _COHORT, "day")
+    return curve.select("id", F.round(F.ln("predicted"), 4).alias("ln_milk"))
+
+
 def domain_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The eight source tables of a full run, derived from the test tables."""
     herd = animals(spark, sf)

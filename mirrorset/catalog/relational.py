@@ -18,10 +18,11 @@ from mirrorset.catalog.roles import (
     table,
     visits,
 )
-from mirrorset.functions.draws import hash_u32
+from mirrorset.functions.draws import hash_u60
 from mirrorset.functions.dates import months_between_trunc
 from mirrorset.operators import calendar, joins, keys, lactation
 from mirrorset.operators.profile import profile
+from mirrorset.sources.staging import stage
 
 
 @query(
@@ -43,12 +44,13 @@ def left_join(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("event_id", "user_id", "s_name")
 
 
-_ORDINALS = f"{LACTATIONS}, gappy AS (SELECT * FROM lact WHERE lait > 100000)"
+_ORDINALS = f"{LACTATIONS}, gappy AS (SELECT * REPLACE (CAST(nolact + CASE WHEN nolact > 3 THEN 1 ELSE 0 END AS INTEGER) AS nolact) FROM lact)"
 
 
 def _gappy(spark: SparkSession, sf: str) -> DataFrame:
-    """Lactations in which some ordinals are absent."""
-    return lactations(spark, sf).where(F.col("lait") > 100000).select("id", "noan", "nolact", "vel")
+    """All lactations, numbered without a fourth, so that there is a gap; staged, as both sides read it."""
+    shifted = F.col("nolact") + F.when(F.col("nolact") > 3, 1).otherwise(0)
+    return stage(lactations(spark, sf).select("id", "noan", shifted.alias("nolact"), "vel"), "gappy")
 
 
 @query(
@@ -170,6 +172,19 @@ def running_sum(spark: SparkSession, sf: str) -> DataFrame:
     return keys.running_total(rows, ["vel", "id"], F.col("id") % 40, "running", ["noan"]).select("id", "noan", "running")
 
 
+@query(
+    "SELECT o_orderkey AS id, o_custkey AS noan, CAST(sum(CASE WHEN o_orderstatus = 'O' THEN o_orderkey % 40 END) OVER "
+    "(PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS BIGINT) AS running FROM orders"
+)
+def running_sum_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """A running sum over weights that are often NULL, also at the start of a group."""
+    weight = F.when(F.col("o_orderstatus") == "O", F.col("o_orderkey") % 40).alias("w")
+    rows = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("noan"), F.to_date("o_orderdate").alias("vel"), weight
+    )
+    return keys.running_total(rows, ["vel", "id"], F.col("w"), "running", ["noan"]).select("id", "noan", "running")
+
+
 @query("SELECT o_orderkey, 700000 + row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS idx FROM orders")
 def dense_index(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
@@ -209,7 +224,7 @@ _SHUFFLE = hash_sql("shuffle", "c_custkey")
 )
 def shuffle_in_group(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer").select("c_nationkey", "c_custkey")
-    mixed = rows.withColumn("_u", hash_u32(SEED, "shuffle", F.col("c_custkey")))
+    mixed = rows.withColumn("_u", hash_u60(SEED, "shuffle", F.col("c_custkey")))
     return keys.group_rank(mixed, ["c_nationkey"], ["_u", "c_custkey"]).drop("_u")
 
 

@@ -84,12 +84,13 @@ VISITS = """visits AS (SELECT event_id AS visit_id, user_id AS farm,
 
 
 def hash_sql(tag: str, *keys: str, seed: int = SEED) -> str:
-    parts = ", ".join([f"'{seed}'", f"'{tag}'", *keys])
-    return f"CAST(('0x' || substr(md5(concat_ws('|', {parts})), 1, 8)) AS BIGINT)"
+    written = [f"coalesce(length(CAST({k} AS VARCHAR)) || ':' || CAST({k} AS VARCHAR), 'N')" for k in keys]
+    text = " || ".join([f"'{seed}:{len(tag)}:{tag}'", *written])
+    return f"CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT)"
 
 
 def scale_sql(u: str, size: str) -> str:
-    return f"CAST((CAST({u} AS HUGEINT) * CAST({size} AS HUGEINT)) // 4294967296 AS BIGINT)"
+    return f"CAST((CAST({u} AS HUGEINT) * CAST({size} AS HUGEINT)) // 1152921504606846976 AS BIGINT)"
 
 
 def months_sql(end: str, start: str) -> str:

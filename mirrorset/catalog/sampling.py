@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mirrorset.catalog.registry import query
 from mirrorset.catalog.roles import SEED, hash_sql, scale_sql, table
-from mirrorset.functions.draws import hash_u32
+from mirrorset.functions.draws import hash_u60
 from mirrorset.operators import sample
 from mirrorset.operators.profile import profile
 
@@ -89,7 +89,7 @@ def sample_segment_by_nation(spark: SparkSession, sf: str) -> DataFrame:
     prof = profile(customers, "c_mktsegment", ["c_nationkey"])
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     buyers = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
-    draw = hash_u32(SEED, "segment", F.col("o_orderkey"))
+    draw = hash_u60(SEED, "segment", F.col("o_orderkey"))
     return sample.sample_from(buyers, prof, {"c_nationkey": "c_nationkey"}, draw, "segment")
 
 
@@ -104,7 +104,7 @@ _TYPES = sample_sql(
 )
 def sample_global(spark: SparkSession, sf: str) -> DataFrame:
     prof = profile(table(spark, sf, "events"), "event_type")
-    draw = hash_u32(SEED, "type", F.col("o_orderkey"))
+    draw = hash_u60(SEED, "type", F.col("o_orderkey"))
     return sample.sample_from(table(spark, sf, "orders").select("o_orderkey"), prof, {}, draw, "event_type")
 
 

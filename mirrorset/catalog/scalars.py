@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mirrorset import functions as fn
 from mirrorset.catalog.registry import query
 from mirrorset.catalog.roles import SEED, hash_sql, months_sql, scale_sql, table
+from mirrorset.functions.draws import TWO60
 from mirrorset.operators import keys
 from mirrorset.operators.cohort import ANIMAL_HIGH, ANIMAL_LOW
 
@@ -119,11 +120,11 @@ _U = hash_sql("draw", "c_custkey", "c_name")
 
 
 @query(
-    f"SELECT c_custkey, u, 99000000 + {scale_sql('u', '1000000')} AS code, u < 3435973836 AS known, "
+    f"SELECT c_custkey, u, 99000000 + {scale_sql('u', '1000000')} AS code, u < {int(0.8 * TWO60)} AS known, "
     f"CASE WHEN u % 2 = 0 THEN 'AM' ELSE 'PM' END AS slot FROM (SELECT c_custkey, {_U} AS u FROM customer)"
 )
 def hash_draws(spark: SparkSession, sf: str) -> DataFrame:
-    u = fn.hash_u32(SEED, "draw", F.col("c_custkey"), F.col("c_name"))
+    u = fn.hash_u60(SEED, "draw", F.col("c_custkey"), F.col("c_name"))
     return table(spark, sf, "customer").withColumn("u", u).select(
         "c_custkey",
         "u",

@@ -67,9 +67,11 @@ def write_table(spark: SparkSession, sf: str) -> DataFrame:
     return sources.write_table(table(spark, sf, "customer"), _new_folder(spark), target)
 
 
-@query("SELECT * FROM customer WHERE false")
+@query("SELECT * FROM customer")
 def empty_like(spark: SparkSession, sf: str) -> DataFrame:
-    return sources.empty_like(table(spark, sf, "customer"))
+    """An empty frame with the columns of a table, filled with the table's rows."""
+    customers = table(spark, sf, "customer")
+    return sources.empty_like(customers).unionByName(customers)
 
 
 @query(

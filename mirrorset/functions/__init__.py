@@ -6,7 +6,7 @@ from mirrorset.functions.dates import (
     parse_yyyymmdd,
     subtract_years,
 )
-from mirrorset.functions.draws import bernoulli, coin, hash_u32, scale_u32, uniform_int
+from mirrorset.functions.draws import bernoulli, coin, hash_u60, scale_u60, uniform_int
 
 __all__ = [
     "add_days",
@@ -16,11 +16,11 @@ __all__ = [
     "canonical_code",
     "clean_text",
     "coin",
-    "hash_u32",
+    "hash_u60",
     "months_between_trunc",
     "parse_yyyymmdd",
     "prefixed",
-    "scale_u32",
+    "scale_u60",
     "subtract_years",
     "uniform_int",
 ]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mirrorset.config import DEFAULT_LIMITS, Limits
 from mirrorset.functions.dates import add_days, subtract_years
-from mirrorset.functions.draws import coin, hash_u32, scale_u32
+from mirrorset.functions.draws import coin, hash_u60, scale_u60
 from mirrorset.operators.keys import first_per_key, running_total
 from mirrorset.operators.profile import profile
 from mirrorset.operators.sample import sample_from
@@ -36,6 +36,7 @@ def control_types(
     allowed: Sequence = tuple(CONTROL_TYPES),
     filter_first: bool = True,
     name: str = "control_type",
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Draw each farm's control type from the first type of every source farm.
 
@@ -45,8 +46,8 @@ def control_types(
     usable = F.col(visit_type).isin(list(allowed))
     source = visits.where(usable) if filter_first else visits
     first = first_per_key(source, [visit_farm], visit_order, [visit_type]).where(usable)
-    draw = hash_u32(seed, "control type", F.col(farm_id))
-    return sample_from(farms, profile(first, visit_type), {}, draw, name)
+    draw = hash_u60(seed, "control type", F.col(farm_id))
+    return sample_from(farms, profile(first, visit_type, limits=limits), {}, draw, name)
 
 
 def step_days(control_type: Column, short_types: Sequence = tuple(FOUR_WEEK_TYPES)) -> Column:
@@ -60,8 +61,8 @@ def visit_plan(
     last = F.lit(as_of)
     start = subtract_years(last, years)
     span = F.datediff(last, start) + 1
-    draw = hash_u32(seed, "first visit", F.col(farm_id))
-    planned = farms.withColumn("first_visit", add_days(start, scale_u32(draw, span))).withColumn("step", step)
+    draw = hash_u60(seed, "first visit", F.col(farm_id))
+    planned = farms.withColumn("first_visit", add_days(start, scale_u60(draw, span))).withColumn("step", step)
     room = F.floor(F.datediff(last, F.col("first_visit")) / F.col("step")) + 1
     cap = F.floor(F.lit(365 * years) / F.col("step")) + 1
     return planned.withColumn("n_visits", F.least(room, cap).cast("int"))
@@ -91,11 +92,17 @@ def visit_ids(
 
 
 def control_steps(
-    visits: DataFrame, source: DataFrame, source_step: str, row_keys: Sequence[str], seed: int, name: str
+    visits: DataFrame,
+    source: DataFrame,
+    source_step: str,
+    row_keys: Sequence[str],
+    seed: int,
+    name: str,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Draw the control step of each visit from the shares of the source."""
-    draw = hash_u32(seed, "control step", *[F.col(k) for k in row_keys])
-    return sample_from(visits, profile(source, source_step), {}, draw, name)
+    draw = hash_u60(seed, "control step", *[F.col(k) for k in row_keys])
+    return sample_from(visits, profile(source, source_step, limits=limits), {}, draw, name)
 
 
 def last_period(df: DataFrame, day: str, months: int = 12) -> DataFrame:
@@ -117,7 +124,7 @@ def lab_dates(visits: DataFrame, day: str, lag: DataFrame, name: str = "lab_date
 
 def alternating_slot(pos: Column, farm: Column, seed: int) -> Column:
     """AM and PM in turn along a farm's visits, starting with either."""
-    return coin(pos + hash_u32(seed, "slot start", farm) % 2, "AM", "PM")
+    return coin(pos + hash_u60(seed, "slot start", farm) % 2, "AM", "PM")
 
 
 def slots(
@@ -131,10 +138,11 @@ def slots(
     shared: Sequence = tuple(SHARED_SLOT_TYPES),
     alternating: Sequence = tuple(ALTERNATING_TYPES),
     name: str = "slot",
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Milking slot: by source shares for some control types, in turn for others."""
-    prof = profile(source.where(F.col(source_type).isin(list(shared))), source_slot)
-    draw = hash_u32(seed, "slot", F.col(farm_id), F.col("pos"))
+    prof = profile(source.where(F.col(source_type).isin(list(shared))), source_slot, limits=limits)
+    draw = hash_u60(seed, "slot", F.col(farm_id), F.col("pos"))
     drawn = sample_from(visits, prof, {}, draw, "_drawn")
     slot = F.when(F.col(control_type).isin(list(shared)), F.col("_drawn")).when(
         F.col(control_type).isin(list(alternating)), alternating_slot(F.col("pos"), F.col(farm_id), seed)

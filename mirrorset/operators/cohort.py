@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mirrorset.config import DEFAULT_LIMITS, Limits
 from mirrorset.functions.codes import area_of
-from mirrorset.functions.draws import bernoulli, hash_u32, scale_u32, uniform_int
+from mirrorset.functions.draws import bernoulli, hash_u60, scale_u60, uniform_int
 from mirrorset.operators.joins import lookup_join
 from mirrorset.operators.keys import dense_index, group_rank, running_total, surrogate_key
 from mirrorset.operators.profile import Profile
@@ -38,7 +38,7 @@ def generate_entities(
     if n < 1 or (max_n is not None and n > max_n):
         raise ValueError(f"number of entities must be from 1 to {max_n}")
     ids = spark.range(start, start + n).withColumnRenamed("id", id_column)
-    return sample_from(ids, prof, {}, hash_u32(seed, "entity", F.col(id_column)), value_column)
+    return sample_from(ids, prof, {}, hash_u60(seed, "entity", F.col(id_column)), value_column)
 
 
 def with_area(df: DataFrame, postcode: str, area: str = "area", size: int = 100) -> DataFrame:
@@ -86,7 +86,7 @@ def assign_cohorts(
     ``(target_id, area, herd, n_members)``. ``n_targets`` is the number of targets,
     if known.
     """
-    mixed_herds = stage(herds_.withColumn("_u", hash_u32(seed, "herd", F.col("herd"))), "herds")
+    mixed_herds = stage(herds_.withColumn("_u", hash_u60(seed, "herd", F.col("herd"))), "herds")
     n_herds = mixed_herds.count()
     small = limits.small(n_herds)
     placed_herds = mixed_herds.where(F.col("area").isNotNull())
@@ -96,10 +96,10 @@ def assign_cohorts(
     slots = local.unionByName(everywhere).drop("_u")
     sizes = placed_herds.groupBy(F.col("area").alias("_a")).agg(F.count(F.lit(1)).alias("_n"))
 
-    mixed = targets.withColumn("_u", hash_u32(seed, "target", F.col(target_id)))
+    mixed = targets.withColumn("_u", hash_u60(seed, "target", F.col(target_id)))
     ranked = group_rank(mixed, [area], ["_u", target_id], "_rank", n_targets, limits).drop("_u")
-    known = lookup_join(ranked, sizes, {area: "_a"}, "left", small, "_n", limits)
-    turned = scale_u32(hash_u32(seed, "pool", F.col(area)), n_herds)  # areas without herds start anywhere
+    known = lookup_join(ranked, sizes, {area: "_a"}, "left", small, limits, counted=targets)
+    turned = scale_u60(hash_u60(seed, "pool", F.col(area)), n_herds)  # areas without herds start anywhere
     in_pool = (F.col("_rank") - 1 + turned) % max(n_herds, 1)
     placed = known.select(
         *[F.col(c) for c in targets.columns],
@@ -113,11 +113,9 @@ def assign_cohorts(
         on = F.col("_area").eqNullSafe(F.col("_herd_area")) & (F.col("_slot") == F.col("_herd_slot"))
         joined = placed.join(F.broadcast(chosen), on)
     else:
-        wanted = placed.groupBy(F.col("_area").alias("_wa"), F.col("_slot").alias("_ws")).agg(F.count(F.lit(1)).alias("_wanted"))
-        on = F.col("_herd_area").eqNullSafe(F.col("_wa")) & (F.col("_herd_slot") == F.col("_ws"))
-        counted = chosen.join(wanted, on).drop("_wa", "_ws")
+        placed = stage(placed, "placed")
         keys = {"_area": "_herd_area", "_slot": "_herd_slot"}
-        joined = lookup_join(placed, counted, keys, "inner", False, "_wanted", limits, null_safe=True)
+        joined = lookup_join(placed, chosen, keys, "inner", False, limits, null_safe=True)
     return joined.select(*targets.columns, "herd", "n_members")
 
 
@@ -146,8 +144,10 @@ def clone_members(
     offsets = summed.select(
         target_id, F.col("herd").alias("_herd"), "n_members", (F.col("_end") - F.col("n_members")).alias("_start")
     )
-    ranked = group_rank(members, [member_farm], [member_id], "_rank")
-    joined = lookup_join(ranked, offsets, {member_farm: "_herd"}, "inner", small, "n_members", limits)
+    drawn = offsets.select(F.col("_herd").alias("_drawn")).distinct()
+    wanted = members.join(F.broadcast(drawn) if small else drawn, F.col(member_farm) == F.col("_drawn"), "left_semi")
+    ranked = group_rank(wanted, [member_farm], [member_id], "_rank", None, limits)  # herds nobody drew are not ranked
+    joined = lookup_join(ranked, offsets, {member_farm: "_herd"}, "inner", small, limits, counted=wanted)
     return joined.select(
         *members.columns, target_id, (F.col("_start") + F.col("_rank") - 1).alias("idx")
     )
@@ -171,20 +171,20 @@ def pedigree(
     """
     names = {"id": "noan", "sire": "noanpere", "dam": "noanmere", **(names or {})}
     idx = F.col("idx")
-    u = hash_u32(seed, "dam", idx)
+    u = hash_u60(seed, "dam", idx)
     total = total.cast("bigint")
     if no_self:
-        dam_idx = F.when(total > 1, (idx + 1 + scale_u32(u, total - 1)) % total)
+        dam_idx = F.when(total > 1, (idx + 1 + scale_u60(u, total - 1)) % total)
     else:
-        dam_idx = scale_u32(u, total)
-    known = bernoulli(hash_u32(seed, "dam known", idx), dam_known)
+        dam_idx = scale_u60(u, total)
+    known = bernoulli(hash_u60(seed, "dam known", idx), dam_known)
     return (
         clones.withColumn(names["id"], surrogate_key(idx, low, high, seed))
-        .withColumn(names["sire"], uniform_int(hash_u32(seed, "sire", idx), SIRE_LOW, SIRE_HIGH))
+        .withColumn(names["sire"], uniform_int(hash_u60(seed, "sire", idx), SIRE_LOW, SIRE_HIGH))
         .withColumn(names["dam"], F.when(known, surrogate_key(dam_idx, low, high, seed)))
     )
 
 
 def jittered(day: Column, days: int, seed: int, key: Column) -> Column:
     """The date moved by up to ``days`` either way, so that it is not a real one."""
-    return F.date_add(day, uniform_int(hash_u32(seed, "jitter", key), -days, days).cast("int"))
+    return F.date_add(day, uniform_int(hash_u60(seed, "jitter", key), -days, days).cast("int"))

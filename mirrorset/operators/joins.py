@@ -21,40 +21,44 @@ def lookup_join(
     on: Mapping[str, str],
     how: str,
     small: bool,
-    weight: str,
     limits: Limits = DEFAULT_LIMITS,
     null_safe: bool = False,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows to a lookup table; ``on`` maps columns of ``rows`` to those of ``lookup``.
 
     ``small`` states that the lookup was counted and fits ``limits``: it is then
-    broadcast. Otherwise ``weight``, the lookup's column with the number of rows
-    expected per key, tells the hot keys. There are fewer than ``limits.salts`` of
-    them; they are broadcast to give their rows a salt, and their lookup rows are
-    repeated per salt. All other keys are joined as they are.
+    broadcast. Otherwise the rows are counted by key, whether the lookup knows it or
+    not, and NULL like any other key. Fewer than ``limits.salts`` keys are hot; they
+    are broadcast to give their rows a salt, and their lookup rows are repeated per
+    salt. All other keys are joined as they are. ``counted`` may name an earlier form
+    of ``rows`` with the same keys, which is cheaper to count.
     """
 
-    def matching(columns: Mapping[str, str]) -> list[Column]:
+    def matching(columns: Mapping[str, str], safe: bool) -> list[Column]:
         pairs = [(F.col(mine), F.col(theirs)) for mine, theirs in columns.items()]
-        return [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
+        return [a.eqNullSafe(b) if safe else a == b for a, b in pairs]
 
     if small:
-        return rows.join(F.broadcast(lookup), all_of(matching(on)), how)
-    total = lookup.agg(F.sum(weight).alias("t")).scalar()
-    salted = lookup.withColumn("_spread", F.greatest(F.lit(1), F.ceil(F.col(weight) * F.lit(limits.salts) / total)))
-    hot_names = {mine: f"_hot{i}" for i, mine in enumerate(on)}
-    hot = (
-        salted.where(F.col("_spread") > 1)
-        .groupBy(*[F.col(theirs).alias(hot_names[mine]) for mine, theirs in on.items()])
-        .agg(F.max("_spread").alias("_salts"))
-    )
-    spread = rows.join(F.broadcast(hot), all_of(matching(hot_names)), "left").select(
+        return rows.join(F.broadcast(lookup), all_of(matching(on, null_safe)), how)
+    source = rows if counted is None else counted
+    names = {mine: f"_hot{i}" for i, mine in enumerate(on)}
+    per_key = source.groupBy(*[F.col(mine).alias(hot) for mine, hot in names.items()]).agg(F.count(F.lit(1)).alias("_c"))
+    total = source.agg(F.count(F.lit(1)).alias("t")).scalar()
+    salts = F.ceil(F.col("_c") * F.lit(limits.salts) / total)
+    hot = per_key.select(*names.values(), salts.alias("_salts")).where(F.col("_salts") > 1)
+    spread = rows.join(F.broadcast(hot), all_of(matching(names, True)), "left").select(
         *rows.columns,
         F.pmod(F.xxhash64(*rows.columns), F.coalesce("_salts", F.lit(1))).alias("_salt"),
     )
-    repeated = salted.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_spread") - 1)))
-    same = all_of([*matching(on), F.col("_salt") == F.col("_lookup_salt")])
-    return spread.join(repeated.drop("_spread"), same, how).drop("_salt", "_lookup_salt")
+    theirs = {other: names[mine] for mine, other in on.items()}
+    repeated = (
+        lookup.join(F.broadcast(hot), all_of(matching(theirs, True)), "left")
+        .withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1)))
+        .drop("_salts", *names.values())
+    )
+    same = all_of([*matching(on, null_safe), F.col("_salt") == F.col("_lookup_salt")])
+    return spread.join(repeated, same, how).drop("_salt", "_lookup_salt")
 
 
 def replace_column(df: DataFrame, updates: DataFrame, on: str, column: str, keep_old: bool = False) -> DataFrame:

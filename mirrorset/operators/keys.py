@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mirrorset.config import DEFAULT_LIMITS, Limits
-from mirrorset.functions.draws import hash_u32, scale_u32
+from mirrorset.functions.draws import hash_u60, scale_u60
 from mirrorset.operators.joins import all_of
 from mirrorset.sources.staging import stage
 
@@ -75,7 +75,7 @@ def _carried(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
     last_groups = ends.select("_lp", *[F.col(g).alias(f"_l{g}") for g in group])
     in_last = all_of([F.col("_p") == F.col("_lp"), *[F.col(g).eqNullSafe(F.col(f"_l{g}")) for g in group]])
     tails = named.join(F.broadcast(last_groups), in_last).groupBy("_p", *group).agg(F.sum("_w").alias("_s"))
-    heads = named.where(F.col("_pos") == 0).select("_p", *group, F.lit(0).cast("bigint").alias("_s"))
+    heads = named.where(F.col("_pos") == 0).select("_p", *group, F.lit(None).cast("bigint").alias("_s"))
     both = tails.withColumn("_tail", F.lit(1)).unionByName(heads.withColumn("_tail", F.lit(0)))
     before = Window.partitionBy(*group).orderBy("_p", "_tail").rowsBetween(Window.unboundedPreceding, -1)
     return both.withColumn("_off", F.sum("_s").over(before)).where(F.col("_tail") == 0).select("_p", *group, "_off")
@@ -92,6 +92,8 @@ def running_total(
 ) -> DataFrame:
     """Sum of the integer ``weight`` from the first row of the key group up to this row.
 
+    NULL weights add nothing; the sum is NULL until the first weight. NULL keys are one group.
+
     A group of any size is summed part by part, and the sums of earlier parts are
     added to its later ones. Where the number of ``rows`` is known to be small, a
     plain window does it.
@@ -107,7 +109,8 @@ def running_total(
     here = Window.partitionBy(*keys, "_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     return (
         placed.join(F.broadcast(offsets), on, "left")
-        .withColumn(name, F.coalesce("_off", F.lit(0)) + F.sum("_w").over(here))
+        .withColumn("_w", F.sum("_w").over(here))
+        .withColumn(name, F.coalesce(F.col("_off") + F.col("_w"), "_off", "_w"))
         .drop("_w", "_place", "_part", "_pos", "_p", "_off", *[f"_g{i}" for i in range(len(keys))])
     )
 
@@ -166,5 +169,5 @@ def pick_existing(
     """
     numbered = dense_index(pool.select(F.col(pool_key).alias(name)), [name], 0, "_idx")
     size = numbered.agg(F.count(F.lit(1)).alias("n")).scalar()
-    drawn = rows.withColumn("_draw", scale_u32(hash_u32(seed, tag, *[F.col(k) for k in row_keys]), size))
+    drawn = rows.withColumn("_draw", scale_u60(hash_u60(seed, tag, *[F.col(k) for k in row_keys]), size))
     return drawn.join(numbered, F.col("_draw") == F.col("_idx"), "left").drop("_draw", "_idx")

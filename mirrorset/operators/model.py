@@ -8,13 +8,16 @@ from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mirrorset.functions.draws import hash_u32
-from mirrorset.operators.joins import all_of
+from mirrorset.config import DEFAULT_LIMITS, Limits
+from mirrorset.functions.draws import hash_u60
+from mirrorset.operators.joins import all_of, lookup_join
+from mirrorset.operators.keys import dense_index
+from mirrorset.sources.staging import stage, staging_root
 from mirrorset.sources.tables import dictionary_values
 
 
@@ -98,25 +101,37 @@ def scoring_set(
 
 def hash_split(df: DataFrame, key: str, seed: int = 42, parts: int = 8, of: int = 10) -> DataFrame:
     """Add ``is_train``: ``parts`` of ``of`` rows, chosen by a hash of the key."""
-    return df.withColumn("is_train", hash_u32(seed, "split", F.col(key)) % of < parts)
+    return df.withColumn("is_train", hash_u60(seed, "split", F.col(key)) % of < parts)
 
 
-def dictionary_labels(dictionary: DataFrame, column: str, most: int = 10_000) -> list[str]:
-    """The codes of a dictionary in order; refuses one too long for a one-hot vector."""
-    rows = dictionary_values(dictionary, column).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"{column} has more than {most} codes")
-    return sorted(r[0] for r in rows)
+@dataclass(frozen=True)
+class Codes:
+    """A dictionary's codes ``_known`` numbered from 0 in ``_code``, and how many there are."""
+
+    index: DataFrame
+    size: int
+
+
+def code_index(dictionary: DataFrame, column: str, limits: Limits = DEFAULT_LIMITS) -> Codes:
+    """Number the codes of a dictionary in their order, however many there are."""
+    known = dictionary_values(dictionary, column).select(F.col(column).alias("_known"))
+    index = stage(dense_index(known, ["_known"], 0, "_code", limits=limits), "codes")
+    return Codes(index, index.count())
 
 
-def feature_stages(target: Target, labels: Sequence[str], scale: bool = False) -> list:
+def with_codes(df: DataFrame, codes: Codes, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """Add the number ``_code`` of each row's ``code``; unknown and missing codes share the number behind the last."""
+    small = limits.small(codes.size)
+    joined = lookup_join(df, codes.index, {"code": "_known"}, "left", small, limits).drop("_known")
+    return joined.withColumn("_code", F.coalesce("_code", F.lit(codes.size)).cast("double"))
+
+
+def feature_stages(target: Target, codes: Codes | None, scale: bool = False) -> list:
     """Stages that build ``_features``; codes are encoded on the full dictionary."""
     stages, inputs = [], list(target.numeric)
     if target.by_code:
-        stages += [
-            StringIndexerModel.from_labels(list(labels), inputCol="code", outputCol="_code", handleInvalid="keep"),
-            OneHotEncoder(inputCols=["_code"], outputCols=["_codes"], dropLast=False),
-        ]
+        last = codes.index.sparkSession.createDataFrame([(float(codes.size),)], "_code double")
+        stages.append(OneHotEncoder(inputCols=["_code"], outputCols=["_codes"], dropLast=False).fit(last))
         inputs = ["_codes", *inputs]
     raw = "_raw" if scale else "_features"
     stages.append(VectorAssembler(inputCols=inputs, outputCol=raw, handleInvalid="keep"))
@@ -125,7 +140,7 @@ def feature_stages(target: Target, labels: Sequence[str], scale: bool = False) -
     return stages
 
 
-def fit_gbt(train: DataFrame, target: Target, labels: Sequence[str], boosting: Boosting = Boosting()) -> PipelineModel:
+def fit_gbt(train: DataFrame, target: Target, codes: Codes, boosting: Boosting = Boosting()) -> PipelineModel:
     """Features and boosted trees for one measure, on the rows that have it."""
     trees = GBTRegressor(
         featuresCol="_features",
@@ -137,8 +152,11 @@ def fit_gbt(train: DataFrame, target: Target, labels: Sequence[str], boosting: B
         seed=boosting.seed,
         checkpointInterval=10,
     )
+    context = train.sparkSession.sparkContext
+    if not context.getCheckpointDir():  # else the trees keep their whole lineage
+        context.setCheckpointDir(staging_root(train.sparkSession))
     usable = train.where(F.col(target.name).isNotNull()).withColumn(target.name, F.col(target.name).cast("double"))
-    return Pipeline(stages=[*feature_stages(target, labels, boosting.scale), trees]).fit(usable)
+    return Pipeline(stages=[*feature_stages(target, codes, boosting.scale), trees]).fit(usable)
 
 
 def _predict(df: DataFrame, target: Target, model: PipelineModel, name: str) -> DataFrame:
@@ -148,15 +166,21 @@ def _predict(df: DataFrame, target: Target, model: PipelineModel, name: str) ->
     return model.transform(df).select(*kept, predicted)
 
 
+def r_squared(tested: DataFrame) -> float:
+    """R² of the predictions ``_out`` of ``_actual``."""
+    return float(RegressionEvaluator(labelCol="_actual", predictionCol="_out", metricName="r2").evaluate(tested))
+
+
 @dataclass(frozen=True)
 class Chain:
     models: tuple[tuple[Target, PipelineModel], ...]
     metrics: DataFrame
+    codes: Codes
 
 
 def fit_chain(
     features: DataFrame,
-    labels: Sequence[str],
+    codes: Codes,
     boosting: Boosting = Boosting(),
     targets: Sequence[Target] = CHAIN,
 ) -> Chain:
@@ -164,28 +188,27 @@ def fit_chain(
 
     ``features`` is read many times: pass a staged table.
     """
-    split = hash_split(features, "id", boosting.seed)
+    split = hash_split(with_codes(features, codes), "id", boosting.seed)
     train, held = split.where("is_train"), split.where(~F.col("is_train"))
     models, scores = [], []
     for target in targets:
-        model = fit_gbt(train, target, labels, boosting)
+        model = fit_gbt(train, target, codes, boosting)
         usable = held.where(F.col(target.name).isNotNull()).withColumn(
             "_actual", F.col(target.name).cast("double")
         )
         tested = _predict(usable, target, model, "_out").where(F.col("_out").isNotNull())
-        r2 = RegressionEvaluator(labelCol="_actual", predictionCol="_out", metricName="r2").evaluate(tested)
         models.append((target, model))
-        scores.append((target.name, float(r2)))
+        scores.append((target.name, r_squared(tested)))
     metrics = features.sparkSession.createDataFrame(scores, "target string, r2 double")
-    return Chain(tuple(models), metrics)
+    return Chain(tuple(models), metrics, codes)
 
 
 def score_chain(features: DataFrame, chain: Chain) -> DataFrame:
     """Predict the measures in order; each prediction is a feature of the next ones."""
-    out = features
+    out = with_codes(features, chain.codes)
     for target, model in chain.models:
         out = _predict(out, target, model, target.name)
-    return out
+    return out.drop("_code")
 
 
 def attach_predictions(rows: DataFrame, scored: DataFrame, id_column: str, columns: Sequence[str]) -> DataFrame:

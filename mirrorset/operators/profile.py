@@ -70,9 +70,9 @@ def with_group_values(
         return cells.select("*", *[agg.over(group).alias(name) for name, agg in values.items()])
     names = {k: f"_g{i}" for i, k in enumerate(keys)}
     groups = cells.groupBy(*[F.col(k).alias(a) for k, a in names.items()]).agg(
-        *[agg.alias(name) for name, agg in values.items()], F.count(F.lit(1)).alias("_size")
+        *[agg.alias(name) for name, agg in values.items()]
     )
     if not keys:
         return cells.select("*", *[groups.select(name).scalar().alias(name) for name in values])
-    joined = lookup_join(cells, groups, names, "inner", False, "_size", limits, null_safe=True)
-    return joined.drop("_size", *names.values())
+    joined = lookup_join(cells, groups, names, "inner", False, limits, null_safe=True)
+    return joined.drop(*names.values())

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mirrorset.config import Limits
-from mirrorset.functions.draws import hash_u32, scale_u32
+from mirrorset.functions.draws import hash_u60, scale_u60
 from mirrorset.operators.joins import all_of, lookup_join
 from mirrorset.operators.keys import running_total
 from mirrorset.operators.profile import Profile, with_group_values
@@ -118,7 +118,7 @@ def _tagged(rows: DataFrame, dist: TieredDistribution, columns: Mapping[str, str
         if used:
             on = {columns[k]: f"_h{number}_{i}" for k, i in at.items()}
             few = dist.limits.small(dist.groups[number - 1])
-            out = lookup_join(out, head, on, "left", few, f"_tot{number}", dist.limits)
+            out = lookup_join(out, head, on, "left", few, dist.limits, counted=rows)
         else:  # one group, so one row: two scalar subqueries
             for c in (f"_tot{number}", f"_slots{number}"):
                 out = out.withColumn(c, head.select(c).scalar())
@@ -169,16 +169,16 @@ def sample_conditional(
 ) -> DataFrame:
     """Draw a value per row from the first tier that knows its keys, else ``default``.
 
-    ``draw`` is a 32-bit number (see ``hash_u32``) and is mapped to the interval
-    that holds ``floor(draw * tot / 2^32)``. A distribution too large to broadcast is
+    ``draw`` is a 60-bit number (see ``hash_u60``) and is mapped to the interval
+    that holds ``floor(draw * tot / 2^60)``. A distribution too large to broadcast is
     joined by shuffle; the slots of a hot group then spread its rows.
     """
     tagged = _tagged(rows.withColumn("_u", draw), dist, columns)
     point = tagged.select(
         *rows.columns,
         "_tier",
-        scale_u32(F.col("_u"), F.col("_tot")).alias("_x"),
-        scale_u32(F.col("_u"), F.col("_slots")).alias("_s"),
+        scale_u60(F.col("_u"), F.col("_tot")).alias("_x"),
+        scale_u60(F.col("_u"), F.col("_slots")).alias("_s"),
         *[
             F.when(F.col("_tier").isin([t for t, used in enumerate(dist.tiers, start=1) if key in used]),
                    F.col(columns[key])).alias(f"_m{i}")
@@ -190,6 +190,10 @@ def sample_conditional(
     on += [F.col(f"_m{i}").eqNullSafe(F.col(f"_d{i}")) for i, key in enumerate(dist.keys) if key in columns]
     on.append((F.col("_x") >= F.col("_lo")) & (F.col("_x") < F.col("_hi")))
     slots = _slots(dist)
+    if not dist.small:  # rows that no tier knows would meet under NULL; they are spread by a number of their own
+        free = F.xxhash64(*rows.columns)
+        point = point.withColumn("_s", F.when(F.col("_tier").isNull(), free).otherwise(F.col("_s")))
+        point = point.withColumn("_tier", F.coalesce("_tier", F.lit(0)))
     joined = point.join(F.broadcast(slots) if dist.small else slots, all_of(on), "left")
     value = F.col("_value") if default is None else F.coalesce(F.col("_value"), default)
     return joined.select(*rows.columns, value.alias(name))
@@ -221,7 +225,7 @@ def sample_by_tiers(
 ) -> DataFrame:
     """Draw an integer per row, with fallback tiers, a default and an optional lower bound."""
     dist = tiered_distribution(prof, tiers, pool)
-    draw = hash_u32(seed, tag, *[F.col(k) for k in row_keys])
+    draw = hash_u60(seed, tag, *[F.col(k) for k in row_keys])
     out = sample_conditional(rows, dist, columns, draw, name, F.lit(default))
     return out if floor is None else out.withColumn(name, F.greatest(F.col(name), F.lit(floor)))
 

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mirrorset.config import DEFAULT_LIMITS, Limits
 from mirrorset.functions.dates import add_days, add_months_overflow
 from mirrorset.operators.joins import next_by_ordinal
 from mirrorset.operators.keys import running_total
@@ -27,13 +28,14 @@ def explode_counter(
     ordinal: str = "nolact",
     id_column: str = "id_laitlact",
     start: int = LACTATION_START,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """``count`` rows per key with ordinals from 1 and consecutive ids in key order.
 
     The running sum is taken over keys, so the expanded rows are not shuffled. Long
     counts are expanded block by block, so that no array gets long.
     """
-    summed = running_total(df, [key], F.col(count), "_end").where(F.col(count) >= 1)
+    summed = running_total(df, [key], F.col(count), "_end", limits=limits).where(F.col(count) >= 1)
     number = F.col(count).cast("int")
     blocks = summed.withColumn("_from", F.explode(F.sequence(F.lit(0), number - 1, F.lit(BLOCK))))
     upto = F.least(number, F.col("_from") + BLOCK)
@@ -105,15 +107,14 @@ def repair_overlap(
 ) -> DataFrame:
     """End ``months`` before the next start, where a row runs into the next ordinal.
 
-    ``strict`` also widens gaps shorter than ``months``. ``short`` states that no key
-    has more rows than a window may hold and that ordinals are unique; the next row
-    is then read by a window, which shares the partitioning of the running dates,
-    instead of by a join.
+    ``strict`` also widens gaps shorter than ``months``. Rows with a NULL key or ordinal
+    are left as they are; of a repeated next ordinal the smallest start counts. ``short``
+    states that no key has more rows than a window may hold; the next row is then read
+    by a window, which shares the partitioning of the running dates, instead of by a join.
     """
     if short:
-        window = _per_key(key, ordinal)
-        follows = F.lead(ordinal).over(window) == F.col(ordinal) + 1
-        nxt = df.withColumn("_next", F.when(follows, F.lead(start).over(window)))
+        named = F.col(key).isNotNull() & F.col(ordinal).isNotNull()
+        nxt = df.withColumn("_next", F.when(named, F.min(start).over(_per_key(key, ordinal).rangeBetween(1, 1))))
     else:
         nxt = next_by_ordinal(df, key, ordinal, {"_next": start})
     return nxt.withColumn(end, _repaired(F.col("_next"), F.col(end), months, overflow, strict)).drop("_next")

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mirrorset.config import DEFAULT_LIMITS, Limits
+from mirrorset.operators.joins import lookup_join
+
 
 def wood_value(a: Column, b: Column, c: Column, day: Column) -> Column:
     return a * F.pow(day, b) * F.exp(-c * day)
@@ -37,8 +40,21 @@ def wood_fit(df: DataFrame, day: str, measure: str, by: Sequence[str]) -> DataFr
     return solved.select(*by, "n", a.alias("a"), "b", "c")
 
 
-def wood_curve(rows: DataFrame, fitted: DataFrame, by: Sequence[str], day: str, name: str = "predicted") -> DataFrame:
-    """Value of the fitted curve of each row's group on the row's day."""
-    joined = rows.join(fitted.drop("n"), list(by), "left")
+def wood_curve(
+    rows: DataFrame,
+    fitted: DataFrame,
+    by: Sequence[str],
+    day: str,
+    name: str = "predicted",
+    small: bool = False,
+    limits: Limits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """Value of the fitted curve of each row's group on the row's day.
+
+    The groups may be few and hot; ``small`` states that ``fitted`` was counted and may be broadcast.
+    """
+    curves = fitted.select(*[F.col(g).alias(f"_by{i}") for i, g in enumerate(by)], "a", "b", "c")
+    on = {g: f"_by{i}" for i, g in enumerate(by)}
+    joined = lookup_join(rows, curves, on, "left", small, limits).drop(*on.values())
     value = wood_value(F.col("a"), F.col("b"), F.col("c"), F.col(day))
     return joined.withColumn(name, value).drop("a", "b", "c")

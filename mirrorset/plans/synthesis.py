@@ -31,7 +31,7 @@ class Settings:
 
     as_of: date
     n_farms: int = 600
-    max_farms: int | None = 2000
+    max_farms: int | None = None
     seed: int = 42
     unit_days: int = sequence.UNIT_DAYS
     pool: str = "cells"
@@ -44,6 +44,7 @@ class Settings:
     jitter_days: int = 0
     boosting: model.Boosting = field(default_factory=model.Boosting)
     limits: Limits = DEFAULT_LIMITS
+    animal_ids: tuple[int, int] = (cohort.ANIMAL_LOW, cohort.ANIMAL_HIGH)
 
 
 def _clean_source(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -80,6 +81,7 @@ def make_animals(src: Mapping[str, DataFrame], farms: DataFrame, s: Settings) ->
         total,
         s.seed,
         {"id": "NOAN", "sire": "NOANPERE", "dam": "NOANMERE"},
+        *s.animal_ids,
         no_self=s.no_self_dam,
     )
     if s.jitter_days:
@@ -176,8 +178,8 @@ def add_measures(
     numeric = [c.name for c in model.CHAIN]
     train = stage(train.select(*[c for c in train.columns if c.lower() not in numeric],
                                *[F.col(c).cast("double").alias(c) for c in numeric]), "training")
-    labels = model.dictionary_labels(src["AIDACTIEL"], "ACTIEL")
-    chain = model.fit_chain(train, labels, s.boosting)
+    codes = model.code_index(src["AIDACTIEL"], "ACTIEL", s.limits)
+    chain = model.fit_chain(train, codes, s.boosting)
     features = lactations.select(
         F.col("ID_LAITLACT").alias("id"),
         F.col("NOLACT").alias("nolact"),

@@ -1,4 +1,4 @@
-from mirrorset.sources.staging import stage, staging_root
+from mirrorset.sources.staging import release, stage, staging, staging_root
 from mirrorset.sources.tables import (
     copy_tables,
     dictionary_values,
@@ -14,7 +14,9 @@ __all__ = [
     "empty_like",
     "load_tables",
     "register_tables",
+    "release",
     "stage",
+    "staging",
     "staging_root",
     "write_table",
 ]

@@ -1,30 +1,20 @@
-"""Intermediate tables written to the cluster's shared checkpoint folder."""
+"""Intermediate tables written to a folder that the cluster shares, and taken away afterwards."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
+_written: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder.
-
-    Where neither is set a temporary folder is made, but only for a local master:
-    on a cluster the executors would not share it.
-    """
-    global _local_root
+    """Folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder, else one below the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="mirrorset-")
-    return _local_root
+    return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/_staged").rstrip("/")
 
 
 def stage(df: DataFrame, name: str = "staged") -> DataFrame:
@@ -35,5 +25,24 @@ def stage(df: DataFrame, name: str = "staged") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, after: int = 0) -> None:
+    """Delete the tables staged by this process, but for the first ``after``; nothing built on them can be read any more."""
+    jvm = spark.sparkContext._jvm
+    while len(_written) > after:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are deleted at its end: write the results before."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        release(spark, before)

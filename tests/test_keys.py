@@ -114,9 +114,9 @@ def test_neighbours_by_ordinal_stop_at_gaps(spark):
 @pytest.mark.parametrize("null_safe", [True, False])
 def test_lookup_join_is_the_same_when_salted(spark, hot, how, null_safe):
     lookup = hot.where("g is null or g <> 'g7'").groupBy(F.col("g").alias("lg")).agg(F.count("*").alias("n"))
-    plain = joins.lookup_join(hot, lookup, {"g": "lg"}, how, True, "n", null_safe=null_safe)
+    plain = joins.lookup_join(hot, lookup, {"g": "lg"}, how, True, null_safe=null_safe)
     for salts in (1, 10, 5000):
-        salted = joins.lookup_join(hot, lookup, {"g": "lg"}, how, False, "n", Limits(salts=salts), null_safe)
+        salted = joins.lookup_join(hot, lookup, {"g": "lg"}, how, False, Limits(salts=salts), null_safe)
         assert salted.columns == plain.columns
         assert plain.exceptAll(salted).count() == 0 and salted.count() == plain.count()
 
@@ -129,3 +129,31 @@ def test_replace_column_and_pool(spark):
     assert sorted(tuple(r) for r in kept.collect()) == [(1, 1, "x"), (2, 2, "b")]
     pooled = joins.keyed_or_pool(rows.select("k"), updates, "k", "k", "v", F.lit("pool"))
     assert sorted(tuple(r) for r in pooled.collect()) == [(1, "x"), (2, "pool")]
+
+
+def test_running_total_with_nulls_is_the_same_in_both_plans(spark):
+    for seed in range(4):
+        rows = spark.range(600).selectExpr(
+            "id",
+            f"CASE WHEN xxhash64(id, {seed}) % 7 = 0 THEN NULL ELSE abs(xxhash64(id, {seed}, 1)) % 3 END AS g",
+            f"CASE WHEN id < 150 OR id > 400 OR xxhash64(id, {seed}, 2) % 3 = 0 THEN NULL ELSE id END AS w",
+        )
+        for names in ((), ("g",)):
+            spread = keys.running_total(rows, ["id"], F.col("w"), "t", names)
+            plain = keys.running_total(rows, ["id"], F.col("w"), "t", names, rows=600)
+            assert {tuple(r) for r in spread.collect()} == {tuple(r) for r in plain.collect()}
+
+
+def test_hot_keys_that_the_lookup_lacks_are_spread(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, F.lit(-1)).when(F.col("id") % 3 > 0, F.col("id") % 500).alias("g"))
+    lookup = spark.range(500).select(F.col("id").alias("lg"), (F.col("id") * 2).alias("v"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = joins.lookup_join(rows, lookup, {"g": "lg"}, "left", False, Limits(salts=400))
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 20_000 and max(sizes) < 2 * 20_000 / 8

@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from mirrorset.config import Limits
 from mirrorset.operators import audit, model, wood
 
 SMALL = model.Boosting(trees=3)
@@ -36,9 +37,9 @@ def test_split_is_stable_and_close_to_four_fifths(spark):
     assert got.exceptAll(model.hash_split(rows.repartition(9), "id")).count() == 0
 
 
-def test_chain_beats_the_mean_and_scores_every_row(features):
-    labels = ["01", "04", "99", "XM"]
-    chain = model.fit_chain(features, labels, SMALL)
+def test_chain_beats_the_mean_and_scores_every_row(spark, features):
+    codes = model.code_index(spark.createDataFrame([("01",), ("04",), ("99",), ("XM",)], "c string"), "c")
+    chain = model.fit_chain(features, codes, SMALL)
     r2 = {r.target: r.r2 for r in chain.metrics.collect()}
     assert set(r2) == {"lait", "mg", "prot", "pic", "persistance"}
     assert r2["lait"] > 0.5 and r2["mg"] > 0.5
@@ -52,10 +53,12 @@ def test_chain_beats_the_mean_and_scores_every_row(features):
     assert out.columns == ["key", "lait", "mg"] and out.count() == 1500
 
 
-def test_dictionary_labels(spark, features):
-    assert model.dictionary_labels(features, "code") == ["01", "04", "XM"]
-    with pytest.raises(ValueError):
-        model.dictionary_labels(features, "code", most=2)
+def test_codes_are_numbered_in_order_and_unknown_ones_last(spark, features):
+    codes = model.code_index(features, "code")
+    assert codes.size == 3 and [r._known for r in codes.index.orderBy("_code").collect()] == ["01", "04", "XM"]
+    rows = spark.createDataFrame([(1, "XM"), (2, None), (3, "other"), (4, "01")], "id int, code string")
+    for limits in (Limits(), Limits(small_rows=0)):
+        assert {r.id: r._code for r in model.with_codes(rows, codes, limits).collect()} == {1: 2.0, 2: 3.0, 3: 3.0, 4: 0.0}
 
 
 def test_fidelity_and_drift(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mirrorset.config import Limits
-from mirrorset.functions.draws import hash_u32
+from mirrorset.functions.draws import hash_u60
 from mirrorset.operators import sample
 from mirrorset.operators.profile import profile
 
@@ -96,7 +96,7 @@ def test_draws_hit_the_exact_interval(spark, hot, limits):
     counts = defaultdict(Counter)
     for r in source.collect():
         counts[r.g][r.v] += r.w
-    rows = hot.select("id", F.col("g").alias("mine"), hash_u32(3, "d", F.col("id")).alias("u"))
+    rows = hot.select("id", F.col("g").alias("mine"), hash_u60(3, "d", F.col("id")).alias("u"))
     got = sample.sample_from(rows, p, {"g": "mine"}, F.col("u"), "out").collect()
     assert len(got) == 2000
     for r in got:
@@ -104,7 +104,7 @@ def test_draws_hit_the_exact_interval(spark, hot, limits):
             assert r.out is None
             continue
         cells = sorted(counts[r.mine].items())
-        point, seen = r.u * sum(n for _, n in cells) >> 32, 0
+        point, seen = r.u * sum(n for _, n in cells) >> 60, 0
         for value, n in cells:
             seen += n
             if point < seen:

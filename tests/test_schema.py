@@ -50,3 +50,14 @@ def test_stage_is_a_written_table(spark, hot):
     staged = sources.stage(hot.where(F.col("g") == "hot"))
     assert staged.dtypes == hot.dtypes and staged.count() == 667
     assert staged.inputFiles()[0].split("://")[-1].replace("file:", "").startswith(sources.staging_root(spark))
+
+
+def test_staged_tables_are_released(spark, hot):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sources.staging_root(spark))
+    listed = lambda: {str(x.getPath()) for x in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)}
+    kept = sources.stage(hot, "kept")
+    before = listed()
+    with sources.staging(spark):
+        assert sources.stage(hot, "passing").count() == 2000 and len(listed()) == len(before) + 1
+    assert listed() == before and kept.count() == 2000

@@ -117,3 +117,19 @@ def test_duration_profile(herd, limits):
     lact, animals = herd
     got = lactation.duration_profile(lact, animals, "noan", "nolact", "vel", "tar", ["breed", "area"], limits)
     assert {(r.nolact, r.duration, r.n) for r in got.shares().collect()} == {(1, 10, 2), (2, 9, 1), (3, 8, 1)}
+
+
+def test_repair_is_the_same_in_both_plans_with_nulls_and_repeats(spark):
+    rows = spark.range(400).selectExpr(
+        "id",
+        "CASE WHEN xxhash64(id) % 6 = 0 THEN NULL ELSE abs(xxhash64(id, 1)) % 20 END AS k",
+        "CASE WHEN xxhash64(id, 2) % 9 = 0 THEN NULL ELSE cast(abs(xxhash64(id, 3)) % 8 AS int) END AS o",
+        "date_add(DATE '2020-01-01', cast(abs(xxhash64(id, 4)) % 900 AS int)) AS s",
+        "date_add(DATE '2020-06-01', cast(abs(xxhash64(id, 5)) % 900 AS int)) AS e",
+    )
+    for strict in (False, True):
+        plans = [sequence.repair_overlap(rows, "k", "o", "s", "e", strict=strict, short=short) for short in (True, False)]
+        assert {tuple(r) for r in plans[0].collect()} == {tuple(r) for r in plans[1].collect()}
+    loose = rows.withColumn("gap", F.when(F.col("id") % 3 > 0, F.col("id") % 5)).where("o IS NOT NULL").dropDuplicates(["k", "o"])
+    plans = [sequence.cumulative_dates(loose, "k", "o", "gap", "s", "d", short=short) for short in (True, False)]
+    assert {tuple(r) for r in plans[0].collect()} == {tuple(r) for r in plans[1].collect()}
