@@ -83,3 +83,23 @@ def test_run_gives_the_last_stage(spark, sf, stages):
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     mine = corpus_pipeline.run(spark, sf).select(*columns).collect()
     assert sorted(mine) == sorted(stages[4].select(*columns).collect())
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None), (None, None), (1, ""), (1, ""), (2, None), (3, "x " * 60_000), (3, "same id"), (4, "same id")]])
+def test_stages_take_odd_rows(spark, sf, make_documents, tmp_path, rows):
+    """Nulls in every column, repeated rows and ids, empty and long texts, no rows, and further columns."""
+    docs = make_documents(rows).selectExpr("*", "'a' AS k", "'b' AS node", "1 AS tag", "2 AS row", "3 AS marks", "4 AS score")
+    columns = docs.columns
+    for name, function in corpus_pipeline.STAGES:
+        path = str(tmp_path / name)
+        function(spark, docs, sf).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if name == "quality_filter":
+            assert set(docs.columns) == set(columns)
+            docs = make_documents(rows).selectExpr("*", "'a' AS k", "'b' AS node", "1 AS tag", "2 AS row", "3 AS marks", "4 AS score")
+        elif name == "near_duplicates":  # the empty texts are one class, and so is "same id"
+            assert docs.columns == columns
+            assert sorted((r.text or "")[:4] for r in docs.collect()) == (["", "same", "x x "] if rows else [])
+        elif name == "repeated_strings":
+            assert docs.columns == columns and docs.count() == (3 if rows else 0)
+    assert (docs.groupBy("doc_id").count().count() > 0) == bool(rows)
