@@ -78,9 +78,9 @@ def herd_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 # Beside the new farms, one per nation in an area without herds, which must take one from the pool of all herds.
 _HAVE, _ALL_HERDS = "herds", "(SELECT count(*) FROM herds)"
+_FAR_TARGETS = " UNION ALL SELECT 900000000 + n_nationkey, CAST(900000000 + 100 * n_nationkey AS INTEGER) FROM nation"
 _ASSIGNED = f"""{_NEW_FARMS}, {_HERDS},
-targets AS (SELECT new_farm, area FROM new_farms UNION ALL
-  SELECT 900000000 + n_nationkey, CAST(900000000 + 100 * n_nationkey AS INTEGER) FROM nation),
+targets AS (SELECT new_farm, area FROM new_farms{_FAR_TARGETS}),
 local_herds AS (SELECT *, row_number() OVER (PARTITION BY area ORDER BY {hash_sql('herd', 'herd')}, herd) - 1 AS slot FROM {_HAVE}),
 pool_herds AS (SELECT *, row_number() OVER (ORDER BY {hash_sql('herd', 'herd')}, herd) - 1 AS slot FROM {_HAVE}),
 ranked AS (SELECT new_farm, area, row_number() OVER (PARTITION BY area ORDER BY {hash_sql('target', 'new_farm')}, new_farm) - 1 AS r FROM targets),

@@ -308,3 +308,49 @@ def synthetic_database(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "supplier").count()
     settings = Settings(as_of=AS_OF, n_farms=n, max_farms=None, seed=SEED, boosting=_SMALL)
     return synthesize(spark, domain_tables(spark, sf), settings)["CL_LAITLACT"]
+
+
+def _settings(spark: SparkSession, sf: str) -> Settings:
+    return Settings(as_of=AS_OF, n_farms=table(spark, sf, "supplier").count(), seed=SEED, boosting=_SMALL)
+
+
+@query(f"WITH {generators._NEW_FARMS} SELECT new_farm AS farm, area FROM new_farms")
+def synthetic_farms(spark: SparkSession, sf: str) -> DataFrame:
+    """The farms of a full run."""
+    made = synthesis.make_farms(spark, domain_tables(spark, sf), _settings(spark, sf))
+    return made.select(F.col("NOINTEXPL").alias("farm"), F.col("CODPOST").alias("area"))
+
+
+_ID_SPAN = cohort.ANIMAL_HIGH - cohort.ANIMAL_LOW
+_ID_FACTOR, _ID_SHIFT = permutation(SEED, _ID_SPAN)
+
+
+def _animal_id(idx: str) -> str:
+    return f"{cohort.ANIMAL_LOW} + CAST((CAST({_ID_FACTOR} AS HUGEINT) * ({idx}) + {_ID_SHIFT}) % {_ID_SPAN} AS BIGINT)"
+
+
+_RUN_CLONES = generators._CLONES.replace(generators._FAR_TARGETS, "").replace(
+    f"farm <> {EXIT}", f"farm <> {cohort.EXIT_FARM}"
+)
+_ANY_DAM = scale_sql(hash_sql("dam", "idx"), "(SELECT count(*) FROM clones)")
+
+
+@query(
+    f"WITH {_RUN_CLONES} SELECT {_animal_id('idx')} AS noan, new_farm AS farm, breed, strftime(birth, '%Y%m%d') AS birth, "
+    f"{cohort.SIRE_LOW} + {scale_sql(hash_sql('sire', 'idx'), '1000000')} AS sire, "
+    f"CASE WHEN {hash_sql('dam known', 'idx')} < {int(0.8 * TWO60)} THEN {_animal_id(_ANY_DAM)} END AS dam FROM clones"
+)
+def synthetic_animals(spark: SparkSession, sf: str) -> DataFrame:
+    """The animals of a full run, on its own farms."""
+    settings = _settings(spark, sf)
+    src = domain_tables(spark, sf)
+    made_farms = stage(synthesis.make_farms(spark, src, settings), "farms")
+    made = synthesis.make_animals(src, made_farms, settings)
+    return made.select(
+        F.col("NOAN").cast("bigint").alias("noan"),
+        F.col("NOINTSANIT").cast("bigint").alias("farm"),
+        F.col("ACTIEL").alias("breed"),
+        F.col("DTNAISANINV").cast("string").alias("birth"),
+        F.col("NOANPERE").cast("bigint").alias("sire"),
+        F.col("NOANMERE").cast("bigint").alias("dam"),
+    )
