@@ -7,10 +7,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mirrorset.catalog import generators
 from mirrorset.catalog.registry import query
-from mirrorset.catalog.roles import ANIMALS, AS_OF, LACTATIONS, SEED, animals, farms, hash_sql, lactations, table, visits
+from mirrorset.catalog.roles import (
+    ANIMALS, AS_OF, EXIT, LACTATIONS, SEED, animals, farms, hash_sql, lactations, scale_sql, table, visits,
+)
 from mirrorset.catalog.sampling import SEGMENT_BY_NATION, sample_segment_by_nation
-from mirrorset.operators import audit, model, wood
+from mirrorset.functions.draws import TWO60
+from mirrorset.operators import audit, cohort, model, wood
+from mirrorset.operators.keys import permutation
+from mirrorset.plans import synthesis
 from mirrorset.plans.synthesis import Settings, synthesize
 from mirrorset.sources.staging import stage
 
