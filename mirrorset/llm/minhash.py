@@ -1,11 +1,12 @@
 """Near-duplicate classes by ProbMinHash, banding and exact verification.
 
-A text is the weighted set of its five-word shingles (weight: how often one occurs). Each shingle is
-a Poisson process whose rate is its weight: its arrivals hit random registers, a register keeps the
-earliest, and a shingle is left as soon as its next arrival is later than all registers hold. Two
-texts agree in a register with their probability Jaccard similarity. Registers are banded; texts
-that share a band are compared by the exact Jaccard similarity of their shingle sets, and the classes
-are the connected components of the pairs at or above the threshold.
+A text is the set of its distinct five-word shingles, each of weight 1 however often it occurs. Each
+shingle is a Poisson process whose rate is its weight: its arrivals hit random registers, a register
+keeps the earliest, and a shingle is left as soon as its next arrival is later than all registers
+hold. Two texts agree in a register with their probability Jaccard similarity, which for weights of 1
+is the Jaccard similarity of the sets. Registers are banded; texts that share a band are compared by
+that same similarity, computed exactly, and the classes are the connected components of the pairs
+at or above the threshold.
 
 Equal texts are grouped first and go on as one. In each bucket all texts are compared with its least
 text; where the rest of a bucket then still lies in several classes, its texts are compared with
@@ -81,8 +82,9 @@ def _signed(documents: DataFrame, size: int, bands: int, rows: int) -> DataFrame
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
-            owner, element, count = shingles(block.column("text"), size)
-            kept = signatures(owner, element, count.astype(np.float64), block.num_rows, bands * rows)
+            owner, element, _ = shingles(block.column("text"), size)
+            # Weight 1 each: pairs are accepted by the similarity of the sets, so they are searched by it.
+            kept = signatures(owner, element, np.ones(len(element)), block.num_rows, bands * rows)
             keys = signed(band_keys(kept, bands))
             filled = np.bincount(owner, minlength=block.num_rows) > 0
             digests = [hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest() for t in block.column("text").to_pylist()]

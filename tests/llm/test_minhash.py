@@ -80,6 +80,22 @@ def test_a_star_of_edits_is_one_class(spark, make_documents):
     assert sorted(((r.doc_id, r.class_id) for r in got), key=repr) == brute(rows)
 
 
+def test_lines_repeated_differently_often_do_not_hide_a_pair(spark, make_documents):
+    """Near texts with a line that one repeats often and the other seldom: their sets are nearly the same."""
+    rng = random.Random(4)
+    rows = []
+    for n, (few, many) in enumerate([(3, 60), (1, 30), (2, 200)] * 5):
+        base = [f"t{n}.{i}" for i in range(300)]
+        line = [f"l{n}.{i}" for i in range(8)]
+        edited = list(base)
+        edited[rng.randrange(300)] = "edited"
+        rows += [(2 * n, " ".join(base + line * few)), (2 * n + 1, " ".join(edited + line * many))]
+    got = minhash.near_duplicates(make_documents(rows)).collect()
+    want = brute(rows)
+    assert len({c for _, c in want}) == 15
+    assert sorted(((r.doc_id, r.class_id) for r in got), key=repr) == want
+
+
 def test_one_row_of_each_class_is_kept(spark, make_documents):
     rows = [(3, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "other"), (None, None), (None, ""), (None, "")]
     given = make_documents(rows).selectExpr("*", "'x' AS k", "1 AS node", "2 AS bucket")
