@@ -12,7 +12,7 @@ number, so neither side is held whole anywhere; the cutoffs travel with the pack
 
 Defined cases: vectors that are null or empty, or hold null or non-finite components, and rows with
 a null id take no part; only vectors of the query's length are compared; a repeated query id counts
-once, with the greatest of its vectors; rows with the query's own id are no candidates; a repeated
+once, with the greatest of its valid vectors; rows with the query's own id are no candidates; a repeated
 candidate row can take several places. Components are floored in double arithmetic; their products
 must fit a long.
 """
@@ -23,7 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BLOCK = 4096
@@ -60,6 +60,12 @@ def _fast_integers(column: pa.Array, scale: float) -> list[np.ndarray | None]:
     return _integers(column, scale)
 
 
+def _valid(vector: Column, scale: float) -> Column:
+    """Whether ``_integers`` takes the vector: not empty, and all components finite."""
+    finite = lambda x: F.coalesce(F.abs(x.cast("double") * scale) < float("inf"), F.lit(False))
+    return F.coalesce((F.size(vector) > 0) & F.forall(vector, finite), F.lit(False))
+
+
 def _vectors(df: DataFrame, id_column: str, vector_column: str, scale: float) -> DataFrame:
     """Packed blocks of the valid rows of each task, by length of vector."""
     rows = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector_column).alias("v")).where("id IS NOT NULL")
@@ -107,6 +113,12 @@ def _slice_scores(queries: np.ndarray, rows: np.ndarray, slices: int) -> list[np
     return [(q[:, c[0] : c[-1] + 1] @ r[:, c[0] : c[-1] + 1].T).astype(np.int64) for c in cuts]
 
 
+def _named(scores: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the ``k`` best of each line, rows with the query's own id behind all others."""
+    start = max(0, scores.shape[1] - k)
+    return np.argpartition(np.where(own, _LOW, scores), start, axis=1)[:, start:]
+
+
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the ``k`` best of one list: higher score first, then the smaller id."""
     if len(scores) > k:
@@ -130,7 +142,7 @@ def top_k(
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     asked = (
         queries.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector_column).alias("v"))
-        .where("id IS NOT NULL AND v IS NOT NULL")
+        .where(F.col("id").isNotNull() & _valid(F.col("v"), scale))  # else an invalid vector could be the greatest
         .groupBy("id")
         .agg(F.max("v").alias("v"))
     )
@@ -184,15 +196,14 @@ def top_k(
     def local_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Phase one: totals of the rows that some slice names among its best."""
         for number, asked_ids, parts, _ in each_tile(batches):
-            named = np.concatenate(
-                [np.argpartition(p, max(0, p.shape[1] - k), axis=1)[:, max(0, p.shape[1] - k) :] for p in parts], axis=1
-            )
+            own = number[None, :] == asked_ids[:, None]
+            named = np.concatenate([_named(p, own, k) for p in parts], axis=1)
             named.sort(axis=1)
             line = np.arange(len(asked_ids))[:, None]
             totals = sum(p[line, named] for p in parts)
-            own = number[named] == asked_ids[:, None]
-            own[:, 1:] |= named[:, 1:] == named[:, :-1]
-            totals[own] = _LOW
+            blank = own[line, named]
+            blank[:, 1:] |= named[:, 1:] == named[:, :-1]
+            totals[blank] = _LOW
             totals = np.sort(totals, axis=1)[:, ::-1][:, :k]
             seen = totals != _LOW
             yield pa.RecordBatch.from_arrays(
@@ -227,7 +238,8 @@ def top_k(
     kth = lists.withColumn("r", F.row_number().over(by_total)).where(F.col("r") <= k)
     cutoffs = kth.groupBy("id").agg(F.min("total").alias("t"), F.count(F.lit(1)).alias("c"))
     cutoffs = cutoffs.select("id", F.when(F.col("c") >= k, F.col("t")).otherwise(F.lit(_LOW)).alias("cutoff"))
-    known = asked.join(cutoffs, "id")
+    # A query that no block names another row for keeps the low cutoff.
+    known = asked.join(cutoffs, "id", "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(_LOW).cast("bigint")))
     entries = tiles(known).mapInArrow(sufficient, "query_id long, id long, score long")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
     ranked = entries.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)

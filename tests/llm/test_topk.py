@@ -38,3 +38,24 @@ def test_empty(spark):
     assert topk.top_k(frame, frame).count() == 0
     one = spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<float>")
     assert topk.top_k(one, one).count() == 0
+
+
+@pytest.mark.parametrize("k,block", [(5, 4096), (5, 16), (1, 4096)])
+def test_a_query_id_repeated_in_a_third_of_the_rows(spark, monkeypatch, k, block):
+    """Its own copies are the best in every slice, and one of its vectors is invalid."""
+    monkeypatch.setattr(topk, "ROWS_PER_BLOCK", block)
+    rng = random.Random(k)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(1, 101)]
+    own = [2.0] * 8
+    frame = spark.createDataFrame(rows + [(0, own)] * 50 + [(0, [float("nan")] * 8), (0, [3.0, None])], "vec_id long, embedding array<double>")
+    floors = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    scored = sorted((-sum(512 * x for x in v), i) for i, v in floors.items())
+    want = [(0, n, i, -s) for n, (s, i) in enumerate(scored[:k], 1)]
+    got = topk.top_k(frame, frame.where("vec_id = 0"), k)
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_the_valid_vector_of_a_repeated_query_id_counts(spark):
+    rows = [(0, [1.0, 1.0]), (0, [float("nan"), 1.0]), (0, [float("inf"), 1.0]), (1, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(frame, frame.where("vec_id = 0"), 1).collect()] == [(0, 1, 1, 65536)]
