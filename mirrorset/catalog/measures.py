@@ -23,7 +23,7 @@ from mirrorset.sources.staging import stage
 _TRAIN = f"""WITH {LACTATIONS}, {ANIMALS}, train AS (SELECT id, nolact, breed AS code, CAST(month(vel) AS INTEGER) AS month,
   CAST(tar - vel AS INTEGER) AS duration, lait FROM lact l JOIN animals a ON l.noan = a.noan
   WHERE tar IS NOT NULL AND lait IS NOT NULL)"""
-_SMALL = model.Boosting(trees=5)
+_BOOSTING = model.Boosting()
 
 
 def _measured(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,12 +95,12 @@ def scaled_feature(spark: SparkSession, sf: str) -> DataFrame:
 
 def _chain(spark: SparkSession, sf: str) -> model.Chain:
     codes = model.code_index(table(spark, sf, "customer"), "c_mktsegment")
-    return model.fit_chain(stage(_train(spark, sf), "training"), codes, _SMALL)
+    return model.fit_chain(stage(_train(spark, sf), "training"), codes, _BOOSTING)
 
 
 @query()
 def gbt_chain(spark: SparkSession, sf: str) -> DataFrame:
-    """Measures of every lactation, predicted in order by five small models."""
+    """Measures of every lactation, predicted in order by five models."""
     chain = _chain(spark, sf)
     rows = lactations(spark, sf).select("id", "noan", "vel", "tar")
     scored = model.score_chain(scoring_set(spark, sf), chain)
@@ -310,14 +310,14 @@ def domain_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 @query()
 def synthetic_database(spark: SparkSession, sf: str) -> DataFrame:
-    """A full run with one farm per supplier and small models; the synthetic lactations."""
+    """A full run with one farm per supplier and models of full size; the synthetic lactations."""
     n = table(spark, sf, "supplier").count()
-    settings = Settings(as_of=AS_OF, n_farms=n, max_farms=None, seed=SEED, boosting=_SMALL)
+    settings = Settings(as_of=AS_OF, n_farms=n, max_farms=None, seed=SEED, boosting=_BOOSTING)
     return synthesize(spark, domain_tables(spark, sf), settings)["CL_LAITLACT"]
 
 
 def _settings(spark: SparkSession, sf: str) -> Settings:
-    return Settings(as_of=AS_OF, n_farms=table(spark, sf, "supplier").count(), seed=SEED, boosting=_SMALL)
+    return Settings(as_of=AS_OF, n_farms=table(spark, sf, "supplier").count(), seed=SEED, boosting=_BOOSTING)
 
 
 @query(f"WITH {generators._NEW_FARMS} SELECT new_farm AS farm, area FROM new_farms")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -12,6 +13,7 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from mirrorset.config import DEFAULT_LIMITS, Limits
 from mirrorset.functions.draws import hash_u60
@@ -152,9 +154,6 @@ def fit_gbt(train: DataFrame, target: Target, codes: Codes, boosting: Boosting =
         seed=boosting.seed,
         checkpointInterval=10,
     )
-    context = train.sparkSession.sparkContext
-    if not context.getCheckpointDir():  # else the trees keep their whole lineage
-        context.setCheckpointDir(staging_root(train.sparkSession))
     usable = train.where(F.col(target.name).isNotNull()).withColumn(target.name, F.col(target.name).cast("double"))
     return Pipeline(stages=[*feature_stages(target, codes, boosting.scale), trees]).fit(usable)
 
@@ -186,19 +185,27 @@ def fit_chain(
 ) -> Chain:
     """Fit every measure on 80% of the rows and report R² on the rest.
 
-    ``features`` is read many times: pass a staged table.
+    The split rows are staged, and the models are fitted side by side.
     """
-    split = hash_split(with_codes(features, codes), "id", boosting.seed)
+    context = features.sparkSession.sparkContext
+    if not context.getCheckpointDir():  # else the trees keep their whole lineage
+        context.setCheckpointDir(staging_root(features.sparkSession))
+    split = stage(hash_split(with_codes(features, codes), "id", boosting.seed), "split")
     train, held = split.where("is_train"), split.where(~F.col("is_train"))
-    models, scores = [], []
-    for target in targets:
+
+    def fitted(target: Target) -> tuple[PipelineModel, float]:
         model = fit_gbt(train, target, codes, boosting)
         usable = held.where(F.col(target.name).isNotNull()).withColumn(
             "_actual", F.col(target.name).cast("double")
         )
         tested = _predict(usable, target, model, "_out").where(F.col("_out").isNotNull())
-        models.append((target, model))
-        scores.append((target.name, r_squared(tested)))
+        return model, r_squared(tested)
+
+    # Measures are learned from the true values of the ones before, so no model waits for another.
+    with ThreadPoolExecutor(max(1, len(targets))) as pool:
+        done = list(pool.map(inheritable_thread_target(features.sparkSession)(fitted), targets))
+    models = [(target, model) for target, (model, _) in zip(targets, done)]
+    scores = [(target.name, r2) for target, (_, r2) in zip(targets, done)]
     metrics = features.sparkSession.createDataFrame(scores, "target string, r2 double")
     return Chain(tuple(models), metrics, codes)
 

@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from mirrorset.catalog import measures
 from mirrorset.config import Limits
 from mirrorset.operators import audit, model, wood
 
@@ -95,3 +96,12 @@ def test_wood_curve_is_recovered(spark):
     assert curve.where(F.abs(F.col("predicted") - F.col("milk")) > 1e-6).count() == 0
     flat = wood.wood_fit(milk.where("day = 5"), "day", "milk", ["breed"]).first()
     assert flat.b is None and flat.c is None
+
+
+def test_registered_models_have_full_size(spark, sf, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(measures.model, "fit_chain", lambda features, codes, boosting: sizes.append(boosting.trees))
+    monkeypatch.setattr(measures, "synthesize", lambda s, tables, settings: sizes.append(settings.boosting.trees) or {"CL_LAITLACT": None})
+    measures._chain(spark, sf)  # of gbt_chain and hold_out_r2
+    measures.synthetic_database(spark, sf)
+    assert sizes == [200, 200]
