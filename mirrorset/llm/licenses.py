@@ -4,7 +4,8 @@ A template's words are hashed in overlapping groups; winnowing keeps the least h
 its fingerprints, and an index maps a fingerprint to its templates and places. Every group of words
 of every text is looked up. Hits of one template near one diagonal are a candidate, and a local
 alignment inside a band around that diagonal gives the matched words, their share of the template
-and the span in the text. Where matches overlap, the one with more matched words stays.
+and the span in the text; what lies before and behind a match in the band is aligned again, so that
+copies close together are all found. Where matches overlap, the one with more matched words stays.
 
 Words are runs of letters, digits and non-ASCII bytes, in ASCII lower case. Defined cases: a null or
 empty text matches nothing; repeated rows are reported each; a text may hold a template many
@@ -148,6 +149,20 @@ def _candidates(index: Index, owner: np.ndarray, words: np.ndarray):
             yield row
 
 
+def occurrences(words: np.ndarray, template: list[int], diagonal: int, low: int, high: int, least: float):
+    """Matched words, first and last word of each match inside the band: the best one, then those before and behind it."""
+    rest = [(low, high)]
+    while rest:
+        a, b = rest.pop()
+        if b - a < least:
+            continue
+        matched, first, last = align(words[a:b].tolist(), template, diagonal - a)
+        if matched:
+            if matched >= least:
+                yield matched, a + first, a + last
+            rest += [(a, a + first), (a + last, b)]
+
+
 def scan(documents: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """One row per match that covers enough of a template. One pass, without a shuffle."""
     index = build_index(templates if templates is not None else TEMPLATES)
@@ -163,9 +178,8 @@ def scan(documents: DataFrame, templates: dict[str, str] | None = None, coverage
             wanted = index.words[template]
             low = max(int(begin[row]), diagonal - BAND)
             high = min(int(begin[row + 1]), diagonal + len(wanted) + BAND)
-            matched, a, b = align(words[low:high].tolist(), wanted, diagonal - low)
-            if matched >= coverage * len(wanted):
-                found.setdefault(row, []).append((-matched, low + a, low + b, index.names[template], matched / len(wanted)))
+            for matched, a, b in occurrences(words, wanted, diagonal, low, high, coverage * len(wanted)):
+                found.setdefault(row, []).append((-matched, a, b, index.names[template], matched / len(wanted)))
         out = []
         for row, rows in found.items():
             kept: list[tuple] = []

@@ -76,3 +76,15 @@ def test_empty_and_clashing(spark, make_documents):
     assert [(r.doc_id, r.span_end) for r in licenses.scan(rows).collect()] == [(None, 19)]
     assert licenses.scan(rows.limit(0)).count() == 0
     assert licenses.scan(rows, templates={}).count() == 0
+
+
+@pytest.mark.parametrize("name", ["all-rights-reserved", "mit", "cc-by-4.0", "apache-2.0", "mit-notice"])
+@pytest.mark.parametrize("between", ["\n", " x ", " x y z "])
+def test_adjacent_repeats_are_all_reported(spark, make_documents, name, between):
+    wording = TEMPLATES[name]
+    text = "Intro " + between.join([wording] * 5) + " end"
+    got = licenses.scan(make_documents([(1, text)])).collect()
+    step = len(wording + between)
+    assert sorted((r.license, r.coverage, r.span_start, r.span_end) for r in got) == [
+        (name, 1.0, 6 + i * step, 6 + i * step + len(wording) - 1) for i in range(5)
+    ]
