@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorset.llm import bpe, html, licenses, merkle, minhash, packing, quality, suffix_dedup, topk, urls
+from mirrorset.llm import bpe, html, licenses, merkle, minhash, packing, quality, sharding, suffix_dedup, topk, trie
+from mirrorset.llm import urls, whitening
 from mirrorset.llm.catalog import query
 from mirrorset.llm.common import table
 
@@ -107,3 +108,93 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence wordings in every document, with coverage and spans."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+#: CRC-32 in SQL: the table of the polynomial 0xEDB88320, then one step a byte.
+_CRC_TABLE = """crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t
+)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295,
+    list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: ('0x' || b)::BIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295)"""
+
+
+_SHARD_SQL = f"""
+WITH {_CRC_TABLE}, d AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), k AS (
+  SELECT doc_id, octet_length(encode(text)) + 1 AS size, md5(text) AS g, {_crc32("text")} AS text_crc32 FROM d, crc
+), o AS (
+  SELECT *, sum(size) OVER (ORDER BY g, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS begins,
+    row_number() OVER (ORDER BY g, doc_id NULLS FIRST) AS n, sum(size) OVER () AS total FROM k
+), s AS (
+  SELECT *, (CASE WHEN sum(size) OVER (PARTITION BY g) * 16 * 64 <= total THEN min(begins) OVER (PARTITION BY g) ELSE begins END
+    * 16) // total AS shard FROM o
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+  n - min(n) OVER (PARTITION BY shard) AS slot, NULL::INTEGER AS grown_shard
+FROM s
+"""
+
+
+@query(_SHARD_SQL)
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen shards of nearly equal bytes for all documents."""
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+_TRIE_SQL = f"""
+WITH {_CRC_TABLE}, turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS rn
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, c - c % 100 AS b, {_crc32("c::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT c FROM turns), crc
+), mixed AS (
+  SELECT convs.c, rn, role, text FROM convs JOIN turns ON turns.c = convs.b AND rn <= h
+  UNION ALL
+  SELECT convs.c, rn, role, text FROM convs JOIN turns ON turns.c = convs.c AND rn > h
+), placed AS (
+  SELECT c, row_number() OVER own AS d, count(*) OVER (PARTITION BY c) AS turns, length(text) AS chars,
+    string_agg(sha256(length(role) || ':' || role || text), '') OVER own AS path
+  FROM mixed WINDOW own AS (PARTITION BY c ORDER BY rn ROWS UNBOUNDED PRECEDING)
+), members AS (
+  SELECT * FROM placed
+  UNION ALL
+  SELECT c, 0, (SELECT count(*) FROM mixed WHERE mixed.c = convs.c), 0, '' FROM convs
+), nodes AS (
+  SELECT d, path, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+    count(*) FILTER (WHERE turns = d) = count(*) AS leaf,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE turns = d), '')) AS ends_sha256
+  FROM members GROUP BY d, path
+), owners AS (
+  SELECT members.c, d, conv_id AS owner FROM members JOIN nodes USING (d, path)
+), linked AS (
+  SELECT nodes.*, owner AS parent_conv_id FROM nodes LEFT JOIN owners ON owners.c = conv_id AND owners.d = nodes.d - 1
+), totals AS (
+  SELECT owner AS conv_id, owners.d, sum(saved) AS saved, count(*) FILTER (WHERE leaf) AS leaves
+  FROM nodes JOIN owners ON owners.c = nodes.conv_id AND owners.d <= nodes.d GROUP BY ALL
+), children AS (
+  SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n FROM linked WHERE d > 0 GROUP BY ALL
+)
+SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs, coalesce(children.n, 0) AS n_children,
+  totals.leaves AS n_leaves, totals.saved::BIGINT AS saved_tokens, ends_sha256
+FROM linked JOIN totals USING (conv_id, d) LEFT JOIN children USING (conv_id, d)
+"""
+
+
+@query(_TRIE_SQL)
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, with heads exchanged between neighbours."""
+    turns = trie.ranked_turns(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(*trie.rebuilt(turns))
