@@ -8,8 +8,9 @@ put together from their words' ids.
 
 The tokenizer file is a parameter that executors read from their own installation.
 Defined cases: a null or empty text has no ids and decodes to the empty string; strings of
-added tokens inside a text become those tokens, as the library does by default. Words are
-told apart by 64-bit hashes over their code points.
+added tokens inside a text become those tokens, as the library does by default. Hashes only
+find candidates for equal words: each occurrence is compared with the word that it stands for.
+A text without white space may be one word; its arrays take some 60 bytes a letter while it is encoded.
 """
 
 from __future__ import annotations
@@ -227,6 +228,18 @@ def _word_spans(codes: np.ndarray, edges: np.ndarray, word_ends: bool) -> tuple[
     return first[words], last[words]
 
 
+def _unlike(codes: np.ndarray, first: np.ndarray, last: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Words whose letters are not those of the word number ``like`` beside it."""
+    length = last - first
+    differ = length != length[like]
+    asked = np.flatnonzero(~differ & (like != np.arange(len(like))))
+    here = codes[ragged(first[asked], length[asked])]
+    wrong = np.flatnonzero(here != codes[ragged(first[like[asked]], length[asked])])
+    if len(wrong):
+        differ[asked[np.searchsorted(np.cumsum(length[asked]), wrong, side="right")]] = True
+    return np.flatnonzero(differ)
+
+
 def _lower(text: str) -> str:
     """Lower case of each character by itself: the final sigma has no rule of its own."""
     return text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
@@ -242,8 +255,7 @@ class Encoder:
         self.pieces = re.compile("(" + "|".join(re.escape(t) for t in self.vocabulary.added) + ")")
 
     def _reset(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)
-        self.numbers = np.zeros(0, np.int64)
+        self.numbers: dict[bytes, int] = {}
         self.new: list[bytes] = []
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(0, np.int64)
@@ -259,6 +271,13 @@ class Encoder:
     def known(self) -> int:
         return len(self.counts) + len(self.new)
 
+    def _number(self, word: bytes) -> int:
+        number = self.numbers.get(word)
+        if number is None:
+            number = self.numbers[word] = self.known
+            self.new.append(word)
+        return number
+
     def words_of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all texts one after another, and how many each text has."""
         pieces: list[str] = []
@@ -282,25 +301,17 @@ class Encoder:
         codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
         edges = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1) - 1
         first, last = _word_spans(codes, edges, self.vocabulary.word_ends)
-        hashes = SpanHash(codes)(first, last)
-        code, distinct = pd.factorize(hashes)
-        order = np.argsort(distinct, kind="stable")
-        at = np.minimum(np.searchsorted(self.hashes, distinct[order]), max(0, len(self.hashes) - 1))
-        found = self.hashes[at] == distinct[order] if len(self.hashes) else np.zeros(len(order), bool)
-        numbers = np.empty(len(distinct), np.int64)
-        numbers[order[found]] = self.numbers[at[found]]
-        fresh = order[~found]
-        numbers[fresh] = self.known + np.arange(len(fresh))
+        code, distinct = pd.factorize(SpanHash(codes)(first, last))
         sample = np.empty(len(distinct), np.int64)
         sample[code[::-1]] = np.arange(len(code))[::-1]
-        for i in sample[fresh].tolist():
-            self.new.append(whole[first[i] : last[i]].encode("utf-8", "surrogatepass"))
-        merged = np.concatenate((self.hashes, distinct[fresh]))
-        sort = np.argsort(merged, kind="stable")
-        self.hashes = merged[sort]
-        self.numbers = np.concatenate((self.numbers, numbers[fresh]))[sort]
+
+        def number_of(i: int) -> int:
+            return self._number(whole[first[i] : last[i]].encode("utf-8", "surrogatepass"))
+
+        number = np.fromiter(map(number_of, sample.tolist()), np.int64, len(sample))[code]
+        for i in _unlike(codes, first, last, sample[code]).tolist():
+            number[i] = number_of(i)
         piece = np.searchsorted(edges, first)
-        number = numbers[code]
         if added:
             at_piece = np.searchsorted(piece, np.fromiter(added, np.int64, len(added)))
             number = np.insert(number, at_piece, list(added.values()))

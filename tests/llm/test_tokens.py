@@ -74,6 +74,26 @@ def test_pieces_hold_each_id_once(make_documents, texts):
         assert at == len(ids)
 
 
+def thue_morse(n, letters="ab"):
+    word = letters[0]
+    while len(word) < n:
+        word += "".join(letters[1 - letters.index(c)] for c in word)
+    return word
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_with_equal_hashes_stay_apart(name):
+    """A Thue-Morse word and its complement have equal polynomial hashes modulo 2^64."""
+    import pyarrow as pa
+
+    library, encoder = tokenizer(name), bpe.Encoder(public_tokenizers.path(name))
+    pairs = [(thue_morse(n, "ab"), thue_morse(n, "ba")) for n in (1_024, 2_048)]
+    texts = [f"{a} {b} {a}" for a, b in pairs] + [b for _, b in pairs] + [a for a, _ in pairs]
+    for part in (texts, texts[::-1], texts[2:4], texts[4:]):
+        for _, ids, _ in encoder.encoded([pa.record_batch([pa.array(part)], ["text"])], "text"):
+            assert [x.tolist() for x in ids] == [library.encode(t, add_special_tokens=False).ids for t in part]
+
+
 def test_empty_table_and_clashing_columns(make_documents):
     empty = make_documents([])
     path = public_tokenizers.path("byte_bpe_50k.json")
