@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mirrorset.catalog import generators
@@ -226,12 +226,27 @@ def _controls(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(f"WITH {_FIT} SELECT breed, n, round(ln(a), 6) AS ln_a, round(b, 6) AS b, round(c, 6) AS c FROM fit")
+def _rounded(value: Column, digits: int) -> Column:
+    """Rounded, with one zero: the sign of what was rounded away does not count."""
+    return F.when(F.round(value, digits) == 0, F.lit(0.0)).otherwise(F.round(value, digits))
+
+
+def _rounded_sql(value: str, digits: int) -> str:
+    return f"CASE WHEN round({value}, {digits}) = 0 THEN 0.0::DOUBLE ELSE round({value}, {digits}) END"
+
+
+def _parameters(digits: int) -> list[Column]:
+    return [_rounded(v, digits).alias(name) for v, name in ((F.ln("a"), "ln_a"), (F.col("b"), "b"), (F.col("c"), "c"))]
+
+
+def _parameters_sql(digits: int) -> str:
+    return ", ".join(f"{_rounded_sql(v, digits)} AS {name}" for v, name in (("ln(a)", "ln_a"), ("b", "b"), ("c", "c")))
+
+
+@query(f"WITH {_FIT} SELECT breed, n, {_parameters_sql(6)} FROM fit")
 def wood_fit(spark: SparkSession, sf: str) -> DataFrame:
     fitted = wood.wood_fit(_controls(spark, sf), "day", "milk", ["breed"])
-    return fitted.select(
-        "breed", "n", F.round(F.ln("a"), 6).alias("ln_a"), F.round("b", 6).alias("b"), F.round("c", 6).alias("c")
-    )
+    return fitted.select("breed", "n", *_parameters(6))
 
 
 @query(
@@ -252,10 +267,10 @@ _COHORT_FIT = (
 )
 
 
-@query(f"WITH {_COHORT_FIT} SELECT {', '.join(_COHORT)}, n, round(ln(a), 4) AS ln_a, round(b, 4) AS b, round(c, 4) AS c FROM fit")
+@query(f"WITH {_COHORT_FIT} SELECT {', '.join(_COHORT)}, n, {_parameters_sql(4)} FROM fit")
 def wood_fit_cohort(spark: SparkSession, sf: str) -> DataFrame:
     fitted = wood.wood_fit(_controls(spark, sf), "day", "milk", _COHORT)
-    return fitted.select(*_COHORT, "n", F.round(F.ln("a"), 4).alias("ln_a"), F.round("b", 4).alias("b"), F.round("c", 4).alias("c"))
+    return fitted.select(*_COHORT, "n", *_parameters(4))
 
 
 @query(
