@@ -57,8 +57,8 @@ def _in_ranges(keyed: DataFrame, bounds: DataFrame | None, count: int) -> DataFr
     return placed.drop("_bounds")
 
 
-def _drawn(rows: DataFrame, full: DataFrame, draws: int, by_rows: bool) -> DataFrame:
-    """New splitters ``key`` inside the ranges ``full`` (``_part, _rows, _bytes, _cuts``), from about ``draws`` keys a cut.
+def _drawn(inside: DataFrame, draws: int, by_rows: bool) -> DataFrame:
+    """New splitters ``key`` inside the ranges ``_part`` with ``_rows, _bytes, _cuts``, from about ``draws`` keys a cut.
 
     A key is hit in proportion to its bytes; with ``by_rows``, half by its bytes and half evenly.
     """
@@ -67,13 +67,13 @@ def _drawn(rows: DataFrame, full: DataFrame, draws: int, by_rows: bool) -> DataF
         share = (share + F.lit(1.0) / F.col("_rows")) / 2
     even = F.pmod(F.xxhash64("_row", "_group", "_part"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     hits = F.floor(share * F.col("_cuts") * draws + even)
-    inside = rows.join(F.broadcast(full), "_part").withColumn("_hits", hits).where("_hits > 0")
+    hit = inside.withColumn("_hits", hits).where("_hits > 0")
     by_key = Window.partitionBy("_part").orderBy(*_KEY)
     before = F.sum("_hits").over(by_key) - F.col("_hits")
     total = F.sum("_hits").over(Window.partitionBy("_part"))
     cut = F.floor(before * F.col("_cuts") / total).alias("_cut")
     return (
-        inside.select("_part", _key().alias("key"), cut)
+        hit.select("_part", _key().alias("key"), cut)
         .groupBy("_part", "_cut")
         .agg(F.min("key").alias("key"))
         .where("_cut > 0")
@@ -81,26 +81,23 @@ def _drawn(rows: DataFrame, full: DataFrame, draws: int, by_rows: bool) -> DataF
     )
 
 
-def _splitters(keyed: DataFrame, rows: int, ranges: int, draws: int, least_rows: int) -> tuple[DataFrame | None, int]:
+def _splitters(keyed: DataFrame, rows: int, total: int, ranges: int, draws: int, least_rows: int) -> tuple[DataFrame | None, int]:
     """Splitters of ranges none of which has more than about twice its share of the rows."""
+    if ranges == 1:
+        return None, 0
     share = max(rows / ranges, least_rows)
-    bounds, count = None, 0
+    whole = {"_part": F.lit(0), "_rows": F.lit(rows), "_bytes": F.lit(total), "_cuts": F.lit(ranges)}
+    bounds = stage(_drawn(keyed.withColumns(whole), draws, False).distinct(), "splitters")
+    count = bounds.count()
     while True:
-        counts = (
-            _in_ranges(keyed, bounds, count)
-            .groupBy("_part")
-            .agg(F.count(F.lit(1)).alias("_rows"), F.sum("size").alias("_bytes"))
-        )
-        cuts = F.lit(ranges) if bounds is None else F.ceil(F.col("_rows") / share)
-        full = counts.withColumn("_cuts", cuts)
-        if bounds is not None:
-            full = full.where(F.col("_rows") > 2 * share)
-        new = _drawn(_in_ranges(keyed, bounds, count), full, draws, bounds is not None)
-        bounds_now = stage((new if bounds is None else bounds.union(new)).distinct(), "splitters")
-        count_now = bounds_now.count()
-        if count_now == count:
+        placed = _in_ranges(keyed, bounds, count)
+        counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), F.sum("size").alias("_bytes"))
+        full = counts.where(F.col("_rows") > 2 * share).withColumn("_cuts", F.ceil(F.col("_rows") / share))
+        more = _drawn(placed.join(F.broadcast(full), "_part"), draws, True)
+        both = stage(bounds.union(more).distinct(), "splitters")
+        before, count, bounds = count, both.count(), both
+        if count == before:
             return bounds, count
-        bounds, count = bounds_now, count_now
 
 
 def _with_offsets(placed: DataFrame) -> DataFrame:
@@ -173,7 +170,7 @@ def assign(
     )
     rows, total = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(1))).first()
     wanted = max(1, min(max(shards * ranges, math.ceil(rows / MOST_ROWS)), rows // least_rows))
-    bounds, count = _splitters(keyed, rows, wanted, draws, least_rows)
+    bounds, count = _splitters(keyed, rows, total, wanted, draws, least_rows)
     dealt = _in_ranges(keyed, bounds, count).repartitionById(count + 1, F.col("_part"))
     by_key = Window.partitionBy("_part").orderBy(*_KEY)
     of_group = Window.partitionBy("_part", "_group")

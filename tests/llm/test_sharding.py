@@ -72,7 +72,7 @@ def test_ranges_are_subdivided(spark, make_documents):
     rows = [(i % 50, "x") for i in range(3_000)]
     check(make_documents(rows), rows, least_rows=10)
     keyed = make_documents(rows).selectExpr("doc_id AS id", "2L AS size", "'g' AS _group", "monotonically_increasing_id() AS _row")
-    bounds, count = sharding._splitters(keyed, 3_000, 100, 16, 10)
+    bounds, count = sharding._splitters(keyed, 3_000, 6_000, 100, 16, 10)
     parts = sharding._in_ranges(keyed, bounds, count).groupBy("_part").count().collect()
     assert count > 50 and max(r["count"] for r in parts) <= 60
 
