@@ -14,7 +14,7 @@ from mirrorset.catalog.roles import (
 )
 from mirrorset.catalog.sampling import SEGMENT_BY_NATION, sample_segment_by_nation
 from mirrorset.functions.draws import TWO60
-from mirrorset.operators import audit, cohort, model, wood
+from mirrorset.operators import audit, cohort, model, nearest, wood
 from mirrorset.operators.keys import permutation
 from mirrorset.plans import synthesis
 from mirrorset.plans.synthesis import Settings, synthesize
@@ -258,6 +258,32 @@ def wood_curve(spark: SparkSession, sf: str) -> DataFrame:
     return curve.select("id", F.round(F.ln("predicted"), 6).alias("ln_milk"))
 
 
+_DAYS = "DATE '1970-01-01'"
+
+
+@query(
+    f"""WITH {generators._ENDED}, real AS (SELECT id, breed, vel - {_DAYS} AS day, tar - vel AS lasted, nolact
+  FROM lact JOIN animals ON lact.noan = animals.noan),
+made AS (SELECT id_laitlact, breed, date_vel - {_DAYS} AS day, date_tar - date_vel AS lasted, nolact FROM ended),
+far AS (SELECT id_laitlact, id, abs(m.day - r.day) + abs(coalesce(m.lasted, 0) - coalesce(r.lasted, 0)) + abs(m.nolact - r.nolact)
+  + CASE WHEN (m.lasted IS NULL) <> (r.lasted IS NULL) THEN 1000 ELSE 0 END + CASE WHEN m.breed <> r.breed THEN 1000 ELSE 0 END AS d
+  FROM made m, real r)
+SELECT id_laitlact, min(d)::BIGINT AS distance, arg_min(id, d * 1000000000 + id) AS nearest FROM far GROUP BY id_laitlact"""
+)
+def nearest_record(spark: SparkSession, sf: str) -> DataFrame:
+    """For each lactation of a run the nearest real one, by dates, number and breed."""
+    breeds = animals(spark, sf).select(F.col("noan").alias("_noan"), "breed")
+    source = stage(lactations(spark, sf), "lactations")
+    real = source.join(breeds, F.col("noan") == F.col("_noan")).select(
+        "id", "breed", F.unix_date("vel").alias("day"), F.datediff("tar", "vel").alias("lasted"), "nolact"
+    )
+    made = generators._ended(spark, sf)[0].select(
+        "id_laitlact", "breed", F.unix_date("date_vel").alias("day"), F.datediff("date_tar", "date_vel").alias("lasted"), "nolact"
+    )
+    found = nearest.nearest_record(real, made, "id", "id_laitlact", ["day", "lasted", "nolact"], ["breed"])
+    return found.select("id_laitlact", "distance", "nearest")
+
+
 # The stated cohort: breed, parity, calving season and class of duration.
 _COHORT = ["breed", "parity", "season", "duration_class"]
 _COHORT_FIT = (
