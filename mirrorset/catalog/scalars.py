@@ -157,3 +157,29 @@ def surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
     rows = keys.dense_index(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
     key = keys.surrogate_key(F.col("idx"), ANIMAL_LOW, ANIMAL_HIGH, SEED)
     return rows.select("o_orderkey", key.alias("surrogate"))
+
+
+_SECRET = "herd book"
+_SIDES = keys.feistel_sides(ANIMAL_HIGH - ANIMAL_LOW)
+
+
+def _mixed_sql(digit: str, sides: int) -> str:
+    text = f"'{len(_SECRET)}:{_SECRET}:' || (step % {keys.FEISTEL_ROUNDS} + 1) || ':' || {digit}"
+    return f"CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT) % {sides}"
+
+
+@query(
+    f"""WITH RECURSIVE walk(o_orderkey, step, l, r) AS (
+  SELECT o_orderkey, 0, n // {_SIDES[1]}, n % {_SIDES[1]} FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders)
+  UNION ALL
+  SELECT o_orderkey, step + 1, CASE WHEN step % 2 = 0 THEN (l + {_mixed_sql("r", _SIDES[0])}) % {_SIDES[0]} ELSE l END,
+    CASE WHEN step % 2 = 0 THEN r ELSE (r + {_mixed_sql("l", _SIDES[1])}) % {_SIDES[1]} END
+  FROM walk WHERE step % {keys.FEISTEL_ROUNDS} > 0 OR step = 0 OR l * {_SIDES[1]} + r >= {ANIMAL_HIGH - ANIMAL_LOW})
+SELECT o_orderkey, {ANIMAL_LOW} + l * {_SIDES[1]} + r AS surrogate FROM walk
+WHERE step > 0 AND step % {keys.FEISTEL_ROUNDS} = 0 AND l * {_SIDES[1]} + r < {ANIMAL_HIGH - ANIMAL_LOW}"""
+)
+def surrogate_key_feistel(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys by a permutation that known pairs do not give away."""
+    rows = keys.dense_index(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
+    key = keys.feistel_key(F.col("idx"), ANIMAL_LOW, ANIMAL_HIGH, _SECRET)
+    return rows.select("o_orderkey", key.alias("surrogate"))

@@ -187,3 +187,13 @@ def censor_as_of(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders")
 def normalise_dates(spark: SparkSession, sf: str) -> DataFrame:
     return sequence.normalise_dates(table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_nationkey > 10 AND c_mktsegment >= 'F'")
+def sqlite_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The table as SQLite files, one a partition, read back by ranges of rowids with the comparisons pushed down."""
+    path = sources.staged_path(spark, "customer")
+    sources.write_sqlite(table(spark, sf, "customer").repartition(4, "c_custkey"), path, "customer")
+    rows = sources.read_sqlite(spark, path, "customer", rows=2_000)
+    kept = rows.where("c_nationkey > 10 AND c_mktsegment >= 'F'")
+    return kept.select("c_custkey", "c_name", "c_acctbal")

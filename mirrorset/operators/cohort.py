@@ -11,7 +11,7 @@ from mirrorset.config import DEFAULT_LIMITS, Limits
 from mirrorset.functions.codes import area_of
 from mirrorset.functions.draws import bernoulli, hash_u60, scale_u60, uniform_int
 from mirrorset.operators.joins import lookup_join
-from mirrorset.operators.keys import dense_index, group_rank, running_total, surrogate_key
+from mirrorset.operators.keys import dense_index, feistel_key, group_rank, running_total, surrogate_key
 from mirrorset.operators.profile import Profile
 from mirrorset.operators.sample import sample_from
 from mirrorset.sources.staging import stage
@@ -162,13 +162,19 @@ def pedigree(
     high: int = ANIMAL_HIGH,
     dam_known: float = DAM_KNOWN,
     no_self: bool = False,
+    secret: str | None = None,
 ) -> DataFrame:
     """Add a new unique id, a sire code and a dam to rows with a dense index ``idx``.
 
     The dam is another row of the table: its index is drawn and turned into its id
     by the same permutation that made the ids, so no join is needed. ``no_self``
-    keeps an animal from being its own dam.
+    keeps an animal from being its own dam. With a ``secret``, ids cannot be traced back to
+    the order of the rows from a few known pairs.
     """
+
+    def new_id(at: Column) -> Column:
+        return surrogate_key(at, low, high, seed) if secret is None else feistel_key(at, low, high, secret)
+
     names = {"id": "noan", "sire": "noanpere", "dam": "noanmere", **(names or {})}
     idx = F.col("idx")
     u = hash_u60(seed, "dam", idx)
@@ -179,9 +185,9 @@ def pedigree(
         dam_idx = scale_u60(u, total)
     known = bernoulli(hash_u60(seed, "dam known", idx), dam_known)
     return (
-        clones.withColumn(names["id"], surrogate_key(idx, low, high, seed))
+        clones.withColumn(names["id"], new_id(idx))
         .withColumn(names["sire"], uniform_int(hash_u60(seed, "sire", idx), SIRE_LOW, SIRE_HIGH))
-        .withColumn(names["dam"], F.when(known, surrogate_key(dam_idx, low, high, seed)))
+        .withColumn(names["dam"], F.when(known, new_id(dam_idx)))
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import gcd
+from math import gcd, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -154,6 +154,54 @@ def surrogate_key(idx: Column, low: int, high: int, seed: int) -> Column:
     return F.when(idx >= span, refused).otherwise(key)
 
 
+FEISTEL_ROUNDS = 8
+_WALKS = 8
+
+
+def feistel_sides(span: int) -> tuple[int, int]:
+    """Numbers ``a`` and ``b`` of about equal size whose product just holds ``span``."""
+    a = max(1, isqrt(max(span, 1) - 1) + 1)
+    return a, -(-span // a)
+
+
+def feistel_key(idx: Column, low: int, high: int, secret: str) -> Column:
+    """Distinct key in ``[low, high)`` for each index from 0, by a keyed permutation that known pairs do not give away.
+
+    An index is split into two digits, of ``a`` and ``b`` values. Each round adds a hash of one digit, the round and
+    ``secret`` to the other, which can be undone, so the whole is a permutation of ``a * b`` values. That is at most
+    ``a`` more than the range: results behind its end are permuted again (cycle walking) until they lie in it.
+
+    Fails on an index that the range cannot hold, and, rather than return a key twice, on one that is still outside
+    after nine turns; of a range of n values, a share of about n^-4.5 would be.
+    """
+    span = high - low
+    a, b = feistel_sides(span)
+
+    def mixed(number: Column, digit: Column, sides: int) -> Column:
+        text = F.concat(F.lit(f"{len(secret)}:{secret}:"), number.cast("string"), F.lit(":"), digit.cast("string"))
+        return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint") % sides
+
+    def one_round(digits: Column, number: Column) -> Column:
+        left, right, odd = digits["l"], digits["r"], number % 2 == 1
+        return F.struct(
+            F.when(odd, (left + mixed(number, right, a)) % a).otherwise(left).alias("l"),
+            F.when(odd, right).otherwise((right + mixed(number, left, b)) % b).alias("r"),
+        )
+
+    def permuted(value: Column) -> Column:
+        start = F.struct(F.call_function("div", value, F.lit(b)).alias("l"), (value % b).alias("r"))
+        rounds = F.array(*[F.lit(i) for i in range(1, FEISTEL_ROUNDS + 1)])
+        return F.aggregate(rounds, start, one_round, lambda digits: digits["l"] * b + digits["r"])
+
+    walks = F.array(*[F.lit(i) for i in range(min(a * b - span, _WALKS) + 1)])
+    walked = F.aggregate(
+        walks, idx.cast("bigint"), lambda v, i: F.when((i == 0) | (v >= span), permuted(v)).otherwise(v)
+    )
+    many = F.raise_error(F.lit(f"more than {span} keys are needed")).cast("bigint")
+    lost = F.raise_error(F.lit("no key found; choose another secret")).cast("bigint")
+    return F.when(idx >= span, many).otherwise(F.lit(low) + F.when(walked < span, walked).otherwise(lost))
+
+
 def pick_existing(
     rows: DataFrame,
     row_keys: Sequence[str],

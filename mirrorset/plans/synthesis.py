@@ -44,6 +44,7 @@ class Settings:
     jitter_days: int = 0
     boosting: model.Boosting = field(default_factory=model.Boosting)
     limits: Limits = DEFAULT_LIMITS
+    secret: str | None = None
     animal_ids: tuple[int, int] = (cohort.ANIMAL_LOW, cohort.ANIMAL_HIGH)
 
 
@@ -83,6 +84,7 @@ def make_animals(src: Mapping[str, DataFrame], farms: DataFrame, s: Settings) ->
         {"id": "NOAN", "sire": "NOANPERE", "dam": "NOANMERE"},
         *s.animal_ids,
         no_self=s.no_self_dam,
+        secret=s.secret,
     )
     if s.jitter_days:
         moved = cohort.jittered(parse_yyyymmdd(F.col("DTNAISANINV")), s.jitter_days, s.seed, F.col("idx"))

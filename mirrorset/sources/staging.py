@@ -17,6 +17,13 @@ def staging_root(spark: SparkSession) -> str:
     return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/_staged").rstrip("/")
 
 
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new path below the staging folder, deleted with the staged tables."""
+    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str = "staged") -> DataFrame:
     """Write ``df`` to a new folder and read it back.
 
@@ -24,8 +31,7 @@ def stage(df: DataFrame, name: str = "staged") -> DataFrame:
     branch sees the same rows, and Spark knows its size from the files.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
-    _written.append(path)
+    path = staged_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from mirrorset.schema import enforce_schema
+from mirrorset.sources.sqlite import register_sqlite
 
 
 def load_tables(
@@ -16,18 +17,30 @@ def load_tables(
     location: str,
     names: Iterable[str],
     fmt: str = "parquet",
+    per_table: Mapping[str, Mapping[str, str]] | None = None,
     **options: str,
 ) -> dict[str, DataFrame]:
     """One lazy frame per table name.
 
     For file formats ``location`` is the folder that holds ``<name>.<fmt>``; for
     ``fmt="jdbc"`` it is the database URL and each name becomes ``dbtable``
-    (the driver jar must be on the class path).
+    (the driver jar must be on the class path). For ``fmt="sqlite"`` it is a SQLite file, or a
+    folder of such files. ``per_table`` holds further options of single tables, such as
+    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` of a large table read by JDBC.
     """
-    reader = spark.read.format(fmt).options(**options)
-    if fmt == "jdbc":
-        return {n: reader.option("url", location).option("dbtable", n).load() for n in names}
-    return {n: reader.load(f"{location.rstrip('/')}/{n}.{fmt}") for n in names}
+    per_table = per_table or {}
+    if fmt == "sqlite":
+        register_sqlite(spark)
+
+    def load(name: str) -> DataFrame:
+        reader = spark.read.format(fmt).options(**{**options, **per_table.get(name, {})})
+        if fmt == "jdbc":
+            return reader.option("url", location).option("dbtable", name).load()
+        if fmt == "sqlite":
+            return reader.option("dbtable", name).load(location)
+        return reader.load(f"{location.rstrip('/')}/{name}.{fmt}")
+
+    return {name: load(name) for name in names}
 
 
 def register_tables(tables: Mapping[str, DataFrame]) -> None:

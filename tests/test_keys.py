@@ -157,3 +157,26 @@ def test_hot_keys_that_the_lookup_lacks_are_spread(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert sum(sizes) == 20_000 and max(sizes) < 2 * 20_000 / 8
+
+
+@pytest.mark.parametrize("span", [1, 2, 3, 7, 10, 101, 1000, 1023, 2500])
+def test_feistel_keys_fill_their_range(spark, span):
+    got = [r[0] for r in spark.range(span).select(keys.feistel_key(F.col("id"), 50, 50 + span, "s")).collect()]
+    assert sorted(got) == list(range(50, 50 + span))
+
+
+def test_feistel_keys_follow_no_stride(spark):
+    """Neighbouring indexes lie at no fixed distance, and another secret gives other keys."""
+    span = 10_000_019
+    two = spark.range(2000).select(
+        keys.feistel_key(F.col("id"), 0, span, "s").alias("a"), keys.feistel_key(F.col("id"), 0, span, "t").alias("b")
+    )
+    rows = [tuple(r) for r in two.collect()]
+    strides = {(y[0] - x[0]) % span for x, y in zip(rows, rows[1:])}
+    assert len(strides) > 1990 and sum(a == b for a, b in rows) < 5
+    assert len({a for a, _ in rows}) == 2000 and 0.45 < sum(a < span / 2 for a, _ in rows) / 2000 < 0.55
+
+
+def test_feistel_key_fails_when_the_range_is_too_small(spark):
+    with pytest.raises(Exception, match="more than 10 keys"):
+        spark.range(11).select(keys.feistel_key(F.col("id"), 0, 10, "s")).collect()
