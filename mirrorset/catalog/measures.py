@@ -14,7 +14,7 @@ from mirrorset.catalog.roles import (
 )
 from mirrorset.catalog.sampling import SEGMENT_BY_NATION, sample_segment_by_nation
 from mirrorset.functions.draws import TWO60
-from mirrorset.operators import audit, cohort, model, nearest, wood
+from mirrorset.operators import audit, boost, cohort, model, nearest, wood
 from mirrorset.operators.keys import permutation
 from mirrorset.plans import synthesis
 from mirrorset.plans.synthesis import Settings, synthesize
@@ -98,6 +98,62 @@ def _chain(spark: SparkSession, sf: str) -> model.Chain:
     return model.fit_chain(stage(_train(spark, sf), "training"), codes, _BOOSTING)
 
 
+_SHALLOW = boost.Histograms(trees=3, depth=3, ranges=16, rate=(1, 2), least=5, keep=2)
+_SHALLOW_FEATURES = ["nolact", "month", "duration", "code_number"]
+
+
+def _trees_sql(settings: boost.Histograms, features: list[str]) -> str:
+    """The same trees, level by level, from the table ``measured`` (``id, y`` and the features)."""
+    count = len(features)
+    ranges = ", ".join(
+        f"CASE WHEN {f} IS NULL THEN -1 ELSE ({f} - min({f}) OVER ()) * {settings.ranges} "
+        f"// (max({f}) OVER () - min({f}) OVER () + 1) END AS b{i}"
+        for i, f in enumerate(features)
+    )
+    bs = ", ".join(f"b{i}" for i in range(count))
+    steps = [f"t0 AS (SELECT id, y, floor(avg(y) OVER ())::BIGINT AS pred, {ranges} FROM measured)"]
+    for t in range(settings.trees):
+        last = f"t{t}"
+        steps.append(f"n{t}_0 AS (SELECT *, y - pred AS r, 1 AS node FROM {last})")
+        for d in range(settings.depth):
+            rows, cells = f"n{t}_{d}", f"{t}_{d}"
+            steps += [
+                f"c{cells} AS (SELECT node, f, b, count(*) AS n, sum(r) AS s FROM (SELECT node, r, "
+                f"unnest(range({count})) AS f, unnest([{bs}]) AS b FROM {rows}) GROUP BY ALL)",
+                f"s{cells} AS (SELECT node, f, b, sum(n) OVER upto AS ln, (sum(s) OVER upto)::DOUBLE AS ls, "
+                f"sum(n) OVER (PARTITION BY node, f) AS n, (sum(s) OVER (PARTITION BY node, f))::DOUBLE AS s FROM c{cells} "
+                "WINDOW upto AS (PARTITION BY node, f ORDER BY b ROWS UNBOUNDED PRECEDING))",
+                f"g{cells} AS (SELECT *, ls * ls / ln::DOUBLE + (s - ls) * (s - ls) / (n - ln)::DOUBLE AS gain FROM s{cells} "
+                f"WHERE ln >= {settings.least} AND n - ln >= {settings.least})",
+                f"x{cells} AS (SELECT node, f, b FROM g{cells} WHERE gain > s * s / n::DOUBLE "
+                "QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, b) = 1)",
+                f"n{t}_{d + 1} AS (SELECT {rows}.* EXCLUDE (node), CASE WHEN x{cells}.f IS NULL THEN {rows}.node "
+                f"ELSE 2 * {rows}.node + CASE WHEN [{bs}][x{cells}.f + 1] <= x{cells}.b THEN 0 ELSE 1 END END AS node "
+                f"FROM {rows} LEFT JOIN x{cells} ON {rows}.node = x{cells}.node)",
+            ]
+        leaves = f"n{t}_{settings.depth}"
+        value = f"floor(floor(sum(r) OVER (PARTITION BY node)::DOUBLE / (count(*) OVER (PARTITION BY node))::DOUBLE) * {settings.rate[0]} / {settings.rate[1]})"
+        steps.append(f"t{t + 1} AS (SELECT id, y, pred + {value}::BIGINT AS pred, {bs} FROM {leaves})")
+    return ", ".join(steps)
+
+
+@query(
+    f"{_TRAIN}, measured AS (SELECT id, CAST(round(lait * 100) AS BIGINT) AS y, nolact, month, duration, "
+    f"dense_rank() OVER (ORDER BY code) AS code_number FROM train), {_trees_sql(_SHALLOW, _SHALLOW_FEATURES)} "
+    f"SELECT id, pred AS predicted FROM t{_SHALLOW.trees}"
+)
+def tree_by_histograms(spark: SparkSession, sf: str) -> DataFrame:
+    """A shallow boosted model of the milk yield in hundredths, from exact histograms of the residuals."""
+    train = stage(_train(spark, sf), "training")
+    codes = model.code_index(train.select("code"), "code")
+    rows = model.with_codes(train, codes).select(
+        "id", "nolact", "month", "duration", F.col("_code").cast("int").alias("code_number"),
+        F.round(F.col("lait") * 100).cast("bigint").alias("y"),
+    )
+    rows = stage(rows, "measured")
+    return boost.fit_trees(rows, "y", _SHALLOW_FEATURES, _SHALLOW).predict(rows, "predicted").select("id", "predicted")
+
+
 @query()
 def gbt_chain(spark: SparkSession, sf: str) -> DataFrame:
     """Measures of every lactation, predicted in order by five models."""
