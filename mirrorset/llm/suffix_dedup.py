@@ -9,20 +9,23 @@ brought together by their anchor's hash:
 * where different segments share an anchor, their texts are gathered by it and a suffix array is
   built by two-stage sorting, whose adjacent common prefixes tell which strings are repeated;
 * an anchor with more different segments than one task should sort is taken apart into its single
-  strings, which are compared by 128-bit digests.
+  strings, which are compared by digests.
+
+Segments and strings are equal if their anchors' hashes and 64 bits of a cryptographic digest are. Texts are known by a
+128-bit digest: rows of equal text are one text that repeats as a whole, and each gets the marks
+of that text. So marks grow with the rows, however often one row is repeated.
 
 Each task first combines its own equal segments, so that an anchor sends a bounded number of rows per
-task; everything else is spread. Only segments whose anchor occurs elsewhere move as text.
+task; everything else is spread. Only segments whose anchor occurs elsewhere move as text, once a text.
 
 Defined cases: a null text counts as empty; texts shorter than ``width`` stay as they are; the
-strings of repeated rows are repeated; rows are told apart by id and text. Nothing is capped:
-the limits below choose the way, not the result.
+strings of repeated rows are repeated, whatever their ids. Nothing is capped: the limits below choose the
+way, not the result.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -42,7 +45,7 @@ class Options:
     """Width of the strings and of the hashes, and how the work is cut up.
 
     A task combines the segments of ``flush`` bytes of text, sorts about ``sort`` bytes in one suffix
-    array and looks at ``piece`` bytes of a long text at a time. Of one anchor, one task sends up to
+    array and looks at ``piece`` bytes of a long text at a time; about ``met`` segments meet at once. Of one anchor, one task sends up to
     ``sent`` different segments under the anchor's hash, and one task sorts up to ``sorted_``.
     """
 
@@ -53,12 +56,12 @@ class Options:
     piece: int = 2 << 20
     sent: int = 256
     sorted_: int = 2000
+    met: int = 500_000
 
 
 DEFAULT = Options()
 _PLACE_BITS = 24
 _DONE, _TEXT, _STRINGS = range(3)
-_NO_ID = np.iinfo(np.int64).min
 _ROW = ["route", "kind", "key", "seg", "id", "tag", "start", "n", "many", "crowded"]
 _ROW_SCHEMA = "route long, kind int, key long, seg long, id long, tag long, start int, n int, many boolean, crowded boolean"
 _MARK_SCHEMA = "id long, tag long, start int, n int, kind int, key long"
@@ -107,6 +110,13 @@ def _heads(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def _digests(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits of a cryptographic digest of each span."""
+    raw = memoryview(np.ascontiguousarray(flat))
+    parts = [hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(starts.tolist(), ends.tolist())]
+    return np.frombuffer(b"".join(parts), np.uint64)
+
+
 def _batch(names: list[str], **columns) -> pa.RecordBatch:
     n = len(columns["id"])
     kinds = {"kind": pa.int32(), "start": pa.int32(), "n": pa.int32(), "many": pa.bool_(), "crowded": pa.bool_(), "text": pa.binary()}
@@ -182,7 +192,7 @@ def _anchored(documents: DataFrame, options: Options) -> DataFrame:
             for flat, starts, lengths, number, skipped in _pieces(block, options):
                 doc, first, n, key = segments(flat, starts, lengths, width, options.gram)
                 if len(doc):
-                    seg = SpanHash(flat)(first, first + n + width - 1)
+                    seg = _digests(flat, first, first + n + width - 1)
                     held.append((base + number[doc], first - starts[doc] + skipped[doc], n, key, seg))
                 size += len(flat)
             if size >= options.flush:
@@ -196,28 +206,53 @@ def _anchored(documents: DataFrame, options: Options) -> DataFrame:
 
 
 def _keyed(documents: DataFrame, *more: Column) -> DataFrame:
-    """``id, tag, text``: a row's id and a checksum of its text tell rows apart."""
+    """``id, tag, text``: the two halves of a digest of the text, by which texts are known."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    identity = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("id")
-    return documents.select(identity, F.crc32(text.cast("binary")).alias("tag"), text.alias("text"), *more)
+    digest = F.md5(text.cast("binary"))
+    halves = [F.conv(F.substring(digest, at, 16), 16, -10).cast("bigint").alias(name) for at, name in ((1, "id"), (17, "tag"))]
+    return documents.select(*halves, text.alias("text"), *more)
 
 
-def _whole_partition(batches: Iterable[pa.RecordBatch], names: list[str]) -> list[np.ndarray]:
-    held = [b for b in batches if b.num_rows]
-    if not held:
-        return []
+def _table(held: list[pa.RecordBatch], names: list[str]) -> list[np.ndarray]:
     whole = pa.Table.from_batches(held)
     return [whole.column(n).to_numpy() for n in names]
 
 
-def _meet(most: int):
-    """Compare the segments that share an anchor: which are repeated as a whole, which need their text."""
+def _meet(most: int, rows: int):
+    """Compare the segments that share an anchor: which are repeated as a whole, which need their text.
+
+    Rows come sorted by route, kind, key and digest. About ``rows`` are looked at together, whole routes if they fit. An anchor
+    with more rows is looked at in parts and taken apart into strings, like one with many different segments.
+    """
+    names = ["id", "tag", "start", "n", "kind", "key"]
+
+    def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], bool]]:
+        held: list[pa.RecordBatch] = []
+        size, cut = 0, False  # does the first route in hand belong to a part given before?
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.num_rows
+            if size < rows:
+                continue
+            route = batch.column("route").to_numpy()
+            inner = np.flatnonzero(route[1:] != route[:-1]) + 1
+            if len(inner):
+                last = int(inner[-1])
+                yield [*held[:-1], batch.slice(0, last)], cut
+                held, size, cut = [batch.slice(last)], batch.num_rows - last, False
+            elif size >= 2 * rows:  # the last row is looked at again, so that no two equal segments miss each other
+                yield held, True
+                held, size, cut = [batch.slice(batch.num_rows - 1)], 1, True
+        if held:
+            yield held, cut
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = _whole_partition(batches, _ROW)
-        if not columns:
-            return
-        names = ["id", "tag", "start", "n", "kind", "key"]
+        for held, forced in parts(batches):
+            yield from compare(_table(held, _ROW), forced)
+
+    def compare(columns: list[np.ndarray], forced: bool) -> Iterator[pa.RecordBatch]:
         _, kind, key, seg, id_, tag, start, n, many, crowded = columns
         apart = kind != _TEXT
         yield _batch(names, id=id_[apart], tag=tag[apart], start=start[apart], n=n[apart], kind=kind[apart], key=key[apart])
@@ -231,7 +266,7 @@ def _meet(most: int):
         repeated = (np.bincount(group) > 1) | (np.bincount(group, many) > 0)
         done = repeated[group] & ~many
         different = np.bincount(of_key, head)
-        hot = (np.bincount(of_key, crowded) > 0) | (different > most)
+        hot = (np.bincount(of_key, crowded) > 0) | (different > most) | forced
         yield _batch(names, id=id_[done], tag=tag[done], start=start[done], n=n[done], kind=_DONE, key=0)
         ask = head & ((different > 1) | hot)[of_key]
         how = np.where(hot[of_key[ask]], _STRINGS, _TEXT)
@@ -241,8 +276,9 @@ def _meet(most: int):
 
 
 def _grouped(marks: DataFrame) -> DataFrame:
+    """The different marks of each text; copies of a text have the same ones."""
     fields = [c for c in marks.columns if c not in ("id", "tag")]
-    return marks.groupBy("id", "tag").agg(F.collect_list(F.struct(*fields)).alias("marks"))
+    return marks.groupBy("id", "tag").agg(F.collect_set(F.struct(*fields)).alias("marks"))
 
 
 def _marks_of(block: pa.RecordBatch) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -282,7 +318,7 @@ def _send(width: int):
             place = ragged(at[hot].astype(np.int64), counts)
             owner = np.repeat(row[hot], counts)
             one = SpanHash(flat)(place, place + width)
-            two = SpanHash(flat ^ np.uint8(0x5A))(place, place + width)
+            two = _digests(flat, place, place + width)
             order = np.lexsort((two, one))
             place, owner, one, two = place[order], owner[order], one[order], two[order]
             head = _heads(one, two)
@@ -324,7 +360,7 @@ def _resolve(width: int, most: int):
         yield _batch(_RUN, id=id_[of], tag=tag[of], start=base[of] + start, n=runs)
 
     def count(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two, id_, tag, start, many = _whole_partition(held, ["route", "second", "id", "tag", "start", "many"])
+        one, two, id_, tag, start, many = _table(held, ["route", "second", "id", "tag", "start", "many"])
         order = np.lexsort((two, one))
         one, two, id_, tag, start, many = (c[order] for c in (one, two, id_, tag, start, many))
         group = np.cumsum(_heads(one, two)) - 1
@@ -361,13 +397,19 @@ def _resolve(width: int, most: int):
 
 def repeated_runs(documents: DataFrame, options: Options = DEFAULT) -> DataFrame:
     """``id, tag, start, n``: strings ``start .. start + n - 1`` of a text occur elsewhere too. Runs may overlap."""
-    rows = _anchored(documents, options).repartition("route")
-    marks = stage(rows.mapInArrow(_meet(options.sorted_), _MARK_SCHEMA), "anchors")
+    rows = _anchored(documents, options).repartition("route").sortWithinPartitions("route", "kind", "key", "seg")
+    marks = stage(rows.mapInArrow(_meet(options.sorted_, options.met), _MARK_SCHEMA), "anchors")
     asked = _grouped(marks.where(F.col("kind") != _DONE))
-    sent = _keyed(documents).join(asked, ["id", "tag"]).mapInArrow(_send(options.width), _SEND_SCHEMA)
+    once = _keyed(documents).groupBy("id", "tag").agg(F.first("text").alias("text"))  # copies meet in the tasks that read them
+    sent = once.join(asked, ["id", "tag"]).mapInArrow(_send(options.width), _SEND_SCHEMA)
     together = sent.repartition("route").sortWithinPartitions("kind", "route")
     found = together.mapInArrow(_resolve(options.width, options.sort), "id long, tag long, start int, n int")
-    return marks.where(F.col("kind") == _DONE).select(*_RUN).union(found)
+    size = F.octet_length("text")
+    copied = _keyed(documents).groupBy("id", "tag").agg(F.count(F.lit(1)).alias("rows"), F.max(size).alias("size"))
+    whole = copied.where((F.col("rows") > 1) & (F.col("size") >= options.width)).select(
+        "id", "tag", F.lit(0).alias("start"), (F.col("size") - options.width + 1).cast("int").alias("n")
+    )
+    return marks.where(F.col("kind") == _DONE).select(*_RUN).union(found).union(whole)
 
 
 def _with_runs(documents: DataFrame, options: Options, more: list) -> DataFrame:

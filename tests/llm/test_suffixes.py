@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -77,6 +78,7 @@ def corpus(seed):
         Options(width=24, gram=24, flush=2000, sort=500, piece=1000),
         Options(width=24, gram=9, flush=2000, sort=500, piece=1000, sent=2, sorted_=3),
         Options(width=24, gram=12, sent=1, sorted_=0),
+        Options(width=24, gram=9, flush=2000, met=10),
     ],
 )
 def test_report_as_brute_force(spark, make_documents, options):
@@ -101,3 +103,68 @@ def test_texts_without_repeats(spark, make_documents):
         (1, "abé", 3), (2, "xy", 2), (3, None, None), (3, None, None), (4, "clean text", 10)]
     assert suffix_dedup.remove_repeats(given.limit(0), options).count() == 0
     assert suffix_dedup.removal_report(given.limit(0), options).count() == 0
+
+
+def same_checksum(text, seed):
+    """A text of 64 letters that, behind ``seed``, has the CRC-32 of ``text``: the checksum is linear in the bits."""
+    base, size = seed + "a" * 64, 64
+    start = zlib.crc32(base.encode())
+    wanted, rows = start ^ zlib.crc32(text.encode()), []
+    for i in range(size):
+        toggled = seed + "a" * i + "c" + "a" * (size - i - 1)
+        rows.append((zlib.crc32(toggled.encode()) ^ start, 1 << i))
+    basis = {}
+    for effect, chosen in rows:
+        while effect and effect.bit_length() in basis:
+            other, more = basis[effect.bit_length()]
+            effect, chosen = effect ^ other, chosen ^ more
+        if effect:
+            basis[effect.bit_length()] = (effect, chosen)
+    picked = 0
+    while wanted:
+        effect, chosen = basis[wanted.bit_length()]
+        wanted, picked = wanted ^ effect, picked ^ chosen
+    return seed + "".join("c" if picked >> i & 1 else "a" for i in range(size))
+
+
+@pytest.mark.parametrize("number", [7, None])
+def test_equal_checksums_under_one_id(make_documents, number):
+    rng = random.Random(3)
+    line = lambda: "".join(rng.choices("klmnopqr ", k=300))
+    first, other = line(), line()
+    twin = same_checksum(first, other)
+    assert zlib.crc32(first.encode()) == zlib.crc32(twin.encode())
+    rows = [(number, first), (number, twin), (8, "x" + first[:260])]
+    got = suffix_dedup.removal_report(make_documents(rows)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows, 200)
+    assert [r.n_removed for r in got if r.n_bytes == len(twin)] == [0]
+
+
+def thue_morse(n, letters):
+    word = letters[0]
+    while len(word) < n:
+        word += "".join(letters[1 - letters.index(c)] for c in word)
+    return word
+
+
+def test_strings_with_equal_polynomial_hashes(make_documents):
+    rows = [(i, side + thue_morse(4096, letters) + side) for i, (letters, side) in enumerate([("ab", "x"), ("ba", "y"), ("xy", "z")])]
+    for options in (Options(width=1024, gram=600), Options(width=2048, gram=1100, sent=1, sorted_=0)):
+        got = suffix_dedup.removal_report(make_documents(rows), options).collect()
+        assert sorted((tuple(r) for r in got), key=repr) == brute(rows, options.width)
+
+
+def test_marks_of_a_repeated_row_are_linear(spark, make_documents):
+    """A row repeated 5,000 times has as many marks as one repeated twice, and each copy is cut."""
+    rng = random.Random(6)
+    text = " ".join(str(rng.randrange(10**6)) for _ in range(300))
+    near = text[:700] + " changed " + text[700:]
+    counts = []
+    for copies in (2, 5_000):
+        rows = [(1, text)] * copies + [(2, near), (3, "short")]
+        df = make_documents(rows).repartition(11)
+        marks = suffix_dedup._grouped(suffix_dedup.repeated_runs(df)).selectExpr("sum(size(marks)) AS n").first().n
+        got = suffix_dedup.removal_report(df).collect()
+        assert Counter(tuple(r) for r in got) == Counter(brute([(1, text)] * 2 + rows[copies:], 200)[:1] * (copies - 2) + brute([(1, text)] * 2 + rows[copies:], 200))
+        counts.append(marks)
+    assert counts[1] <= counts[0] + 50
