@@ -170,7 +170,7 @@ class SqliteReader(DataSourceReader):
             if low is None:
                 continue
             out += [_Range(file, at, min(high + 1, at + self.rows)) for at in range(low, high + 1, self.rows)]
-        return out
+        return out or [_Range(_files(self.path)[0], 0, 0)]
 
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         names = self.schema.names
@@ -264,7 +264,10 @@ class SqliteDataSource(DataSource):
         return self.options["dbtable"]
 
     def schema(self) -> StructType:
-        connection = _open(_files(self.options["path"])[0])
+        files = _files(self.options["path"])
+        if not files:
+            raise ValueError(f"no files are listed in {self.options['path']}")
+        connection = _open(files[0])
         try:
             columns = connection.execute(f"PRAGMA table_info({_quoted(self._table)})").fetchall()
         finally:
