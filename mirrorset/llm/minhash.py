@@ -1,12 +1,14 @@
 """Near-duplicate classes by ProbMinHash, banding and exact verification.
 
-A text is the set of its distinct five-word shingles, each of weight 1 however often it occurs. Each
-shingle is a Poisson process whose rate is its weight: its arrivals hit random registers, a register
-keeps the earliest, and a shingle is left as soon as its next arrival is later than all registers
-hold. Two texts agree in a register with their probability Jaccard similarity, which for weights of 1
-is the Jaccard similarity of the sets. Registers are banded; texts that share a band are compared by
-that same similarity, computed exactly, and the classes are the connected components of the pairs
-at or above the threshold.
+A text is its five-word shingles, each weighted by how often it occurs. Each shingle is a Poisson process
+whose rate is its weight: its arrivals hit random registers, a register keeps the earliest, and a
+shingle is left as soon as its next arrival is later than all registers hold. Two texts agree in a
+register with their probability Jaccard similarity. Registers are banded; texts that share a band are compared by
+that similarity, computed exactly, and the classes are the connected components of the pairs at or above the threshold.
+
+Two texts that differ in how often a line repeats may have the same shingles and yet a low probability Jaccard
+similarity. They are near duplicates too: a text with a repeated shingle is also sketched with weight 1 for each,
+which makes the probability Jaccard similarity that of the sets, and the greater of the two counts.
 
 Equal texts are grouped first and go on as one. In each bucket all texts are compared with its least
 text; where the rest of a bucket then still lies in several classes, its texts are compared with
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 
 from mirrorset.llm.common import blocks, mix64, signed
 from mirrorset.llm.components import components
-from mirrorset.llm.shingles import jaccard, shingles
+from mirrorset.llm.shingles import shingles, similarity
+from mirrorset.operators.joins import lookup_join
 from mirrorset.sources.staging import stage
 
 SIZE = 5
@@ -70,7 +73,7 @@ def signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, texts
 
 def band_keys(kept: np.ndarray, bands: int) -> np.ndarray:
     """One hash per text and band, different for different bands."""
-    parts = kept.reshape(len(kept), bands, -1)
+    parts = kept.reshape(len(kept), bands, kept.shape[1] // bands)
     keys = np.arange(1, bands + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
     for i in range(parts.shape[2]):
         keys = mix64(keys * np.uint64(0x100000001B3) + parts[:, :, i])
@@ -82,13 +85,18 @@ def _signed(documents: DataFrame, size: int, bands: int, rows: int) -> DataFrame
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
-            owner, element, _ = shingles(block.column("text"), size)
-            # Weight 1 each: pairs are accepted by the similarity of the sets, so they are searched by it.
-            kept = signatures(owner, element, np.ones(len(element)), block.num_rows, bands * rows)
+            owner, element, often = shingles(block.column("text"), size)
+            kept = signatures(owner, element, often.astype(float), block.num_rows, bands * rows)
             keys = signed(band_keys(kept, bands))
             filled = np.bincount(owner, minlength=block.num_rows) > 0
+            uneven = np.bincount(owner, often > 1, block.num_rows) > 0
+            some = uneven[owner]
+            sets = signatures((np.cumsum(uneven) - 1)[owner[some]], element[some], np.ones(int(some.sum())), int(uneven.sum()), bands * rows)
+            set_keys = iter(signed(band_keys(sets, bands)).tolist())
             digests = [hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest() for t in block.column("text").to_pylist()]
-            lists = [x.tolist() if f else [] for x, f in zip(keys, filled)]
+            lists = [
+                ([*dict.fromkeys(x + next(set_keys))] if u else x) if f else [] for x, f, u in zip(keys.tolist(), filled, uneven)
+            ]
             columns = [block.column("doc_id"), pa.array(digests), pa.array(lists, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "k", "bands"])
 
@@ -106,15 +114,18 @@ def _digest():
 
 def _similar(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
     """The pairs ``u, v`` whose texts are similar enough."""
-    left = texts.select(F.col("node").alias("u"), F.col("text").alias("left_text"))
-    right = texts.select(F.col("node").alias("v"), F.col("text").alias("right_text"))
+    left = texts.select(F.col("node").alias("_left"), F.col("text").alias("left_text"))
+    right = texts.select(F.col("node").alias("_right"), F.col("text").alias("right_text"))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(blocks(batches, "left_text"), "right_text"):
-            both, union = jaccard(block.column("left_text"), block.column("right_text"), size)
-            yield block.select(["u", "v"]).filter(pa.array((union > 0) & (both >= threshold * union - 1e-9)))
+            alike = similarity(block.column("left_text"), block.column("right_text"), size)
+            yield block.select(["u", "v"]).filter(pa.array(alike >= threshold - 1e-9))
 
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "left_text", "right_text").mapInArrow(work, "u long, v long")
+    # A bucket's least text meets all others of it: such texts are given out by salts.
+    found = pairs.join(left, F.col("u") == F.col("_left"))
+    found = lookup_join(found, right, {"v": "_right"}, "inner", False, counted=pairs)
+    return found.select("u", "v", "left_text", "right_text").mapInArrow(work, "u long, v long")
 
 
 def _block_links(rest: DataFrame, size: int, threshold: float) -> DataFrame:
@@ -124,24 +135,37 @@ def _block_links(rest: DataFrame, size: int, threshold: float) -> DataFrame:
         nodes, first = np.unique(block.column("node").to_numpy(), return_index=True)
         text = block.column("text").combine_chunks().take(pa.array(first))
         of = block.column("class").to_numpy()[first]
-        owner, value, _ = shingles(text, size)
+        owner, value, weight = shingles(text, size)
         n = len(nodes)
         sizes = np.bincount(owner, minlength=n)
         _, code, often = np.unique(value, return_inverse=True, return_counts=True)
         shared = often[code] > 1
         rank = np.cumsum(often > 1) - 1
         column, line = rank[code[shared]], owner[shared]
-        both = np.zeros((n, n), np.float32)
+        part = (weight / np.maximum(np.bincount(owner, weight, n), 1)[owner])[shared].astype(np.float32)
+        both, overlap = np.zeros((n, n), np.float32), np.zeros((n, n), np.float32)
         order = np.argsort(column, kind="stable")
-        column, line = column[order], line[order]
+        column, line, part = column[order], line[order], part[order]
+        uneven = bool((weight > 1).any())
         for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
             a, b = np.searchsorted(column, (start, start + 4096))
             held = np.zeros((n, 4096), np.float32)
             held[line[a:b], column[a:b] - start] = 1
             both += held @ held.T
+            if uneven:
+                held[line[a:b], column[a:b] - start] = part[a:b]
+                for i in range(n):
+                    overlap[i] += np.minimum(held[i], held).sum(axis=1)
         union = sizes[:, None] + sizes[None, :] - both
-        near = (both >= threshold * union - 1e-6) & (union > 0) & (of[:, None] != of[None, :])
-        u, v = np.nonzero(np.triu(near, 1))
+        apart = np.triu(of[:, None] != of[None, :], 1)
+        near = (both >= threshold * union - 1e-6) & (union > 0) & apart
+        # The shares that two texts have in common bound their probability Jaccard similarity from above.
+        open_ = np.argwhere((overlap >= threshold - 1e-4) & apart & ~near)
+        for at in range(0, len(open_), 256):
+            i, j = open_[at : at + 256].T
+            alike = similarity(text.take(pa.array(i)), text.take(pa.array(j)), size)
+            near[i, j] = alike >= threshold - 1e-9
+        u, v = np.nonzero(near)
         up = {c: c for c in of.tolist()}  # only links that join classes of this block for the first time go out
 
         def top(x: int) -> int:
@@ -179,7 +203,8 @@ def classes(
     chosen = nodes.join(wanted, "node").select("node", "k", _id("first").alias("id"))
     # Joined by digest and id, so the copies of one text spread over the partitions.
     given = documents.select(_digest().alias("k"), _id().alias("id"), "text")
-    texts = stage(given.join(chosen, ["k", "id"]).select("node", "text"), "candidates")
+    once = given.groupBy("k", "id").agg(F.first("text").alias("text"))  # a repeated row is one text
+    texts = stage(once.join(chosen, ["k", "id"]).select("node", "text"), "candidates")
     linked = stage(_similar(pairs, texts, size, threshold), "links")
     first_roots = components(linked)
 

@@ -60,13 +60,36 @@ def shingles(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return owner[heads], value[heads], np.diff(np.append(heads, len(value)))
 
 
-def jaccard(left: pa.Array, right: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sizes of the intersection and of the union of the shingle sets of each pair of texts."""
-    a, x, _ = shingles(left, size)
-    b, y, _ = shingles(right, size)
+def similarity(left: pa.Array, right: pa.Array, size: int) -> np.ndarray:
+    """The greater of set and probability Jaccard similarity of the shingles of each pair of texts; 0 for texts without any.
+
+    Probability Jaccard: sum over the common shingles i of 1 / sum over all j of max(x_j / x_i, y_j / y_i). With
+    the shingles of a pair sorted by x_j / y_j, falling, the inner sum is one of x up to i and one of y behind.
+    """
+    a, x, often = shingles(left, size)
+    b, y, also = shingles(right, size)
     row, value = np.concatenate((a, b)), np.concatenate((x, y))
+    given = np.concatenate((often, np.zeros(len(also), often.dtype))), np.concatenate((np.zeros(len(often), also.dtype), also))
     order = np.lexsort((value, row))
     row, value = row[order], value[order]
-    twice = (row[1:] == row[:-1]) & (value[1:] == value[:-1])
-    both = np.bincount(row[1:][twice], minlength=len(left))
-    return both, np.bincount(row, minlength=len(left)) - both
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
+    heads = np.flatnonzero(new)
+    pairs = len(left)
+    if not len(heads):
+        return np.zeros(pairs)
+    x, y = (np.add.reduceat(w[order], heads).astype(float) for w in given)
+    row = row[heads]
+    common = (x > 0) & (y > 0)
+    sets = np.bincount(row, common, pairs) / np.maximum(np.bincount(row, minlength=pairs), 1)
+    ratio = np.divide(x, y, out=np.full(len(x), np.inf), where=y > 0)
+    order = np.lexsort((-ratio, row))
+    row, x, y, common = row[order], x[order], y[order], common[order]
+    begin = np.searchsorted(row, row)
+    upto = np.cumsum(x)
+    upto -= (upto - x)[begin]
+    behind = np.cumsum(y)
+    behind = np.bincount(row, y, pairs)[row] - (behind - (behind - y)[begin])
+    term = np.zeros(len(x))
+    term[common] = 1 / (upto[common] / x[common] + behind[common] / y[common])
+    return np.maximum(sets, np.bincount(row, term, pairs))

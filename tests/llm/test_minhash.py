@@ -7,12 +7,23 @@ import pytest
 
 from mirrorset.llm import minhash
 from mirrorset.llm.components import components
-from mirrorset.llm.shingles import jaccard, shingles
+from mirrorset.llm.shingles import shingles, similarity
 
 
 def grams(text, size=5):
     words = (text or "").encode().split()
-    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+    return Counter(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))) if words else Counter()
+
+
+def alike(x, y):
+    """The greater of set and probability Jaccard similarity of two counters."""
+    common, every = x.keys() & y.keys(), x.keys() | y.keys()
+    if not common:
+        return 0.0
+    sets = len(common) / len(every)
+    if max(x.values()) == max(y.values()) == 1 or sets >= 0.8:
+        return sets
+    return max(sets, sum(1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in every) for i in common))
 
 
 def brute(rows, threshold=0.8):
@@ -28,8 +39,7 @@ def brute(rows, threshold=0.8):
 
     for i in range(len(texts)):
         for j in range(i):
-            both = len(sets[i] & sets[j])
-            if sets[i] | sets[j] and both >= threshold * (len(sets[i]) + len(sets[j]) - both):
+            if alike(sets[i], sets[j]) >= threshold - 1e-9:
                 up[top(i)] = top(j)
     place = {t: top(i) for i, t in enumerate(texts)}
     least = defaultdict(list)
@@ -119,14 +129,49 @@ def test_registers_estimate_probability_jaccard():
     assert abs((kept[0] == kept[1]).mean() - exact) < 0.03
 
 
-def test_shingles_and_jaccard():
-    texts = ["a b c d e f", "a b c d e", "a b", "", None, "  ", "é\tü  x y z z z z z z"]
+def test_shingles_and_similarity():
+    texts = ["a b c d e f", "a b c d e", "a b", "", None, "  ", "é\tü  x y z z z z z z", "z z z z z z z z a", "z z z z z z q z z z z z"]
     owner, _, count = shingles(pa.array(texts), 5)
-    assert np.bincount(owner, minlength=7).tolist() == [len(grams(t)) for t in texts]
-    assert count.sum() == 2 + 1 + 1 + 6
-    both, union = jaccard(pa.array(texts), pa.array(texts[::-1]), 5)
-    for i, (a, b) in enumerate(zip(texts, texts[::-1])):
-        assert (both[i], union[i]) == (len(grams(a) & grams(b)), len(grams(a) | grams(b)))
+    assert np.bincount(owner, minlength=len(texts)).tolist() == [len(grams(t)) for t in texts]
+    assert count.sum() == sum(sum(grams(t).values()) for t in texts)
+    pairs = [(a, b) for a in texts for b in texts]
+    got = similarity(pa.array([a for a, _ in pairs]), pa.array([b for _, b in pairs]), 5)
+    assert np.allclose(got, [alike(grams(a), grams(b)) for a, b in pairs])
+
+
+@pytest.mark.parametrize("block", [128, 5])
+def test_weights_link_what_sets_do_not(spark, make_documents, monkeypatch, block):
+    """Texts of one much repeated line and a few other words, which differ: their sets are not alike, their weights are."""
+    monkeypatch.setattr(minhash, "BLOCK_TEXTS", block)
+    rng = random.Random(11)
+    rows = []
+    for n in range(6):
+        line = [f"l{n}.{i}" for i in range(9)]
+        for i in range(5):
+            rest = [f"r{n}.{i}.{j}" for j in range(rng.randint(4, 8))]
+            rows.append((10 * n + i, " ".join(line * rng.randint(30, 33) + rest)))
+    want = brute(rows)
+    assert len({c for _, c in want}) == 6 and alike(grams(rows[0][1]), grams(rows[1][1])) > 0.8
+    assert len(grams(rows[0][1]).keys() & grams(rows[1][1]).keys()) / len(grams(rows[0][1]).keys() | grams(rows[1][1]).keys()) < 0.8
+    got = minhash.near_duplicates(make_documents(rows)).collect()
+    assert sorted(((r.doc_id, r.class_id) for r in got), key=repr) == want
+
+
+def test_a_row_repeated_often_is_compared_once(spark, make_documents, monkeypatch):
+    """Two near texts, one row each, repeated 400 times: one pair of texts is looked at."""
+    seen = []
+    plain = minhash._similar
+
+    def watched(pairs, texts, *rest):
+        seen.append((pairs.count(), texts.count()))
+        return plain(pairs, texts, *rest)
+
+    monkeypatch.setattr(minhash, "_similar", watched)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[:-1]))] * 400
+    got = minhash.near_duplicates(make_documents(rows).repartition(6)).collect()
+    assert {(r.doc_id, r.class_id) for r in got} == {(1, 1), (2, 1)} and len(got) == 800
+    assert seen == [(1, 2)]
 
 
 def test_components(spark):
