@@ -66,6 +66,7 @@ class Page:
         self.parent, self.depth, self.tag, self.words, self.text = [-1], [0], ["#root"], [()], [None]
         self.marks: dict[int, int] = {}
         self.stack = [0]
+        self.open: dict[str, list[int]] = {}  # places of the open elements in the stack, by tag
 
     def add(self, tag: str, words: tuple[str, ...] = (), text: str | None = None) -> int:
         up = self.stack[-1]
@@ -78,13 +79,17 @@ class Page:
 
     def close(self, names: set[str], until: set[str]) -> None:
         """End the nearest open element of the names, unless one of ``until`` is nearer."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            tag = self.tag[self.stack[i]]
-            if tag in names:
-                del self.stack[i:]
-                return
-            if tag in until:
-                return
+        nearest = max((self.open[n][-1] for n in names if self.open.get(n)), default=0)
+        if not nearest or any(self.open[u][-1] > nearest for u in until if self.open.get(u)):
+            return
+        for node in self.stack[nearest:]:
+            self.open[self.tag[node]].pop()
+        del self.stack[nearest:]
+
+    def enter(self, node: int) -> None:
+        """The nodes that follow lie inside of ``node``."""
+        self.open.setdefault(self.tag[node], []).append(len(self.stack))
+        self.stack.append(node)
 
 
 def _words(attributes: str) -> tuple[str, ...]:
@@ -129,7 +134,7 @@ def parse(source: str, marked: bool = False) -> Page:
             page.marks[node] = KEEP if mark[1] == "keep" else DROP
         if name in VOID:
             continue
-        page.stack.append(node)
+        page.enter(node)
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}", re.I).search(source, at)
             stop = end.start() if end else n

@@ -15,6 +15,8 @@ by a hash of their text; rows with a null id come last; a single row is followed
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,25 +98,40 @@ def differing(left: Column, right: Column) -> Column:
     return F.flatten(F.transform(left, inside))
 
 
-def _range_of(value: Column, bounds: list[int]) -> Column:
-    """How many bounds lie below the value, by binary search."""
+_LONG = (1 << 63) - 1
+
+
+def _range_of(key: Column, bounds: list[tuple[int, int]]) -> Column:
+    """How many bounds lie below the key ``(i, t)``, by binary search."""
     if not bounds:
         return F.lit(0)
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
-    given = F.array(*[F.lit(b).cast("bigint") for b in bounds])
+    given = F.array(*[F.struct(F.lit(i).cast("bigint").alias("i"), F.lit(t).cast("bigint").alias("t")) for i, t in bounds])
 
     def step(low: Column, size: Column) -> Column:
-        fits = (low + size <= len(bounds)) & (F.get(given, low + size - 1) < value)
+        fits = (low + size <= len(bounds)) & (F.get(given, low + size - 1) < key)
         return F.when(fits, low + size).otherwise(low)
 
-    return F.when(value.isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), step))
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def _bounds(found: list[int]) -> list[tuple[int, int]]:
+    """Upper ends ``(id, hash)`` of the ranges from quantiles of the ids. An id that is several quantiles is cut by hash."""
+    out: set[tuple[int, int]] = set()
+    for number, times in Counter(found).items():
+        if times > 1:
+            out.add((number - 1, _LONG))
+            out.update((number, (j << 64) // times - _LONG - 1) for j in range(1, times))
+        out.add((number, _LONG))
+    return sorted(b for b in out if b[0] >= -_LONG - 1)
 
 
 def with_next(documents: DataFrame, ranges: int | None = None) -> DataFrame:
     """``doc_id, text, next_text``: the text of the next row in descending order of ids; the first follows the last.
 
-    Ids are cut into many ranges by their approximate quantiles, each range is ordered by itself,
-    and the head of the range below is added to its end. Only the bounds and one id per range come
+    Rows are cut into many ranges by approximate quantiles of their ids, and an id that many rows share by
+    the hash of the text too, by which such rows are ordered. Each range is ordered by itself,
+    and the head of the range below is added to its end. Only the bounds and one key per range come
     to the driver.
     """
     spark = documents.sparkSession
@@ -122,21 +139,25 @@ def with_next(documents: DataFrame, ranges: int | None = None) -> DataFrame:
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     shares = [i / ranges for i in range(1, ranges)]
     found = rows.agg(F.percentile_approx("doc_id", shares).alias("q")).first()["q"] if shares else None
-    bounds = sorted(set(found or []))
-    placed = rows.withColumn("part", _range_of(F.col("doc_id"), bounds))
-    heads = sorted((r["part"], r["top"]) for r in placed.groupBy("part").agg(F.max("doc_id").alias("top")).collect())
-    followed = [(heads[i][0], heads[i - 1][1]) for i in range(len(heads))]
-    targets = spark.createDataFrame(followed, "target int, top bigint")
-    tie = F.xxhash64("text")
-    tops = F.broadcast(targets)  # one row per range
+    key = F.struct(F.col("doc_id").alias("i"), F.col("tie").alias("t"))
+    placed = rows.withColumn("tie", F.xxhash64("text")).withColumn("part", _range_of(key, _bounds(found or [])))
+    heads = sorted(((r["part"], r["top"]) for r in placed.groupBy("part").agg(F.max(key).alias("top")).collect()), key=lambda r: r[0])
+    followed = [(heads[i][0], heads[i - 1][1].i, heads[i - 1][1].t) for i in range(len(heads))]
+    targets = F.broadcast(spark.createDataFrame(followed, "target int, top bigint, top_tie bigint"))  # one row per range
     copies = (
-        rows.join(tops, F.col("doc_id").eqNullSafe(F.col("top")))
+        placed.join(targets, F.col("doc_id").eqNullSafe(F.col("top")) & (F.col("tie") == F.col("top_tie")))
         .groupBy("target")
-        .agg(F.max_by("text", F.struct(tie, F.col("text"))).alias("text"))
-        .select(F.lit(None).cast("bigint").alias("doc_id"), "text", F.col("target").alias("part"), F.lit(1).alias("copy"))
+        .agg(F.max("text").alias("text"))
+        .select(
+            F.lit(None).cast("bigint").alias("doc_id"),
+            "text",
+            F.lit(None).cast("bigint").alias("tie"),
+            F.col("target").alias("part"),
+            F.lit(1).alias("copy"),
+        )
     )
     order = Window.partitionBy("part").orderBy("copy", F.desc_nulls_last("doc_id"), F.desc("tie"), F.desc("text"))
-    both = placed.withColumn("copy", F.lit(0)).unionByName(copies).withColumn("tie", tie)
+    both = placed.withColumn("copy", F.lit(0)).unionByName(copies)
     return both.withColumn("next_text", F.lead("text").over(order)).where("copy = 0").select("doc_id", "text", "next_text")
 
 

@@ -200,6 +200,8 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     rank = F.xxhash64("doc_id")
     sample = known.withColumn("r", rank).orderBy("r", "doc_id").limit(sample_rows).select("doc_id", "y")
     chosen = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # bounded by sample_rows
+    # One row of each id: a sampled id may be repeated in any number of rows.
+    chosen = chosen.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "y")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", BLOCK_BYTES):

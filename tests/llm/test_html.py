@@ -57,3 +57,13 @@ def test_deep_nesting_and_query_columns(spark):
     got = html.extract(pages).collect()
     assert sorted((r.text, r.n_chars) for r in got) == [("", 0), ("deep", 4), ("deep", 4)]
     assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_parsing_is_linear():
+    """A megabyte of open elements and of end tags that end nothing."""
+    import time
+
+    begun = time.time()
+    for source in ("<div>" * 100_000 + "</b>" * 130_000, "<p><table>" + "<div>" * 200_000, "<b>" * 150_000 + "</i></p>" * 50_000):
+        assert len(html.parse(source).tag) > 100_000
+    assert time.time() - begun < 15

@@ -66,3 +66,28 @@ def test_differing_branches_locate_an_edit(spark):
     frame = spark.createDataFrame([("a.\nb.\n\nc.\nd.", "a.\nb.\n\nc.\nX.")], "l string, r string")
     places = frame.select(merkle.differing(merkle.tree(F.col("l")), merkle.tree(F.col("r"))).alias("d")).first().d
     assert [tuple(p) for p in places] == [(1, 1)]
+
+
+@pytest.mark.parametrize("ranges", [1, 6])
+def test_an_id_of_a_third_of_all_rows(spark, make_documents, monkeypatch, ranges):
+    """Rows of one id are ordered by hash and text, and lie in many ranges."""
+    monkeypatch.setattr(merkle, "_RANGES", ranges)
+    rows = [(500, f"text number {i}. And more") for i in range(100)] + [(i * 5, f"other {i}") for i in range(200) if i != 100]
+    df = make_documents(rows + [(None, "no id"), (None, "none either")]).repartition(5)
+    ties = {r.text: r.t for r in df.select("text", F.xxhash64("text").alias("t")).collect()}
+    ordered = sorted(rows, key=lambda r: (r[0], ties[r[1]], r[1]), reverse=True)
+    ordered += sorted([(None, "no id"), (None, "none either")], key=lambda r: (ties[r[1]], r[1]), reverse=True)
+    want = [(i, t, ordered[(n + 1) % len(ordered)][1]) for n, (i, t) in enumerate(ordered)]
+    got = [tuple(r) for r in merkle.with_next(df).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    found = df.agg(F.percentile_approx("doc_id", [i / 40 for i in range(1, 40)])).first()[0]
+    bounds = merkle._bounds(found)
+    key = F.struct(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t"))
+    parts = df.where("doc_id = 500").groupBy(merkle._range_of(key, bounds)).count().collect()
+    assert len(parts) > 8 and max(r["count"] for r in parts) < 30
+
+
+def test_a_very_long_text(make_documents):
+    long = "One sentence. Another one!\nA line\n\n" * 8_000
+    rows = {r.doc_id: r for r in merkle.compare_with_edit(make_documents([(1, long), (2, long + "x"), (3, "short")])).collect()}
+    assert rows[1].n_chars == len(long) and rows[1].fingerprint == fingerprint(long)[0] and rows[2].near_next > 0.5

@@ -40,3 +40,30 @@ def test_empty_null_and_unlabelled(spark, make_documents):
     assert len(rows) == 5 and all(r.score == 0.5 for r in rows)
     assert quality.classify(odd.limit(0), forest).count() == 0
     assert quality.classify(odd, forest, keep=True).columns == odd.columns
+
+
+def test_a_sampled_id_counts_once(spark, make_documents):
+    """An id repeated in most rows gives one row to learn from, and the same trees."""
+    rows = [(i, f"good words and more {i}. " * 5 if i % 2 else "junk !!! $$$ " * (i % 7 + 1)) for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    once = quality.train(make_documents(rows), labels)
+    often = quality.train(make_documents(rows + [rows[1]] * 2_000).repartition(7), labels)
+    texts = pa.array([t for _, t in rows])
+    np.testing.assert_array_equal(once.score(quality.statistics(texts)), often.score(quality.statistics(texts)))
+
+
+def test_flat_trees_as_a_plain_walk(documents):
+    """Scores of the array traversal against a walk of one row at a time."""
+    statistics = quality.statistics(pa.array([r.text for r in documents.collect()]))
+    rng = np.random.default_rng(5)
+    forest = quality.fit(statistics, (rng.random(len(statistics)) < 0.3 + 0.4 * (statistics[:, 0] > np.median(statistics[:, 0]))).astype(float))
+
+    def plain(row):
+        total = forest.base
+        for node in forest.roots.tolist():
+            while forest.left[node] != node:  # a leaf points at itself
+                node = int(forest.left[node]) + int(row[forest.feature[node]] > forest.cut[node])
+            total += forest.value[node]
+        return 1 / (1 + np.exp(-total))
+
+    np.testing.assert_allclose(forest.score(statistics), [plain(r) for r in statistics], rtol=1e-9)
