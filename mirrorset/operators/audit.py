@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mirrorset.operators.joins import all_of
+from mirrorset.sources.staging import stage
 
 
 def _moments(df: DataFrame, columns: Sequence[str], side: str) -> DataFrame:
@@ -55,7 +56,11 @@ def shared_rows(source: DataFrame, synthetic: DataFrame, columns: Sequence[str])
 def anonymity(
     source: DataFrame, synthetic: DataFrame, keys: Sequence[str], quasi_identifiers: Sequence[str]
 ) -> DataFrame:
-    """One row: shared keys, rows with a shared quasi-identifier, number and smallest size of its groups."""
+    """One row: shared keys, rows with a shared quasi-identifier, number and smallest size of its groups.
+
+    The synthetic side is read once: what is asked of it are its columns, staged.
+    """
+    synthetic = stage(synthetic.select(*dict.fromkeys([*keys, *quasi_identifiers])), "synthetic")
     groups = synthetic.groupBy(*quasi_identifiers).agg(F.count(F.lit(1)).alias("n"))
     sizes = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"),
