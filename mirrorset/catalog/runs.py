@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from mirrorset.catalog import generators, measures
 from mirrorset.catalog.registry import query
-from mirrorset.catalog.roles import AS_OF, LACTATIONS, VISITS, hash_sql
-from mirrorset.catalog.sampling import sample_sql
+from mirrorset.catalog.roles import AS_OF, LACTATIONS, SEED, hash_sql, table
+from mirrorset.catalog.sampling import SEGMENT_BY_NATION, sample_sql
+from mirrorset.functions.draws import hash_u60
 from mirrorset.operators import audit, cohort
+from mirrorset.operators.profile import profile
+from mirrorset.operators.sample import tiered_distribution
 from mirrorset.plans import synthesis
-from mirrorset.sources.staging import stage
+from mirrorset.sources.staging import stage, staged_path
+from mirrorset.streaming import sample_stream
 
 
 def _run(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], synthesis.Settings, DataFrame]:
@@ -178,3 +182,80 @@ def synthetic_anonymity(spark: SparkSession, sf: str) -> DataFrame:
     source, settings, farms = _run(spark, sf)
     made = _animals(source, farms, settings)
     return audit.anonymity(source["IDENTANV"], made, ["NOAN"], ["ACTIEL", "DTNAISANINV"])
+
+
+_KS_PRICE = """v AS (SELECT o_totalprice AS value, count(*) FILTER (WHERE o_orderstatus <> 'O') AS a,
+  count(*) FILTER (WHERE o_orderstatus = 'O') AS b FROM orders WHERE o_totalprice IS NOT NULL GROUP BY ALL)"""
+
+
+def _ks_sql(column: str) -> str:
+    return f"""g AS (SELECT value, a, b, abs((sum(a) OVER upto)::DOUBLE / sum(a) OVER () - (sum(b) OVER upto)::DOUBLE / sum(b) OVER ()) AS gap
+  FROM v WINDOW upto AS (ORDER BY value ROWS UNBOUNDED PRECEDING))
+SELECT '{column}' AS measure, sum(a)::BIGINT AS n_source, sum(b)::BIGINT AS n_synthetic, round(max(gap), 9) AS distance,
+  (SELECT value FROM g ORDER BY gap DESC, value LIMIT 1) AS at_value FROM g"""
+
+
+def _ks(real: DataFrame, made: DataFrame, column: str) -> DataFrame:
+    return audit.ks_distance(real, made, column).withColumn("distance", F.round("distance", 9))
+
+
+@query(f"WITH {_KS_PRICE}, {_ks_sql('o_totalprice')}")
+def ks_distance(spark: SparkSession, sf: str) -> DataFrame:
+    """Largest gap between the distributions of the prices of finished and running orders."""
+    orders = table(spark, sf, "orders")
+    return _ks(orders.where("o_orderstatus <> 'O'"), orders.where("o_orderstatus = 'O'"), "o_totalprice")
+
+
+_KS_DURATION = """v AS (SELECT value, count(*) FILTER (WHERE real) AS a, count(*) FILTER (WHERE NOT real) AS b FROM (
+  SELECT tar - vel AS value, true AS real FROM lact UNION ALL SELECT date_tar - date_vel, false FROM made)
+  WHERE value IS NOT NULL GROUP BY ALL)"""
+
+
+@query(f"WITH {_RUN_ENDED}, {_KS_DURATION}, {_ks_sql('duration')}")
+def synthetic_ks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for the durations of the run's lactations beside the source's."""
+    source, made = _lactations(spark, sf)
+    return _ks(_measured(source["CL_LAITLACT"].withColumnRenamed("NOLACT", "nolact"), "DATE_VEL", "DATE_TAR"),
+               _measured(made, "date_vel", "date_tar"), "duration")
+
+
+def _pair_sql(real: str, made: str, first: str, second: str) -> str:
+    told = "(SELECT round(sum(n / t * ln(n * t / (n1 * n2))), 6) FROM {0}_i)"
+    sides = ", ".join(
+        f"{s}_c AS (SELECT {first} AS v1, {second} AS v2, count(*)::DOUBLE AS n FROM {rows} GROUP BY ALL), "
+        f"{s}_i AS (SELECT *, sum(n) OVER () AS t, sum(n) OVER (PARTITION BY v1) AS n1, sum(n) OVER (PARTITION BY v2) AS n2 FROM {s}_c)"
+        for s, rows in (("real", real), ("made", made))
+    )
+    return f"""{sides} SELECT '{first}, {second}' AS pair, {told.format("real")} AS source_information,
+  {told.format("made")} AS synthetic_information, (SELECT round(sum(abs(coalesce(r.n / r.t, 0) - coalesce(m.n / m.t, 0))) / 2, 6)
+  FROM real_i r FULL JOIN made_i m ON r.v1 IS NOT DISTINCT FROM m.v1 AND r.v2 IS NOT DISTINCT FROM m.v2) AS distance"""
+
+
+@query(
+    f"WITH {_RUN_ENDED}, real_p AS (SELECT breed, nolact FROM lact l JOIN known a ON l.noan = a.noan), "
+    + _pair_sql("real_p", "made", "breed", "nolact")
+)
+def synthetic_pair_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """What breed and lactation number tell about each other in the source and in the run's lactations."""
+    source, made = _lactations(spark, sf)
+    known = synthesis.source_animals(source).select(F.col("NOAN").alias("noan"), F.col("ACTIEL").alias("breed"))
+    real = source["CL_LAITLACT"].select(F.col("NOAN").alias("noan"), F.col("NOLACT").alias("nolact")).join(known, "noan")
+    out = audit.pair_drift(real, made, "breed", "nolact")
+    return out.select("pair", *[F.round(c, 6).alias(c) for c in out.columns if c != "pair"])
+
+
+@query(f"WITH {SEGMENT_BY_NATION} SELECT o_orderkey, c_nationkey, segment FROM sampled")
+def sample_stream_segment(spark: SparkSession, sf: str) -> DataFrame:
+    """The draw of segments by nation for orders that arrive in several files, read as a stream."""
+    customers = table(spark, sf, "customer")
+    buyers = table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    arriving = staged_path(spark, "arriving")
+    buyers.repartition(4, "o_orderkey").write.parquet(arriving)
+    stream = spark.readStream.schema(buyers.schema).option("maxFilesPerTrigger", 2).parquet(arriving)
+    prof = profile(customers, "c_mktsegment", ["c_nationkey"])
+    dist = tiered_distribution(prof, [prof.keys], "rows")
+    out = staged_path(spark, "sampled")
+    draw = hash_u60(SEED, "segment", F.col("o_orderkey"))
+    running = sample_stream(stream, dist, {"c_nationkey": "c_nationkey"}, draw, "segment", out, staged_path(spark, "stream-state"))
+    running.awaitTermination()
+    return spark.read.parquet(out).select("o_orderkey", "c_nationkey", "segment")

@@ -32,7 +32,8 @@ def lookup_join(
     not, and NULL like any other key. Fewer than ``limits.salts`` keys are hot; they
     are broadcast to give their rows a salt, and their lookup rows are repeated per
     salt. All other keys are joined as they are. ``counted`` may name an earlier form
-    of ``rows`` with the same keys, which is cheaper to count.
+    of ``rows`` with the same keys, which is cheaper to count. The rows of a stream cannot be
+    counted before; its batches are joined as they are.
     """
 
     def matching(columns: Mapping[str, str], safe: bool) -> list[Column]:
@@ -41,6 +42,8 @@ def lookup_join(
 
     if small:
         return rows.join(F.broadcast(lookup), all_of(matching(on, null_safe)), how)
+    if rows.isStreaming:
+        return rows.join(lookup, all_of(matching(on, null_safe)), how)
     source = rows if counted is None else counted
     names = {mine: f"_hot{i}" for i, mine in enumerate(on)}
     per_key = source.groupBy(*[F.col(mine).alias(hot) for mine, hot in names.items()]).agg(F.count(F.lit(1)).alias("_c"))
