@@ -314,6 +314,63 @@ def wood_curve(spark: SparkSession, sf: str) -> DataFrame:
     return curve.select("id", F.round(F.ln("predicted"), 6).alias("ln_milk"))
 
 
+class _Text(str):
+    """SQL that is put together by the operators of columns."""
+
+    def __add__(self, other):
+        return _Text(f"({self} + {other})")
+
+    def __radd__(self, other):
+        return _Text(f"({other} + {self})")
+
+    def __sub__(self, other):
+        return _Text(f"({self} - {other})")
+
+    def __mul__(self, other):
+        return _Text(f"({self} * {other})")
+
+
+_ROUNDS = 12
+
+
+def _nls_sql(rounds: int) -> str:
+    sums = wood._SUMS
+    terms = ["f * f", "f * f * x1", "f * f * x2", "f * f * x1 * x1", "f * f * x1 * x2", "f * f * x2 * x2", "f * r", "f * r * x1", "f * r * x2", "r * r"]
+    step = wood.step_of({h: _Text(h) for h in wood._PAIRS}, [_Text(g) for g in ("g1", "g2", "g3")], _Text("damping"),
+                        lambda a, b: f"{a} / nullif({b}, 0)")
+    empty = ", ".join(f"NULL::DOUBLE AS {c}" for c in ("t1", "t2", "t3", *sums))
+    out = [
+        "points AS (SELECT breed, ln(day) AS x1, -day::DOUBLE AS x2, milk::DOUBLE AS y FROM controls WHERE day > 0 AND milk > 0)",
+        f"k0 AS (SELECT breed, n, {empty}, 0.1::DOUBLE AS damping, ln(a) AS u1, b AS u2, c AS u3 FROM fit)",
+    ]
+    for i in range(rounds):
+        columns = ", ".join(f"sum({t}) AS _{name}" for t, name in zip(terms, sums))
+        out.append(
+            f"e{i} AS (SELECT breed, {columns} FROM (SELECT *, y - f AS r FROM (SELECT p.breed, x1, x2, y, exp(u1 + u2 * x1 + u3 * x2) AS f "
+            f"FROM points p JOIN k{i} k ON p.breed = k.breed)) GROUP BY breed)"
+        )
+        better = "CASE WHEN coalesce(sse IS NULL OR _sse <= sse, false) THEN {0} ELSE {1} END AS {2}"
+        kept = ", ".join(
+            [better.format(f"u{j}", f"t{j}", f"t{j}") for j in (1, 2, 3)]
+            + [better.format(f"_{name}", name, name) for name in sums]
+            + [better.format("damping / 10", "damping * 10", "damping")]
+        )
+        out.append(f"b{i} AS (SELECT k.breed, n, {kept} FROM k{i} k LEFT JOIN e{i} e ON k.breed = e.breed)")
+        out.append(f"k{i + 1} AS (SELECT *, " + ", ".join(f"t{j} + {d} AS u{j}" for j, d in zip((1, 2, 3), step)) + f" FROM b{i})")
+    return ", ".join(out)
+
+
+@query(
+    f"WITH {_FIT}, {_nls_sql(_ROUNDS)} SELECT breed, n, round(t1, 4) AS ln_a, {_rounded_sql('t2', 4)} AS b, {_rounded_sql('t3', 5)} AS c, "
+    f"round(sqrt(sse / n), 3) AS left_over FROM k{_ROUNDS}"
+)
+def wood_fit_nls(spark: SparkSession, sf: str) -> DataFrame:
+    """Curves fitted to the yields themselves, by damped steps of Gauss and Newton."""
+    fitted = wood.wood_fit_nls(_controls(spark, sf), "day", "milk", ["breed"], _ROUNDS)
+    left_over = F.round(F.sqrt(F.col("sse") / F.col("n")), 3).alias("left_over")
+    return fitted.select("breed", "n", F.round(F.ln("a"), 4).alias("ln_a"), _rounded(F.col("b"), 4).alias("b"), _rounded(F.col("c"), 5).alias("c"), left_over)
+
+
 _DAYS = "DATE '1970-01-01'"
 
 
