@@ -44,8 +44,11 @@ def dense_index(
     """Contiguous ids from ``start`` in the total order of the columns ``order``.
 
     Only the row counts of the parts, one number each, pass through one task. Where
-    the number of ``rows`` is known to be small, a plain window does it.
+    the number of ``rows`` is small, a plain window does it; if it is not given, they are staged and counted.
     """
+    if rows is None:
+        df = stage(df, "counted")
+        rows = df.count()
     if _fits(rows, limits):
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint") + (start - 1))
     placed = _in_order(df, order)
@@ -95,10 +98,18 @@ def running_total(
     NULL weights add nothing; the sum is NULL until the first weight. NULL keys are one group.
 
     A group of any size is summed part by part, and the sums of earlier parts are
-    added to its later ones. Where the number of ``rows`` is known to be small, a
-    plain window does it.
+    added to its later ones. Where the number of ``rows`` is small, or the longest group is counted to be short,
+    a plain window does it: a shuffle by key instead of a sort and a write. Without keys and ``rows``,
+    the rows are staged and counted.
     """
-    if _fits(rows, limits):
+    short = False
+    if rows is None and keys:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        short = limits.short(sizes.agg(F.max("_n")).first()[0] or 0)
+    elif rows is None:
+        df = stage(df, "counted")
+        rows = df.count()
+    if short or _fits(rows, limits):
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(name, F.sum(weight.cast("bigint")).over(upto))
     placed = _in_order(df.withColumn("_w", weight.cast("bigint")), [*keys, *order])
