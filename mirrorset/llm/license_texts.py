@@ -30,4 +30,45 @@ TEMPLATES = {
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
     "cc-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "gpl-2.0-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public"
+    " License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of"
+    " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "lgpl-2.1-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General"
+    " Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later"
+    " version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied"
+    " warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    "lgpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General"
+    " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later"
+    " version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied"
+    " warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    "agpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General"
+    " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later"
+    " version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied"
+    " warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+    "lgpl-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "mit-warranty": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE"
+    " WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT"
+    " HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,"
+    " OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "bsd-endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+    " products derived from this software without specific prior written permission.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,"
+    " provided that the above copyright notice and this permission notice appear in all copies.",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,"
+    " compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or"
+    " non-commercial, and by any means.",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is"
+    " available at https://www.eclipse.org/legal/epl-2.0/",
+    "artistic-2.0": "Licensed under the Artistic License 2.0.",
+    "cc-by-nd-4.0": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-sa-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "cc-sa-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-nc-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-nd-notice": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc-nc-sa-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "cc-nc-nd-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
 }

@@ -5,7 +5,9 @@ its fingerprints, and an index maps a fingerprint to its templates and places. E
 of every text is looked up. Hits of one template near one diagonal are a candidate, and a local
 alignment inside a band around that diagonal gives the matched words, their share of the template
 and the span in the text; what lies before and behind a match in the band is aligned again, so that
-copies close together are all found. Where matches overlap, the one with more matched words stays.
+copies close together are all found. A match covers its matched words' share of the template or of the words
+it spans, whichever are more, so words put in count like words left out. A wording of fewer than ``WHOLE`` words, which
+a near name would cover as well, must be matched whole. Where matches overlap, the one with more matched words stays.
 
 Words are runs of letters, digits and non-ASCII bytes, in ASCII lower case. Defined cases: a null or
 empty text matches nothing; repeated rows are reported each; a text may hold a template many
@@ -27,6 +29,7 @@ from mirrorset.llm.license_texts import TEMPLATES
 
 GROUP, WINDOW, BAND = 3, 4, 6
 COVERAGE = 0.8
+WHOLE = 20
 SCHEMA = "doc_id long, license string, coverage double, matched_words int, span_start long, span_end long"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -163,35 +166,40 @@ def occurrences(words: np.ndarray, template: list[int], diagonal: int, low: int,
             rest += [(a, a + first), (a + last, b)]
 
 
+def matches_of(texts: pa.Array, index: Index | None = None, coverage: float = COVERAGE) -> list[list[tuple]]:
+    """For each text its matches: number of the text, name, coverage, matched words, first and last byte of the span."""
+    index = index or build_index(TEMPLATES)
+    flat, starts, lengths = text_bytes(texts)
+    if not len(flat) or not len(index.fingerprints):
+        return [[] for _ in texts]
+    first, last, words, owner = word_spans(flat, starts, lengths)
+    begin = np.searchsorted(owner, np.arange(len(lengths) + 1))
+    found: dict[int, list[tuple]] = {}
+    for row, template, diagonal in _candidates(index, owner, words):
+        wanted = index.words[template]
+        low = max(int(begin[row]), diagonal - BAND)
+        high = min(int(begin[row + 1]), diagonal + len(wanted) + BAND)
+        for matched, a, b in occurrences(words, wanted, diagonal, low, high, coverage * len(wanted)):
+            share = matched / max(len(wanted), b - a)
+            if share >= (coverage if len(wanted) >= WHOLE else 1):
+                found.setdefault(row, []).append((-matched, -share, a, b, index.names[template]))
+    out: list[list[tuple]] = [[] for _ in texts]
+    for row, rows in found.items():
+        kept: list[tuple] = []
+        for m in sorted(set(rows)):
+            if all(m[3] <= k[2] or m[2] >= k[3] for k in kept):
+                kept.append(m)
+        out[row] = [(row, m[4], -m[1], -m[0], int(first[m[2]] - starts[row]), int(last[m[3] - 1] - starts[row])) for m in kept]
+    return out
+
+
 def scan(documents: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """One row per match that covers enough of a template. One pass, without a shuffle."""
     index = build_index(templates if templates is not None else TEMPLATES)
 
-    def matches(block: pa.RecordBatch) -> list[tuple]:
-        flat, starts, lengths = text_bytes(block.column("text"))
-        if not len(flat) or not len(index.fingerprints):
-            return []
-        first, last, words, owner = word_spans(flat, starts, lengths)
-        begin = np.searchsorted(owner, np.arange(len(lengths) + 1))
-        found: dict[int, list[tuple]] = {}
-        for row, template, diagonal in _candidates(index, owner, words):
-            wanted = index.words[template]
-            low = max(int(begin[row]), diagonal - BAND)
-            high = min(int(begin[row + 1]), diagonal + len(wanted) + BAND)
-            for matched, a, b in occurrences(words, wanted, diagonal, low, high, coverage * len(wanted)):
-                found.setdefault(row, []).append((-matched, a, b, index.names[template], matched / len(wanted)))
-        out = []
-        for row, rows in found.items():
-            kept: list[tuple] = []
-            for m in sorted(set(rows)):
-                if all(m[2] <= k[1] or m[1] >= k[2] for k in kept):
-                    kept.append(m)
-            out += [(row, m[3], m[4], -m[0], int(first[m[1]] - starts[row]), int(last[m[2] - 1] - starts[row])) for m in kept]
-        return out
-
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
-            rows = matches(block)
+            rows = [m for rows in matches_of(block.column("text"), index, coverage) for m in rows]
             columns = list(zip(*rows)) if rows else [()] * 6
             kinds = [pa.string(), pa.float64(), pa.int32(), pa.int64(), pa.int64()]
             ids = block.column("doc_id").take(pa.array(columns[0], pa.int64()))

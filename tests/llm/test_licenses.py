@@ -88,3 +88,25 @@ def test_adjacent_repeats_are_all_reported(spark, make_documents, name, between)
     assert sorted((r.license, r.coverage, r.span_start, r.span_end) for r in got) == [
         (name, 1.0, 6 + i * step, 6 + i * step + len(wording) - 1) for i in range(5)
     ]
+
+
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_every_wording_is_named_right(name):
+    """Each wording, and a long one with a few words changed, is reported under its own name and no other."""
+    import pyarrow as pa
+
+    wording = TEMPLATES[name]
+    changed = wording.replace(" and/or ", " or ").replace(" any ", " every ", 1) if len(wording.split()) > 30 else wording
+    texts = pa.array([f"Intro words.\n{wording}\nMore words.", f"Some {changed} text"])
+    assert [[r[1] for r in rows] for rows in licenses.matches_of(texts)] == [[name], [name]]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["Licensed under CC BY-XY 4.0.", "Released under the MIT-like License.", "All other rights reserved.",
+     "This work is licensed under the GNU Free Documentation License, version 3.", "Licensed under the Apache License, Version 1.1."],
+)
+def test_near_names_are_not_reported(text):
+    import pyarrow as pa
+
+    assert licenses.matches_of(pa.array([text])) == [[]]
