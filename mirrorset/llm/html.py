@@ -161,8 +161,10 @@ def _link_share(page: Page) -> list[float]:
 def _features(page: Page) -> list[tuple[str, ...]]:
     shares = _link_share(page)
     out = []
-    for tag, words, share, up in zip(page.tag, page.words, shares, page.parent):
-        link = ("links" if share > 0.6 else "few links",) if tag in GROUPS else ()
+    inside = [False] * len(page.tag)  # of an article: what it lists belongs to it, linked or not
+    for i, (tag, words, share, up) in enumerate(zip(page.tag, page.words, shares, page.parent)):
+        inside[i] = tag in ("article", "main") or (up >= 0 and inside[up])
+        link = ("links" if share > 0.6 and not inside[i] else "few links",) if tag in GROUPS else ()
         named = () if tag in PLAIN else (f"<{page.tag[up]}><header>",) if tag == "header" else (f"<{tag}>",)
         out.append((*named, *link, *words))
     return out
@@ -183,7 +185,7 @@ class Model:
                 counts[label[i]].update(features)
                 if i and label[page.parent[i]] is not None:
                     pairs[label[page.parent[i]], label[i]] += 1
-        self.pairs = np.log(pairs / pairs.sum(axis=1, keepdims=True))
+        self.pairs = np.log(pairs / pairs.max(axis=1, keepdims=True))  # a mixed parent costs nothing for each child
         names = set().union(*counts)
         totals = np.array([sum(c.values()) for c in counts]) + _SMOOTH * len(names)
         self.weights = {f: np.log((np.array([c[f] for c in counts]) + _SMOOTH) / totals) for f in names}

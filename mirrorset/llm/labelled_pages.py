@@ -43,6 +43,8 @@ SURROUNDINGS = [
     f"<nav drop>{_MENU}</nav>",
     "<footer drop>&copy; site &middot; words about it</footer>",
     "<div class='ad' drop>Buy this now.</div>",
+    "<div class='ad' drop><p>Buy one today.</p></div>",
+    "<div class='ad ads advert' drop><p>Offers of the week</p><p><a href='/o'>See them</a></p></div>",
     f"<nav class='menu navbar navigation' drop>{_MENU}</nav>",
     f"<header drop><h1>Site</h1><p>Slogan</p>{_MENU}</header>",
     "<header class='site-header masthead' drop><p>Paper of record</p></header>",

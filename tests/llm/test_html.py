@@ -67,3 +67,55 @@ def test_parsing_is_linear():
     for source in ("<div>" * 100_000 + "</b>" * 130_000, "<p><table>" + "<div>" * 200_000, "<b>" * 150_000 + "</i></p>" * 50_000):
         assert len(html.parse(source).tag) > 100_000
     assert time.time() - begun < 15
+
+
+def made_page(seed):
+    """A page put together by chance, and its article's text by plain joining."""
+    import random
+
+    rng = random.Random(seed)
+    word = lambda: rng.choice(["stone", "river", "ünder", "日本", "a &amp; b", "paper", "x&lt;y", "cloud", "12", "it's"])
+    say = lambda n: " ".join(word() for _ in range(rng.randint(1, n)))
+    plain = lambda s: s.replace("&amp;", "&").replace("&lt;", "<")
+    blocks, lines = [], []
+
+    def block(tag, text):
+        blocks.append(f"<{tag}>{text}</{tag}>")
+        lines.append(plain(text))
+
+    block("h1", say(5))
+    for _ in range(rng.randint(2, 7)):
+        kind = rng.randrange(5)
+        if kind == 0:
+            block("h2", say(4))
+        elif kind == 1:
+            items = [say(4) for _ in range(rng.randint(1, 4))]
+            linked = rng.random() < 0.4
+            blocks.append("<ul>\n" + "".join(f"<li>{f'<a href=/{i}>{t}</a>' if linked else t}</li>\n" for i, t in enumerate(items)) + "</ul>")
+            lines.extend(map(plain, items))
+        elif kind == 2:
+            first, link, last = say(6), say(2), say(6)
+            blocks.append(f"<p>{first} <a href='/l'>{link}</a> <em>{last}</em></p>")
+            lines.append(plain(f"{first} {link} {last}"))
+        else:
+            block("p", say(30))
+    between = rng.choice(["", "<div class='ad'><p>Buy now</p></div>", "<aside class='sidebar'><p>Read also</p></aside>", "<script>var a = '<p>no</p>';</script>"])
+    at = rng.randrange(1, len(blocks))
+    article = "\n".join([*blocks[:at], between, *blocks[at:]])
+    head = rng.choice(["", "<head><title>Site</title><style>p{color:red}</style></head>"])
+    menu = rng.choice(["<nav><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></nav>", "<header><a href=/>Logo</a></header>", ""])
+    tail = rng.choice(["<footer><p>© Site</p></footer>", "<section class='comments'><h3>2 comments</h3><p>First!</p></section><footer>Imprint</footer>", ""])
+    wrap = rng.choice(["<article>{}</article>", "<main><article>{}</article></main>", "<main>{}</main>"])
+    return f"<html>{head}<body>{menu}{wrap.format(article)}{tail}</body></html>", "\n".join(lines)
+
+
+def test_pages_with_known_articles():
+    pages = [made_page(seed) for seed in range(300)]
+    got = html.main_texts([source for source, _ in pages], html.trained())
+    assert [i for i, (text, (_, want)) in enumerate(zip(got, pages)) if text != want] == []
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_linked_lists_of_an_article_stay(tag):
+    source = f"<nav><ul><li><a href=/>Home</a></li></ul></nav><{tag}><ul><li><a>one</a></li><li><a>two</a></li></ul></{tag}>"
+    assert html.main_texts([source], html.trained()) == ["one\ntwo"]
