@@ -12,9 +12,17 @@ _written: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder, else one below the warehouse."""
+    """Folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder, else one below the warehouse.
+
+    A warehouse on a machine's own disk serves a local session only: on a cluster, the setting must name a shared folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/_staged").rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local") and warehouse.startswith(("file:", "/")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
+    return warehouse.rstrip("/") + "/_staged"
 
 
 def staged_path(spark: SparkSession, name: str) -> str:
