@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mirrorset.llm.common import blocks, mix64, signed
+from mirrorset.llm.common import blocks, mix64, ragged, signed
 from mirrorset.llm.components import components
-from mirrorset.llm.shingles import shingles, similarity
+from mirrorset.llm.shingles import shingles, similarity, similarity_of
 from mirrorset.operators.joins import lookup_join
 from mirrorset.sources.staging import stage
 
@@ -129,7 +129,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) ->
 
 
 def _block_links(rest: DataFrame, size: int, threshold: float) -> DataFrame:
-    """Links between different classes inside blocks ``bucket, i, j`` of ``node, class, text``."""
+    """Links ``u, v`` between different classes inside blocks ``bucket, i, j`` of ``node, class, text``."""
 
     def links(block: pa.Table) -> pa.Table:
         nodes, first = np.unique(block.column("node").to_numpy(), return_index=True)
@@ -143,29 +143,22 @@ def _block_links(rest: DataFrame, size: int, threshold: float) -> DataFrame:
         rank = np.cumsum(often > 1) - 1
         column, line = rank[code[shared]], owner[shared]
         part = (weight / np.maximum(np.bincount(owner, weight, n), 1)[owner])[shared].astype(np.float32)
-        both, overlap = np.zeros((n, n), np.float32), np.zeros((n, n), np.float32)
+        both, mass = np.zeros((n, n), np.float32), np.zeros((n, n), np.float32)
         order = np.argsort(column, kind="stable")
         column, line, part = column[order], line[order], part[order]
-        uneven = bool((weight > 1).any())
+        uneven = np.bincount(owner, weight > 1, n) > 0
         for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
             a, b = np.searchsorted(column, (start, start + 4096))
             held = np.zeros((n, 4096), np.float32)
             held[line[a:b], column[a:b] - start] = 1
             both += held @ held.T
-            if uneven:
-                held[line[a:b], column[a:b] - start] = part[a:b]
-                for i in range(n):
-                    overlap[i] += np.minimum(held[i], held).sum(axis=1)
+            if uneven.any():
+                shares = np.zeros((n, 4096), np.float32)
+                shares[line[a:b], column[a:b] - start] = part[a:b]
+                mass += shares @ held.T
         union = sizes[:, None] + sizes[None, :] - both
         apart = np.triu(of[:, None] != of[None, :], 1)
         near = (both >= threshold * union - 1e-6) & (union > 0) & apart
-        # The shares that two texts have in common bound their probability Jaccard similarity from above.
-        open_ = np.argwhere((overlap >= threshold - 1e-4) & apart & ~near)
-        for at in range(0, len(open_), 256):
-            i, j = open_[at : at + 256].T
-            alike = similarity(text.take(pa.array(i)), text.take(pa.array(j)), size)
-            near[i, j] = alike >= threshold - 1e-9
-        u, v = np.nonzero(near)
         up = {c: c for c in of.tolist()}  # only links that join classes of this block for the first time go out
 
         def top(x: int) -> int:
@@ -174,11 +167,34 @@ def _block_links(rest: DataFrame, size: int, threshold: float) -> DataFrame:
             return x
 
         out = []
-        for a, b in zip(u.tolist(), v.tolist()):
+
+        def link(a: int, b: int) -> None:
             p, q = top(int(of[a])), top(int(of[b]))
             if p != q:
                 up[p] = q
-                out.append((int(nodes[a]), int(nodes[b])))
+                out.append((int(of[a]), int(of[b])))
+
+        for a, b in np.argwhere(near).tolist():
+            link(a, b)
+        # The share of a text's weight on shingles of the other bounds their probability Jaccard similarity from above;
+        # where no shingle of either repeats, it is that of the sets.
+        bound = np.minimum(mass, mass.T)
+        open_ = np.argwhere((bound >= threshold - 1e-4) & apart & ~near & (uneven[:, None] | uneven[None, :])).tolist()
+        begin, count = np.searchsorted(owner, np.arange(n)), np.bincount(owner, minlength=n)
+
+        def given(texts: np.ndarray) -> tuple[np.ndarray, ...]:
+            at = ragged(begin[texts], count[texts])
+            return np.repeat(np.arange(len(texts)), count[texts]), value[at], weight[at]
+
+        while open_:  # pairs that meanwhile lie in one class need no look
+            asked = [(a, b) for a, b in open_[:2048] if top(int(of[a])) != top(int(of[b]))][:256]
+            seen = open_.index(list(asked[-1])) + 1 if asked else min(len(open_), 2048)
+            open_ = open_[seen:]
+            if asked:
+                i, j = np.array(asked).T
+                for (a, b), alike in zip(asked, similarity_of(given(i), given(j), len(asked))):
+                    if alike >= threshold - 1e-9:
+                        link(a, b)
         return pa.table({"u": pa.array([a for a, _ in out], pa.int64()), "v": pa.array([b for _, b in out], pa.int64())})
 
     return rest.groupBy("bucket", "i", "j").applyInArrow(links, "u long, v long")
@@ -235,9 +251,14 @@ def classes(
         .select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "class")
         .join(texts, "node")
     )
-    more = _block_links(rest, size, threshold)
-    roots = components(linked.union(more))
-    classed_texts = nodes.join(roots, "node", "left").select("k", "first", F.coalesce("root", "node").alias("root"), "node")
+    # What blocks find are links between classes, so the second search runs on those alone.
+    joined = components(_block_links(rest, size, threshold)).select(F.col("node").alias("class"), F.col("root").alias("top"))
+    classed_texts = (
+        nodes.join(first_roots, "node", "left")
+        .select("k", "first", "node", F.coalesce("root", "node").alias("class"))
+        .join(joined, "class", "left")
+        .select("k", "first", F.coalesce("top", "class").alias("root"), "node")
+    )
     ids = classed_texts.groupBy("root").agg(
         F.min("first").alias("class_id"), F.min_by("node", F.struct(F.col("first").isNull(), "first", "node")).alias("best")
     )

@@ -61,13 +61,18 @@ def shingles(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def similarity(left: pa.Array, right: pa.Array, size: int) -> np.ndarray:
-    """The greater of set and probability Jaccard similarity of the shingles of each pair of texts; 0 for texts without any.
+    """The greater of set and probability Jaccard similarity of the shingles of each pair of texts; 0 for texts without any."""
+    return similarity_of(shingles(left, size), shingles(right, size), len(left))
+
+
+def similarity_of(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], pairs: int) -> np.ndarray:
+    """The same for shingles given as pair number, hash and count.
 
     Probability Jaccard: sum over the common shingles i of 1 / sum over all j of max(x_j / x_i, y_j / y_i). With
     the shingles of a pair sorted by x_j / y_j, falling, the inner sum is one of x up to i and one of y behind.
     """
-    a, x, often = shingles(left, size)
-    b, y, also = shingles(right, size)
+    a, x, often = left
+    b, y, also = right
     row, value = np.concatenate((a, b)), np.concatenate((x, y))
     given = np.concatenate((often, np.zeros(len(also), often.dtype))), np.concatenate((np.zeros(len(often), also.dtype), also))
     order = np.lexsort((value, row))
@@ -75,7 +80,6 @@ def similarity(left: pa.Array, right: pa.Array, size: int) -> np.ndarray:
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
     heads = np.flatnonzero(new)
-    pairs = len(left)
     if not len(heads):
         return np.zeros(pairs)
     x, y = (np.add.reduceat(w[order], heads).astype(float) for w in given)
