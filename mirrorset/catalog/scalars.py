@@ -154,8 +154,9 @@ _FACTOR, _SHIFT = keys.permutation(SEED, ANIMAL_HIGH - ANIMAL_LOW)
     f"+ {_SHIFT}) % {ANIMAL_HIGH - ANIMAL_LOW} AS BIGINT) AS surrogate FROM orders"
 )
 def surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct keys of all orders; those behind the range of animal ids go on into the next ranges."""
     rows = keys.dense_index(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
-    key = keys.surrogate_key(F.col("idx"), ANIMAL_LOW, ANIMAL_HIGH, SEED)
+    key = keys.surrogate_key(F.col("idx"), ANIMAL_LOW, ANIMAL_HIGH, SEED, beyond=True)
     return rows.select("o_orderkey", key.alias("surrogate"))
 
 
@@ -179,7 +180,7 @@ SELECT o_orderkey, {ANIMAL_LOW} + l * {_SIDES[1]} + r AS surrogate FROM walk
 WHERE step > 0 AND step % {keys.FEISTEL_ROUNDS} = 0 AND l * {_SIDES[1]} + r < {ANIMAL_HIGH - ANIMAL_LOW}"""
 )
 def surrogate_key_feistel(spark: SparkSession, sf: str) -> DataFrame:
-    """Keys by a permutation that known pairs do not give away."""
+    """Distinct keys of all orders, by a permutation that known pairs do not give away; as above behind the range."""
     rows = keys.dense_index(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
-    key = keys.feistel_key(F.col("idx"), ANIMAL_LOW, ANIMAL_HIGH, _SECRET)
+    key = keys.feistel_key(F.col("idx"), ANIMAL_LOW, ANIMAL_HIGH, _SECRET, beyond=True)
     return rows.select("o_orderkey", key.alias("surrogate"))

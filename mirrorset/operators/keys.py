@@ -153,16 +153,30 @@ def permutation(seed: int, span: int) -> tuple[int, int]:
     return factor, (seed * 40_503 + 12_345) % span
 
 
-def surrogate_key(idx: Column, low: int, high: int, seed: int) -> Column:
+def _turns(idx: Column, span: int) -> tuple[Column, Column]:
+    """The place of an index in its range, and the length of all ranges before that one."""
+    at = idx.cast("bigint")
+    place = F.pmod(at, F.lit(span).cast("bigint"))
+    return place, at - place
+
+
+def surrogate_key(idx: Column, low: int, high: int, seed: int, beyond: bool = False) -> Column:
     """Distinct key in ``[low, high)`` for each index from 0, as an affine permutation.
 
-    Fails on an index that the range cannot hold.
+    Fails on an index that the range cannot hold. With ``beyond``, such indexes get keys of the next ranges of the same
+    length, ``[high, 2 * high - low)`` and so on, so that all keys stay distinct.
     """
     span = high - low
     factor, shift = permutation(seed, span)
-    key = F.lit(low) + F.pmod(F.lit(factor).cast("bigint") * idx + F.lit(shift), F.lit(span))
+
+    def key(at: Column) -> Column:
+        return F.lit(low) + F.pmod(F.lit(factor).cast("bigint") * at + F.lit(shift), F.lit(span))
+
+    if beyond:
+        place, before = _turns(idx, span)
+        return key(place) + before
     refused = F.raise_error(F.lit(f"more than {span} keys are needed")).cast("bigint")
-    return F.when(idx >= span, refused).otherwise(key)
+    return F.when(idx >= span, refused).otherwise(key(idx))
 
 
 FEISTEL_ROUNDS = 8
@@ -175,7 +189,7 @@ def feistel_sides(span: int) -> tuple[int, int]:
     return a, -(-span // a)
 
 
-def feistel_key(idx: Column, low: int, high: int, secret: str) -> Column:
+def feistel_key(idx: Column, low: int, high: int, secret: str, beyond: bool = False) -> Column:
     """Distinct key in ``[low, high)`` for each index from 0, by a keyed permutation that known pairs do not give away.
 
     An index is split into two digits, of ``a`` and ``b`` values. Each round adds a hash of one digit, the round and
@@ -183,7 +197,8 @@ def feistel_key(idx: Column, low: int, high: int, secret: str) -> Column:
     ``a`` more than the range: results behind its end are permuted again (cycle walking) until they lie in it.
 
     Fails on an index that the range cannot hold, and, rather than return a key twice, on one that is still outside
-    after nine turns; of a range of n values, a share of about n^-4.5 would be.
+    after nine turns; of a range of n values, a share of about n^-4.5 would be. With ``beyond``, indexes that the range
+    cannot hold get keys of the next ranges of the same length, so that all keys stay distinct.
     """
     span = high - low
     a, b = feistel_sides(span)
@@ -205,12 +220,14 @@ def feistel_key(idx: Column, low: int, high: int, secret: str) -> Column:
         return F.aggregate(rounds, start, one_round, lambda digits: digits["l"] * b + digits["r"])
 
     walks = F.array(*[F.lit(i) for i in range(min(a * b - span, _WALKS) + 1)])
-    walked = F.aggregate(
-        walks, idx.cast("bigint"), lambda v, i: F.when((i == 0) | (v >= span), permuted(v)).otherwise(v)
-    )
-    many = F.raise_error(F.lit(f"more than {span} keys are needed")).cast("bigint")
+    place, before = _turns(idx, span) if beyond else (idx.cast("bigint"), F.lit(0).cast("bigint"))
+    walked = F.aggregate(walks, place, lambda v, i: F.when((i == 0) | (v >= span), permuted(v)).otherwise(v))
     lost = F.raise_error(F.lit("no key found; choose another secret")).cast("bigint")
-    return F.when(idx >= span, many).otherwise(F.lit(low) + F.when(walked < span, walked).otherwise(lost))
+    key = F.lit(low) + before + F.when(walked < span, walked).otherwise(lost)
+    if beyond:
+        return key
+    many = F.raise_error(F.lit(f"more than {span} keys are needed")).cast("bigint")
+    return F.when(idx >= span, many).otherwise(key)
 
 
 def pick_existing(

@@ -180,3 +180,32 @@ def test_feistel_keys_follow_no_stride(spark):
 def test_feistel_key_fails_when_the_range_is_too_small(spark):
     with pytest.raises(Exception, match="more than 10 keys"):
         spark.range(11).select(keys.feistel_key(F.col("id"), 0, 10, "s")).collect()
+
+
+@pytest.mark.parametrize("span", [1, 10, 97])
+def test_keys_behind_the_range_go_on_into_the_next_ones(spark, span):
+    """Whole ranges are filled one after the other; the first holds the same keys as without."""
+    n = 3 * span
+    two = spark.range(n).select(
+        "id",
+        keys.surrogate_key(F.col("id"), 50, 50 + span, 3, beyond=True).alias("a"),
+        keys.feistel_key(F.col("id"), 50, 50 + span, "s", beyond=True).alias("b"),
+    )
+    rows = two.orderBy("id").collect()
+    plain = spark.range(span).select(
+        "id", keys.surrogate_key(F.col("id"), 50, 50 + span, 3).alias("a"), keys.feistel_key(F.col("id"), 50, 50 + span, "s").alias("b")
+    )
+    assert rows[:span] == plain.orderBy("id").collect()
+    for turn in range(3):
+        part, want = rows[turn * span : (turn + 1) * span], list(range(50 + turn * span, 50 + (turn + 1) * span))
+        assert sorted(r.a for r in part) == want and sorted(r.b for r in part) == want
+
+
+@pytest.mark.parametrize("name", ["surrogate_key", "surrogate_key_feistel"])
+def test_registered_keys_of_more_orders_than_animal_ids(spark, tmp_path, monkeypatch, name):
+    from mirrorset.catalog import scalars
+
+    spark.range(50).withColumnRenamed("id", "o_orderkey").write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(scalars, "ANIMAL_HIGH", scalars.ANIMAL_LOW + 20)
+    got = [r.surrogate for r in getattr(scalars, name)(spark, str(tmp_path)).collect()]
+    assert len(got) == 50 and len(set(got)) == 50
