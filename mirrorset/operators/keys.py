@@ -223,7 +223,8 @@ def feistel_key(idx: Column, low: int, high: int, secret: str, beyond: bool = Fa
     place, before = _turns(idx, span) if beyond else (idx.cast("bigint"), F.lit(0).cast("bigint"))
     walked = F.aggregate(walks, place, lambda v, i: F.when((i == 0) | (v >= span), permuted(v)).otherwise(v))
     lost = F.raise_error(F.lit("no key found; choose another secret")).cast("bigint")
-    key = F.lit(low) + before + F.when(walked < span, walked).otherwise(lost)
+    held = F.transform(F.array(walked), lambda v: F.when(v < span, v).otherwise(lost))[0]  # the rounds are run once
+    key = F.lit(low) + before + held
     if beyond:
         return key
     many = F.raise_error(F.lit(f"more than {span} keys are needed")).cast("bigint")
