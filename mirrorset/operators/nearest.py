@@ -5,7 +5,9 @@ category that differs. Distances to a few pivot records are kept with every real
 distances from below (triangle inequality). Ranges of the pivot distances are halved, all pivots at once, wherever a
 box of ranges holds more than ``leaf`` records; so dense ranges are split deeper than others. Synthetic
 records go down from box to box: a record of each box bounds the nearest distance from above, and a box whose ranges
-lie farther away than that bound is not entered. Only the records of the boxes that are left are compared.
+lie farther away than that bound is not entered. The ranges of a box are those of the pivot distances and, summed up, those
+of the columns themselves, which shells around the pivots leave much wider than the records in them. Only the records of
+the boxes that are left are compared.
 """
 
 from __future__ import annotations
@@ -68,6 +70,29 @@ def _below(bounds: Sequence[Column]) -> Column:
     return F.greatest(F.lit(0).cast("bigint"), *bounds)
 
 
+def _extent(names: Sequence[str]) -> list[Column]:
+    """Least and greatest value of each column in a box; an unknown category is told from the known ones by ``_known``."""
+    ends = [f(n).alias(f"_{side}_{n}") for n in names for f, side in ((F.min, "from"), (F.max, "to"))]
+    return [*ends, *[F.count(n).alias(f"_known_{n}") for n in names if n[0] == "c"]]
+
+
+def _outside(names: Sequence[str], mismatch: int) -> Column:
+    """How far a record lies at least from all records of a box, by the values of its columns in there."""
+    total = F.lit(0).cast("bigint")
+    for n in names:
+        low, high = F.col(f"_from_{n}"), F.col(f"_to_{n}")
+        if n[0] == "x":
+            gap = _below([low - F.col(n), F.col(n) - high])
+        elif n[0] == "u":
+            gap = F.when((F.col(n) < low) | (F.col(n) > high), mismatch).otherwise(0)
+        else:
+            missing = F.when(F.col(n).isNull(), F.col(f"_known_{n}") == F.col("_n"))
+            absent = missing.otherwise(F.coalesce((F.col(n) < low) | (F.col(n) > high), F.lit(True)))
+            gap = F.when(absent, mismatch).otherwise(0)
+        total = total + gap
+    return total
+
+
 def nearest_record(
     source: DataFrame,
     synthetic: DataFrame,
@@ -112,7 +137,7 @@ def _search(
     open_real = stage(real.select("rid", *names, *to_pivots), "open")
     widest = open_real.agg(F.max(F.greatest(*ds)) if pivots > 1 else F.max(ds[0])).first()[0]
     bits = max(1, int(widest).bit_length())
-    best = F.lit(_TOO_FAR).cast("bigint").alias("best")
+    best = F.least(*to_pivots, F.lit(_TOO_FAR).cast("bigint")).alias("best")  # pivots are real records
     front = records.select("sid", *names, *to_pivots, best, *[F.lit(0).cast("bigint").alias(k) for k in codes])
     of_record = Window.partitionBy("sid")
     reached, leaves = [], []
@@ -123,6 +148,7 @@ def _search(
             F.count(F.lit(1)).alias("_n"),
             *[F.min(d).alias(f"_low{j}") for j, d in enumerate(ds)],
             *[F.max(d).alias(f"_high{j}") for j, d in enumerate(ds)],
+            *_extent(names),
             F.min_by(F.struct(*names), "rid").alias("_some"),
         )
         is_leaf = (F.col("_n") <= leaf) | F.lit(level == bits)
@@ -140,7 +166,8 @@ def _search(
         above = _distance(names, F.col, lambda n: F.col("_some")[n], mismatch)
         gaps = [g for j, d in enumerate(ds) for g in (F.col(f"_low{j}") - F.col(d), F.col(d) - F.col(f"_high{j}"))]
         bounded = (
-            inside.withColumn("_least", _below(gaps))
+            inside.withColumn("_least", _below([*gaps, _outside(names, mismatch)]))
+            .where("_least <= best")  # by the bound so far, so that fewer rows are shuffled for the next one
             .withColumn("best", F.min(F.least("best", above)).over(of_record))
             .where("_least <= best")
         )

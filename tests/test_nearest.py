@@ -72,3 +72,22 @@ def test_few_rows(spark, real, synthetic):
     assert {r.id: (r.distance, r.nearest) for r in got} == want
 
 
+def test_boxes_that_only_columns_tell_apart_are_not_entered(spark, monkeypatch):
+    """Records at like distances from all pivots, but far from each other, do not meet."""
+    from mirrorset.operators import nearest
+
+    pairs = []
+    compare = nearest._compare
+
+    def watched(reached, leaves, *rest):
+        pairs.extend(r.count() for r in reached)
+        return compare(reached, leaves, *rest)
+
+    monkeypatch.setattr(nearest, "_compare", watched)
+    rng = random.Random(6)
+    rows = [(i, rng.randrange(1_000), rng.randrange(1_000), rng.choice("ABCDE")) for i in range(3_000)]
+    real, synthetic = rows[:2_000], rows[2_000:]
+    frames = [spark.createDataFrame(rows, SCHEMA) for rows in (real, synthetic)]
+    got = nearest_record(*frames, "id", "id", ["day", "months"], ["breed"], mismatch=500, leaf=8).collect()
+    assert {r.id: (r.distance, r.nearest) for r in got} == brute(real, synthetic, 500)
+    assert sum(pairs) < 3_000  # 3,677 with the ranges of the pivots alone
