@@ -9,7 +9,7 @@ from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -142,8 +142,49 @@ def feature_stages(target: Target, codes: Codes | None, scale: bool = False) ->
     return stages
 
 
+BINS = 32  # ranges of a feature that the trees tell apart, as in GBTRegressor
+PLAIN_ROWS = 10_000  # up to here, GBTRegressor draws the bounds of its ranges from all rows, behind it from some of them
+_WEIGHT = "_weight"
+
+
+def _bounds(rows: DataFrame, column: str, quantiles: Sequence[float]) -> list[float]:
+    """Where the ranges of a feature begin: at each of its values, or at quantiles if it has more than ``BINS`` of them."""
+    starts = sorted(set(quantiles))
+    if len(starts) < BINS - 1:
+        values = rows.where(F.col(column).isNotNull()).select(F.col(column).cast("double")).distinct()
+        few = [r[0] for r in values.limit(BINS + 1).collect()]
+        starts = sorted(few)[1:] if len(few) <= BINS else starts
+    return [float("-inf"), *(starts or [0.0]), float("inf")]
+
+
+def binned(rows: DataFrame, numeric: Sequence[str]) -> Bucketizer:
+    """A stage that puts the number of its range, ``_bin_<name>``, beside each feature; unknown values stay unknown."""
+    shares = [i / BINS for i in range(1, BINS)]
+    quantiles = rows.select(*[F.col(c).cast("double").alias(c) for c in numeric]).approxQuantile(list(numeric), shares, 0.001)
+    return Bucketizer(
+        inputCols=list(numeric),
+        outputCols=[f"_bin_{c}" for c in numeric],
+        splitsArray=[_bounds(rows, c, q) for c, q in zip(numeric, quantiles)],
+        handleInvalid="keep",
+    )
+
+
+def _cells(rows: DataFrame, target: Target, bins: Bucketizer) -> DataFrame:
+    """One row per combination of ranges and code: the mean of the measure, weighted by the number of rows.
+
+    Trees see nothing but the ranges, and with squared errors a cut's gain and a leaf's value depend only on number and
+    sum of the residuals on each side. So trees of these rows are those of the rows themselves, whose number no longer counts.
+    """
+    keys = [*bins.getOutputCols(), *(["_code"] if target.by_code else [])]
+    means = [F.avg(target.name).alias(target.name), F.count(F.lit(1)).cast("double").alias(_WEIGHT)]
+    return stage(bins.transform(rows).groupBy(*keys).agg(*means), "cells")
+
+
 def fit_gbt(train: DataFrame, target: Target, codes: Codes, boosting: Boosting = Boosting()) -> PipelineModel:
-    """Features and boosted trees for one measure, on the rows that have it."""
+    """Features and boosted trees for one measure, on the rows that have it.
+
+    More than ``PLAIN_ROWS`` rows are cut into ranges first, with bounds from all of them, and fitted as weighted cells.
+    """
     trees = GBTRegressor(
         featuresCol="_features",
         labelCol=target.name,
@@ -155,7 +196,13 @@ def fit_gbt(train: DataFrame, target: Target, codes: Codes, boosting: Boosting =
         checkpointInterval=10,
     )
     usable = train.where(F.col(target.name).isNotNull()).withColumn(target.name, F.col(target.name).cast("double"))
-    return Pipeline(stages=[*feature_stages(target, codes, boosting.scale), trees]).fit(usable)
+    if usable.count() <= PLAIN_ROWS:
+        return Pipeline(stages=[*feature_stages(target, codes, boosting.scale), trees]).fit(usable)
+    bins = binned(usable, target.numeric)
+    ranges = Target(target.name, tuple(bins.getOutputCols()), target.by_code)
+    weighted = trees.setMaxBins(BINS).setWeightCol(_WEIGHT)
+    fitted = Pipeline(stages=[*feature_stages(ranges, codes, boosting.scale), weighted]).fit(_cells(usable, target, bins))
+    return PipelineModel([bins, *fitted.stages])
 
 
 def _predict(df: DataFrame, target: Target, model: PipelineModel, name: str) -> DataFrame:

@@ -105,3 +105,30 @@ def test_registered_models_have_full_size(spark, sf, monkeypatch):
     measures._chain(spark, sf)  # of gbt_chain and hold_out_r2
     measures.synthetic_database(spark, sf)
     assert sizes == [200, 200]
+
+
+def test_trees_are_fitted_on_cells_of_ranges(spark, monkeypatch):
+    """Many rows are fitted as one weighted row per combination of ranges; the predictions are those of the rows."""
+    fitted, fit = [], model.Pipeline.fit
+    monkeypatch.setattr(model.Pipeline, "fit", lambda self, rows, *rest: fitted.append(rows.count()) or fit(self, rows, *rest))
+    rows = spark.range(12_000).select(
+        ((F.col("id") % 30) * 10.0).alias("lait"),
+        (F.lit(2.0) * (F.col("id") % 30) + F.col("id") % 7).alias("mg"),
+    )
+    target = model.Target("mg", ("lait",), False)
+    cells = model.fit_gbt(rows, target, None, model.Boosting(trees=4))
+    assert fitted == [30]
+    monkeypatch.setattr(model, "PLAIN_ROWS", 100_000)
+    plain = model.fit_gbt(rows, target, None, model.Boosting(trees=4))
+    assert fitted == [30, 12_000]
+    some = spark.createDataFrame([(x,) for x in (None, -5.0, 0.0, 4.0, 10.0, 155.0, 290.0, 400.0)], "lait double")
+    a, b = ([r._predicted for r in m.transform(some).collect()] for m in (cells, plain))
+    assert a[1:3] == pytest.approx(b[1:3], abs=1e-6) and a[4] == pytest.approx(b[4], abs=1e-6)
+    assert a[0] == pytest.approx(b[0], abs=1e-6) and a[6:] == pytest.approx(b[6:], abs=1e-6)
+
+
+def test_ranges_of_a_feature_without_values(spark):
+    rows = spark.createDataFrame([(None, 1.0, float(i)) for i in range(40)], "a int, b double, c double")
+    ends = [s[1:-1] for s in model.binned(rows, ["a", "b", "c"]).getSplitsArray()]
+    assert ends[:2] == [[0.0], [0.0]]  # one range has all there is
+    assert len(ends[2]) == model.BINS - 1 and ends[2] == sorted(set(ends[2]))
