@@ -177,7 +177,8 @@ def _cells(rows: DataFrame, target: Target, bins: Bucketizer) -> DataFrame:
     """
     keys = [*bins.getOutputCols(), *(["_code"] if target.by_code else [])]
     means = [F.avg(target.name).alias(target.name), F.count(F.lit(1)).cast("double").alias(_WEIGHT)]
-    return stage(bins.transform(rows).groupBy(*keys).agg(*means), "cells")
+    ordered = {c: F.col(c).alias(c, metadata={"ml_attr": {"type": "numeric"}}) for c in bins.getOutputCols()}  # else nominal
+    return stage(bins.transform(rows).groupBy(*keys).agg(*means).withColumns(ordered), "cells")
 
 
 def fit_gbt(train: DataFrame, target: Target, codes: Codes, boosting: Boosting = Boosting()) -> PipelineModel:

@@ -113,7 +113,7 @@ def test_trees_are_fitted_on_cells_of_ranges(spark, monkeypatch):
     monkeypatch.setattr(model.Pipeline, "fit", lambda self, rows, *rest: fitted.append(rows.count()) or fit(self, rows, *rest))
     rows = spark.range(12_000).select(
         ((F.col("id") % 30) * 10.0).alias("lait"),
-        (F.lit(2.0) * (F.col("id") % 30) + F.col("id") % 7).alias("mg"),
+        (F.pow(F.lit(1.3), F.col("id") % 30) + F.col("id") % 7 / 10).alias("mg"),  # no two cuts are equally good
     )
     target = model.Target("mg", ("lait",), False)
     cells = model.fit_gbt(rows, target, None, model.Boosting(trees=4))
