@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -144,6 +145,7 @@ def feature_stages(target: Target, codes: Codes | None, scale: bool = False) ->
 
 BINS = 32  # ranges of a feature that the trees tell apart, as in GBTRegressor
 PLAIN_ROWS = 10_000  # up to here, GBTRegressor draws the bounds of its ranges from all rows, behind it from some of them
+CELLS_PER_TASK = 25_000  # a level of a tree is one short job: more tasks than this asks for cost more than they save
 _WEIGHT = "_weight"
 
 
@@ -178,7 +180,8 @@ def _cells(rows: DataFrame, target: Target, bins: Bucketizer) -> DataFrame:
     keys = [*bins.getOutputCols(), *(["_code"] if target.by_code else [])]
     means = [F.avg(target.name).alias(target.name), F.count(F.lit(1)).cast("double").alias(_WEIGHT)]
     ordered = {c: F.col(c).alias(c, metadata={"ml_attr": {"type": "numeric"}}) for c in bins.getOutputCols()}  # else nominal
-    return stage(bins.transform(rows).groupBy(*keys).agg(*means).withColumns(ordered), "cells")
+    cells = stage(bins.transform(rows).groupBy(*keys).agg(*means).withColumns(ordered), "cells")
+    return cells.coalesce(max(1, ceil(cells.count() / CELLS_PER_TASK)))
 
 
 def fit_gbt(train: DataFrame, target: Target, codes: Codes, boosting: Boosting = Boosting()) -> PipelineModel:
@@ -213,6 +216,55 @@ def _predict(df: DataFrame, target: Target, model: PipelineModel, name: str) ->
     return model.transform(df).select(*kept, predicted)
 
 
+def _given(models: Sequence[tuple[Target, PipelineModel, str]]) -> dict[str, list[float] | None]:
+    """The features that no earlier model predicts, each with all bounds of its ranges; None where a model takes the value itself."""
+    out: dict[str, list[float] | None] = {}
+    made: set[str] = set()
+    for target, model, name in models:
+        ranges = model.stages[0] if isinstance(model.stages[0], Bucketizer) else None
+        own = dict(zip(target.numeric, ranges.getSplitsArray())) if ranges else {}
+        for c in [c for c in target.numeric if c not in made]:
+            known = out.get(c, [])
+            out[c] = sorted({*known, *own[c]}) if c in own and known is not None else None
+        made.add(name)
+    return out
+
+
+def _predict_cells(
+    rows: DataFrame, models: Sequence[tuple[Target, PipelineModel, str]], limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
+    """Add the predictions of the models, in order, to rows with ``_code``; each may be a feature of the next ones.
+
+    Where trees see ranges, all rows of one code whose features lie in the same ranges of all models have the same
+    predictions. The trees are then walked once per such cell, and the rows look their cell up. Models of the values
+    themselves (see ``fit_gbt``) add these values to the cell.
+    """
+    given, names = _given(models), [name for _, _, name in models]
+    ranged = [c for c, splits in given.items() if splits]
+    if not ranged:
+        out = rows
+        for target, model, name in models:
+            out = _predict(out, target, model, name)
+        return out
+    keys = {c: f"_in_{c}" for c in given}
+    bins = Bucketizer(
+        inputCols=ranged,
+        outputCols=[keys[c] for c in ranged],
+        splitsArray=[given[c] for c in ranged],
+        handleInvalid="keep",
+    )
+    placed = bins.transform(rows).withColumns({keys[c]: F.col(c) for c in given if c not in ranged})
+    on = ["_code", *keys.values()]
+    cells = stage(placed.groupBy(*on).agg(*[F.min(c).alias(c) for c in given]), "cells")
+    few = limits.small(cells.count())
+    for target, model, name in models:
+        cells = _predict(cells, target, model, name)
+    found = stage(cells.select(*[F.col(k).alias(f"_of{k}") for k in on], *[F.col(n).alias(f"_made_{n}") for n in names]), "predicted")
+    joined = lookup_join(placed, found, {k: f"_of{k}" for k in on}, "left", few, limits, null_safe=True)
+    kept = [c for c in rows.columns if c not in names]
+    return joined.select(*kept, *[F.col(f"_made_{n}").alias(n) for n in names])
+
+
 def r_squared(tested: DataFrame) -> float:
     """R² of the predictions ``_out`` of ``_actual``."""
     return float(RegressionEvaluator(labelCol="_actual", predictionCol="_out", metricName="r2").evaluate(tested))
@@ -246,7 +298,7 @@ def fit_chain(
         usable = held.where(F.col(target.name).isNotNull()).withColumn(
             "_actual", F.col(target.name).cast("double")
         )
-        tested = _predict(usable, target, model, "_out").where(F.col("_out").isNotNull())
+        tested = _predict_cells(usable, [(target, model, "_out")]).where(F.col("_out").isNotNull())
         return model, r_squared(tested)
 
     # Measures are learned from the true values of the ones before, so no model waits for another.
@@ -260,10 +312,8 @@ def fit_chain(
 
 def score_chain(features: DataFrame, chain: Chain) -> DataFrame:
     """Predict the measures in order; each prediction is a feature of the next ones."""
-    out = with_codes(features, chain.codes)
-    for target, model in chain.models:
-        out = _predict(out, target, model, target.name)
-    return out.drop("_code")
+    models = [(target, model, target.name) for target, model in chain.models]
+    return _predict_cells(with_codes(features, chain.codes), models).drop("_code")
 
 
 def attach_predictions(rows: DataFrame, scored: DataFrame, id_column: str, columns: Sequence[str]) -> DataFrame:

@@ -127,6 +127,49 @@ def test_trees_are_fitted_on_cells_of_ranges(spark, monkeypatch):
     assert a[0] == pytest.approx(b[0], abs=1e-6) and a[6:] == pytest.approx(b[6:], abs=1e-6)
 
 
+def test_rows_of_one_cell_are_predicted_once(spark, features, monkeypatch):
+    """The trees are walked per combination of ranges and code, and each row gets what they give for the row itself."""
+    codes = model.code_index(features, "code")
+    monkeypatch.setattr(model, "PLAIN_ROWS", 100)
+    chain = model.fit_chain(features, codes, model.Boosting(trees=3))
+    monkeypatch.setattr(model, "PLAIN_ROWS", 100_000)
+    numbered = model.with_codes(features, codes)
+    plain_mg, plain_pic = (
+        (target, model.fit_gbt(numbered, target, codes, model.Boosting(trees=3)))
+        for target in (model.CHAIN[1], model.Target("pic", ("nolact", "lait"), True))
+    )
+    odd = features.select(
+        "id",
+        F.when(F.col("id") % 50 != 1, F.col("nolact")).alias("nolact"),
+        F.when(F.col("id") % 50 == 2, "unseen").when(F.col("id") % 50 != 3, F.col("code")).alias("code"),
+        "month",
+        F.when(F.col("id") % 50 == 4, -9999).when(F.col("id") % 50 != 5, F.col("duration")).alias("duration"),
+    )
+    rows = odd.unionByName(odd.withColumn("id", F.col("id") + 10_000)).unionByName(odd)  # ids repeat, too
+    walked, predict = [], model._predict
+    monkeypatch.setattr(model, "_predict", lambda df, *rest: walked.append(df.count()) or predict(df, *rest))
+    for at, other in ((1, plain_mg), (3, plain_pic), (None, None)):  # models of values beside those of ranges, and ranges alone
+        models = tuple(other if i == at else fitted for i, fitted in enumerate(chain.models))
+        got = model.score_chain(rows, model.Chain(models, chain.metrics, codes))
+        want = model.with_codes(rows, codes)
+        for target, fitted in models:
+            want = predict(want, target, fitted, target.name)
+        want = want.drop("_code")
+        assert got.columns == want.columns and got.schema == want.schema
+        assert got.count() == 4500 and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+        assert len(walked) == 5 and max(walked) <= 1500
+        walked.clear()
+    cells = model.score_chain(rows.withColumn("duration", F.lit(100)).withColumn("month", F.lit(2)), chain)
+    assert cells.count() == 4500 and max(walked) <= 6 * 40
+
+
+def test_few_cells_are_one_task(spark):
+    rows = spark.range(12_000).select((F.col("id") % 30).cast("double").alias("lait"), F.col("id").cast("double").alias("mg"))
+    target = model.Target("mg", ("lait",), False)
+    cells = model._cells(rows.repartition(8), target, model.binned(rows, ["lait"]))
+    assert cells.count() == 30 and cells.rdd.getNumPartitions() == 1
+
+
 def test_ranges_of_a_feature_without_values(spark):
     rows = spark.createDataFrame([(None, 1.0, float(i)) for i in range(40)], "a int, b double, c double")
     ends = [s[1:-1] for s in model.binned(rows, ["a", "b", "c"]).getSplitsArray()]
